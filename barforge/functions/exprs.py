@@ -38,7 +38,7 @@ def exceeds(pct, threshold: float) -> Column:
 
 def signed_pct_text(pct) -> Column:
     """'+0.42' / '-0.50': two decimals, half-even on the exact binary value."""
-    return F.format_number(_c(pct), SIGNED_2DP)
+    return F.call_function("format_number", _c(pct), F.lit(SIGNED_2DP))
 
 
 def hhmm(ts) -> Column:

@@ -124,3 +124,231 @@ def feed_routes(spark, sf_dir):
 def feed_trades(spark, sf_dir):
     """Feed matches mapped to trade records."""
     return feed.feed_to_trades(testviews.feed_messages(spark, sf_dir))
+
+
+# --- alerts (D1, F1-F3) --------------------------------------------------------
+
+from barforge.operators import alerts as alert_ops  # noqa: E402
+from barforge.operators import indicators, quality, rates, serving  # noqa: E402
+from barforge.plans import common as P  # noqa: E402
+
+
+def hourly(spark, sf_dir):
+    return candles(spark, sf_dir, P.CHART_WINDOW)
+
+
+@query("alerts")
+def alerts_default(spark, sf_dir):
+    """Volatility alerts at the default 0.3 % threshold over hourly candles."""
+    return ntz(alert_ops.derive_alerts(hourly(spark, sf_dir), P.ALERT_THRESHOLD))
+
+
+@query("alerts_wide")
+def alerts_wide(spark, sf_dir):
+    """Volatility alerts at a 50 % threshold over hourly candles."""
+    return ntz(alert_ops.derive_alerts(hourly(spark, sf_dir), P.ALERT_THRESHOLD_WIDE))
+
+
+@query("alerts_feed")
+def alerts_feed(spark, sf_dir):
+    """The 12 newest alerts as display rows (ties on ts broken by symbol)."""
+    a = alert_ops.derive_alerts(hourly(spark, sf_dir), P.ALERT_THRESHOLD)
+    return ntz(serving.alert_feed(a, P.ALERT_LIMIT))
+
+
+# --- serving read side (P6-P10, T1-T4, A5, A7, A13, A14, D2, D4, D6) ---------
+
+
+@query("latest_price")
+def latest_price(spark, sf_dir):
+    """Latest trade price per symbol by (ts, trade_id)."""
+    return ntz(serving.latest_per_key(testviews.trades(spark, sf_dir)))
+
+
+@query("latest_n_candles")
+def latest_n_candles(spark, sf_dir):
+    """Newest 200 hourly candles per symbol."""
+    return ntz(serving.latest_n(hourly(spark, sf_dir), P.LATEST_N))
+
+
+@query("lookback_slice")
+def lookback_slice(spark, sf_dir):
+    """Hourly candles of the last 7 days before as_of."""
+    return ntz(serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN))
+
+
+@query("range_summary")
+def range_summary(spark, sf_dir):
+    """Per-symbol summary of the 7-day slice."""
+    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
+    return ntz(serving.slice_summary(s))
+
+
+def live_prices(spark, sf_dir):
+    ticks = serving.retention(testviews.trades(spark, sf_dir), P.as_of_col(), serving.TICK_RETENTION_MIN)
+    return serving.latest_per_key(ticks)
+
+
+@query("kpi")
+def kpi(spark, sf_dir):
+    """One KPI row per configured symbol over the last 24 h (live price preferred)."""
+    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
+    return ntz(serving.kpi_table(s, live_prices(spark, sf_dir), P.SYMBOLS))
+
+
+@query("sparkline")
+def sparkline(spark, sf_dir):
+    """Normalised sparkline points of the KPI slice."""
+    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
+    return indicators.sparkline_points(s).withColumn("pos", F.col("pos").cast("long"))
+
+
+def malformed_ledger(spark, sf_dir):
+    """K4-shaped ledger: malformed messages per batch (one batch per event day)."""
+    p = parse_trades(testviews.trade_messages(spark, sf_dir), passthrough=["event_ts"])
+    _, bad = split_trades(p)
+    return bad.groupBy(F.to_date("event_ts").alias("batch_day")).agg(
+        F.count(F.lit(1)).alias("value"), F.max(F.col("event_ts").cast("timestamp")).alias("updated_at")
+    ).select(F.lit(serving.MALFORMED_METRIC).alias("metric"), "batch_day", "value", "updated_at")
+
+
+@query("pipeline_status")
+def pipeline_status(spark, sf_dir):
+    """Last candle, age, freshness state and cumulative malformed count at as_of."""
+    return ntz(serving.pipeline_status(hourly(spark, sf_dir), malformed_ledger(spark, sf_dir), P.as_of_col()))
+
+
+@query("metric_totals")
+def metric_totals(spark, sf_dir):
+    """Cumulative metric values over the per-batch ledger."""
+    return ntz(serving.metric_totals(malformed_ledger(spark, sf_dir)))
+
+
+# --- indicators (W1-W4, D3) ---------------------------------------------------
+
+STEP_S = P.CHART_STEP_MIN * 60
+
+
+def all_range(spark, sf_dir):
+    return serving.latest_n(hourly(spark, sf_dir), serving.ALL_RANGE_LIMIT)
+
+
+@query("gap_grid")
+def gap_grid(spark, sf_dir):
+    """The 'All' range (newest 2000 candles per symbol) on a complete hourly grid."""
+    return ntz(indicators.gap_fill(all_range(spark, sf_dir), STEP_S))
+
+
+@query("ma_fast_slow")
+def ma_fast_slow(spark, sf_dir):
+    """MA10 / MA20 of close over the gridded 'All' range."""
+    g = indicators.gap_fill(all_range(spark, sf_dir), STEP_S)
+    return ntz(indicators.moving_averages(g, STEP_S).select("symbol", "window_start", "close", "ma_fast", "ma_slow"))
+
+
+@query("vwap")
+def vwap(spark, sf_dir):
+    """Session VWAP over the gridded 'All' range."""
+    g = indicators.gap_fill(all_range(spark, sf_dir), STEP_S)
+    return ntz(indicators.session_vwap(g).select("symbol", "window_start", "close", "vwap"))
+
+
+@query("chart_series")
+def chart_series(spark, sf_dir):
+    """D3: 7-day slice -> grid -> MA10/MA20 -> VWAP -> direction."""
+    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
+    return ntz(indicators.chart_series(s, STEP_S))
+
+
+# --- rates and ticks (A9-A12, W6, P10) ------------------------------------------
+
+
+@query("throughput_10s_zero_filled")
+def throughput_10s(spark, sf_dir):
+    """Trades per 10 s per configured symbol, zero-filled, with the total rate."""
+    return ntz(rates.throughput(testviews.trades(spark, sf_dir), P.SYMBOLS))
+
+
+@query("rate_1m")
+def rate_1m(spark, sf_dir):
+    """A10: trades per second per symbol over a sliding 1-minute window (10 s slide)."""
+    return ntz(rates.sliding_rate(testviews.trades(spark, sf_dir), keys=["symbol"]))
+
+
+@query("ingestion_rate_1m")
+def ingestion_rate_1m(spark, sf_dir):
+    """All messages (valid or not) per second over a sliding minute."""
+    m = testviews.trade_messages(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    return ntz(rates.sliding_rate(m, ts="event_ts", count_name="messages"))
+
+
+COUNTER_SCRAPE_S = 600
+COUNTER_RANGE_S = 3600
+COUNTER_RESET_AT = "2024-01-15 00:00:00"
+
+
+@query("counter_rate")
+def counter_rate(spark, sf_dir):
+    """A10 on a sampled counter (10-min scrapes, reset on 2024-01-15): rate over 1 h."""
+    samples = rates.counter_samples(
+        testviews.trades(spark, sf_dir), COUNTER_SCRAPE_S, F.lit(COUNTER_RESET_AT).cast("timestamp")
+    )
+    return ntz(rates.counter_rate(samples, COUNTER_RANGE_S))
+
+
+@query("trade_totals")
+def trade_totals(spark, sf_dir):
+    """Trades per symbol."""
+    return rates.trade_totals(testviews.trades(spark, sf_dir))
+
+
+@query("tick_sample_1s")
+def tick_sample_1s(spark, sf_dir):
+    """Latest trade per symbol per second (stored as DECIMAL(20,8)/(30,8))."""
+    t = rates.tick_samples(testviews.trades(spark, sf_dir))
+    return ntz(t.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))
+
+
+@query("tick_retention")
+def tick_retention(spark, sf_dir):
+    """P10: tick samples of the last 10 minutes before as_of."""
+    t = rates.tick_samples(testviews.trades(spark, sf_dir))
+    kept = serving.retention(t, P.as_of_col(), serving.TICK_RETENTION_MIN)
+    return ntz(kept.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))
+
+
+# --- quality and idempotent insert (A8, C1-C3, K1) -----------------------------
+
+
+@query("dup_audit")
+def dup_audit(spark, sf_dir):
+    """Rows, distinct keys and duplicates of lineitem on (l_orderkey, l_linenumber)."""
+    li = testviews.load(spark, sf_dir, "lineitem")
+    return quality.duplicate_audit(li, ["l_orderkey", "l_linenumber"])
+
+
+@query("dup_keys")
+def dup_keys(spark, sf_dir):
+    """A8 listing: repeated (l_orderkey, l_linenumber) keys with their copy counts."""
+    li = testviews.load(spark, sf_dir, "lineitem")
+    return quality.duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+
+
+@query("candle_constraints")
+def candle_constraints(spark, sf_dir):
+    """NULL counts per candle column and window_end mismatches (all 0)."""
+    return quality.candle_constraints(hourly(spark, sf_dir), P.CHART_WINDOW)
+
+
+@query("insert_if_absent")
+def insert_if_absent_query(spark, sf_dir):
+    """K1 semantics: candles up to 2024-01-21 exist; candles from 2024-01-15 arrive
+    again with a different close. First writer wins on the overlap."""
+    from barforge.operators.sinks import insert_if_absent
+
+    c = hourly(spark, sf_dir)
+    target = c.filter(F.col("window_start") < F.lit("2024-01-21 00:00:00").cast("timestamp"))
+    incoming = c.filter(F.col("window_start") >= F.lit("2024-01-15 00:00:00").cast("timestamp")).withColumn(
+        "close", F.col("close") + 1.0
+    )
+    return ntz(insert_if_absent(target, incoming, ["symbol", "window_start"]))

@@ -183,3 +183,250 @@ SELECT violation, count(*) AS messages FROM violations GROUP BY violation""",
     "feed_trades": f"""
 WITH {FEED} SELECT symbol, price, size, side, trade_id, ts FROM feed_routed WHERE route = 'trade'""",
 }
+
+# --- alerts, serving, indicators, rates, quality --------------------------------
+
+AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+SYMBOL_LIST = "['click', 'error', 'purchase', 'signup', 'view', 'refund']"
+HOURLY = f"{TRADES}, {candles_cte('1 hour')}"
+
+
+def alerts_sql(threshold: float) -> str:
+    return f"""
+WITH {HOURLY},
+pct AS (SELECT *, CASE WHEN open IS NULL OR open = 0 THEN 0.0 ELSE (close - open) / open * 100.0 END AS pct_change
+        FROM candles)
+SELECT symbol, window_end AS ts, close AS price, pct_change,
+       symbol || ' moved ' || printf('%+.2f', pct_change) || '% in the '
+       || strftime(window_start, '%H:%M') || '-' || strftime(window_end, '%H:%M') || ' window' AS message
+FROM pct WHERE abs(pct_change) > {threshold}"""
+
+
+ALERTS_FEED = f"""
+WITH a AS ({alerts_sql(0.3)}),
+top AS (SELECT * FROM a ORDER BY ts DESC, symbol ASC LIMIT 12)
+SELECT symbol, ts,
+       CASE WHEN pct_change >= 0 THEN 'up' WHEN pct_change < 0 THEN 'down' END AS direction,
+       printf('%+.2f', pct_change) || '%' AS pct_text,
+       strftime(ts, '%H:%M') AS time_text,
+       '$' || format('{{:,.2f}}', price) AS price_text,
+       message
+FROM top"""
+
+LATEST_N = f"""
+WITH {HOURLY},
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM candles)
+SELECT symbol, window_start, window_end, open, high, low, close, volume FROM r WHERE rn <= {{n}}"""
+
+SLICE_7D = f"{HOURLY}, slice AS (SELECT * FROM candles WHERE window_start >= {AS_OF} - INTERVAL 10080 MINUTE)"
+SLICE_24H = f"{HOURLY}, slice AS (SELECT * FROM candles WHERE window_start >= {AS_OF} - INTERVAL 1440 MINUTE)"
+
+RANGE_SUMMARY = f"""
+WITH {SLICE_7D},
+s AS (SELECT symbol, arg_min(open, window_start) AS first_open, arg_max(close, window_start) AS last_close,
+             count(*) AS candles, min(low) AS low, max(high) AS high FROM slice GROUP BY symbol),
+m AS (SELECT *, coalesce((last_close - first_open) / nullif(first_open, 0) * 100.0, 0.0) AS move_pct,
+             CASE WHEN (high - low) * 0.08 = 0 THEN 1.0 ELSE (high - low) * 0.08 END AS pad FROM s)
+SELECT symbol, first_open, last_close, move_pct,
+       CASE WHEN move_pct >= 0 THEN 'up' WHEN move_pct < 0 THEN 'down' END AS direction,
+       candles, low, high, low - pad AS axis_lo, high + pad AS axis_hi
+FROM m"""
+
+KPI = f"""
+WITH {SLICE_24H},
+syms AS (SELECT unnest({SYMBOL_LIST}) AS symbol),
+per AS (SELECT symbol, arg_min(open, window_start) AS first_open, arg_max(close, window_start) AS last_close,
+               count(*) AS candles FROM slice GROUP BY symbol),
+live AS (SELECT symbol, arg_max(price, {{'t': ts, 'i': trade_id}}) AS live_price FROM trades
+         WHERE ts >= {AS_OF} - INTERVAL 10 MINUTE GROUP BY symbol),
+j AS (SELECT syms.symbol, per.first_open, per.last_close, per.candles, live.live_price,
+             coalesce(live.live_price, per.last_close) AS px
+      FROM syms LEFT JOIN per ON per.symbol = syms.symbol LEFT JOIN live ON live.symbol = syms.symbol),
+c AS (SELECT *, CASE WHEN candles >= 2 AND first_open <> 0 THEN (px - first_open) / first_open * 100.0 END AS chg FROM j)
+SELECT symbol,
+       CASE WHEN candles IS NOT NULL THEN 'ok' ELSE 'no data' END AS status,
+       CASE WHEN candles IS NOT NULL THEN px END AS price,
+       CASE WHEN candles IS NOT NULL THEN live_price IS NOT NULL END AS is_live,
+       first_open, last_close, coalesce(candles, 0) AS candles,
+       CASE WHEN candles IS NOT NULL THEN chg END AS change_pct,
+       CASE WHEN candles IS NOT NULL THEN coalesce(CASE WHEN chg >= 0 THEN 'up' WHEN chg < 0 THEN 'down' END, 'up') END AS direction
+FROM c"""
+
+SPARKLINE = f"""
+WITH {SLICE_24H},
+v AS (SELECT symbol, window_start, close FROM slice WHERE close IS NOT NULL),
+p AS (SELECT symbol, close, count(*) OVER (PARTITION BY symbol) AS n,
+             min(close) OVER (PARTITION BY symbol) AS lo, max(close) OVER (PARTITION BY symbol) AS hi,
+             row_number() OVER (PARTITION BY symbol ORDER BY window_start) - 1 AS pos FROM v)
+SELECT symbol, pos, close AS value,
+       2.0 + pos / (n - 1) * 146 AS x,
+       33.0 - (close - lo) / (CASE WHEN hi - lo = 0 THEN 1.0 ELSE hi - lo END) * 30 AS y
+FROM p WHERE n >= 2"""
+
+STATUS_BASE = f"""
+WITH {HOURLY}, {MESSAGES}, {MALFORMED},
+agg AS (SELECT (SELECT max(window_end) FROM candles) AS last_candle, (SELECT count(*) FROM malformed) AS malformed_dropped),
+a AS (SELECT *, (epoch_us({AS_OF}) - epoch_us(last_candle)) / 1000000.0 AS age_seconds FROM agg),
+w AS (SELECT *, CAST(trunc(age_seconds) AS BIGINT) AS whole FROM a),
+d AS (SELECT *, CAST(floor(whole / 60) AS BIGINT) AS mins FROM w)
+"""
+
+PIPELINE_STATUS = STATUS_BASE + """
+SELECT last_candle, age_seconds,
+       CASE WHEN age_seconds <= 180 THEN 'Live' WHEN age_seconds <= 360 THEN 'Lagging'
+            WHEN age_seconds IS NOT NULL THEN 'Stale' END AS state,
+       CASE WHEN mins <> 0 THEN CAST(mins AS VARCHAR) || 'm ' || CAST(whole - mins * 60 AS VARCHAR) || 's'
+            ELSE CAST(whole - mins * 60 AS VARCHAR) || 's' END AS age_text,
+       malformed_dropped
+FROM d"""
+
+METRIC_TOTALS = f"""
+WITH {MESSAGES}, {MALFORMED}
+SELECT 'malformed_dropped' AS metric, count(*) AS value,
+       (SELECT max(e.ts) FROM events e JOIN malformed m ON m.event_id = e.event_id) AS updated_at
+FROM malformed"""
+
+ALL_RANGE_GRID = f"""
+{HOURLY},
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM candles),
+slice AS (SELECT symbol, window_start, window_end, open, high, low, close, volume FROM r WHERE rn <= 2000),
+bounds AS (SELECT symbol, min(window_start) AS lo, max(window_start) AS hi FROM slice GROUP BY symbol),
+grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL '1 hour')) AS window_start FROM bounds),
+g AS (SELECT grid.symbol, grid.window_start, s.window_end, s.open, s.high, s.low, s.close, s.volume
+      FROM grid LEFT JOIN slice s ON s.symbol = grid.symbol AND s.window_start = grid.window_start)
+"""
+
+MA_COLS = """
+       CASE WHEN count(close) OVER w10 = 10 THEN round(avg(close) OVER w10, 8) END AS ma_fast,
+       CASE WHEN count(close) OVER w20 = 20 THEN round(avg(close) OVER w20, 8) END AS ma_slow"""
+VWAP_COL = """
+       CASE WHEN close IS NOT NULL
+            THEN round(sum((high + low + close) / 3.0 * volume) OVER wc / nullif(sum(volume) OVER wc, 0), 8) END AS vwap"""
+WINDOWS = """
+WINDOW w10 AS (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 9 PRECEDING AND CURRENT ROW),
+       w20 AS (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 19 PRECEDING AND CURRENT ROW),
+       wc AS (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+CHART_SERIES = f"""
+WITH {SLICE_7D},
+bounds AS (SELECT symbol, min(window_start) AS lo, max(window_start) AS hi FROM slice GROUP BY symbol),
+grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL '1 hour')) AS window_start FROM bounds),
+g AS (SELECT grid.symbol, grid.window_start, s.window_end, s.open, s.high, s.low, s.close, s.volume
+      FROM grid LEFT JOIN slice s ON s.symbol = grid.symbol AND s.window_start = grid.window_start)
+SELECT symbol, window_start, window_end, open, high, low, close, volume, {MA_COLS}, {VWAP_COL},
+       CASE WHEN close IS NOT NULL THEN CASE WHEN close - open >= 0 THEN 'up' WHEN close - open < 0 THEN 'down' END END AS direction
+FROM g {WINDOWS}"""
+
+THROUGHPUT = f"""
+WITH {TRADES},
+b AS (SELECT time_bucket(INTERVAL '10 seconds', min(ts)) AS lo, max(ts) AS hi FROM trades),
+grid AS (SELECT unnest(generate_series(lo, hi, INTERVAL '10 seconds')) AS window_start FROM b),
+syms AS (SELECT unnest({SYMBOL_LIST}) AS symbol),
+gs AS (SELECT window_start, symbol FROM grid, syms),
+c AS (SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, symbol, count(*) AS n FROM trades
+      WHERE symbol IN (SELECT symbol FROM syms) GROUP BY ALL),
+f AS (SELECT gs.window_start, gs.symbol, coalesce(c.n, 0) AS trades FROM gs
+      LEFT JOIN c ON c.window_start = gs.window_start AND c.symbol = gs.symbol)
+SELECT window_start, symbol, trades, trades / 10.0 AS rate,
+       sum(trades) OVER (PARTITION BY window_start) / 10.0 AS total_rate
+FROM f"""
+
+
+def sliding_sql(source: str, ts: str, keys: str, count_name: str) -> str:
+    key_sel = f"{keys}, " if keys else ""
+    return f"""
+s AS (SELECT {key_sel}time_bucket(INTERVAL '10 seconds', {ts}) - INTERVAL (k * 10) SECOND AS window_start
+      FROM {source}, range(6) t(k) WHERE {ts} IS NOT NULL)
+SELECT {key_sel}window_start, window_start + INTERVAL 1 MINUTE AS window_end, count(*) AS {count_name},
+       count(*) / 60.0 AS rate
+FROM s GROUP BY ALL"""
+
+
+RATE_1M = f"WITH {TRADES}, " + sliding_sql("trades", "ts", "symbol", "trades")
+INGESTION_1M = f"WITH {MESSAGES}, m AS (SELECT e.ts AS event_ts FROM messages JOIN events e USING (event_id)), " + sliding_sql(
+    "m", "event_ts", "", "messages"
+)
+
+COUNTER_RATE = f"""
+WITH {TRADES},
+per AS (SELECT symbol, CASE WHEN ts >= TIMESTAMP '2024-01-15 00:00:00' THEN 1 ELSE 0 END AS seg,
+               time_bucket(INTERVAL '600 seconds', ts) + INTERVAL 600 SECOND AS ts, count(*) AS n
+        FROM trades GROUP BY ALL),
+samples AS (SELECT symbol, ts, sum(n) OVER (PARTITION BY symbol, seg ORDER BY ts
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM per),
+d AS (SELECT *, coalesce(CASE WHEN value - lag(value) OVER (PARTITION BY symbol ORDER BY ts) < 0 THEN value
+                               ELSE value - lag(value) OVER (PARTITION BY symbol ORDER BY ts) END, 0) AS delta
+      FROM samples),
+r AS (SELECT symbol, ts, value,
+             sum(delta) OVER w - first_value(delta) OVER w AS inc,
+             epoch(ts) - epoch(min(ts) OVER w) AS span
+      FROM d WINDOW w AS (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW))
+SELECT symbol, ts, CAST(value AS BIGINT) AS value, CAST(inc AS BIGINT) AS increase,
+       CASE WHEN span > 0 THEN inc / span END AS rate
+FROM r"""
+
+TICKS = f"""
+{TRADES},
+ticks AS (SELECT symbol, time_bucket(INTERVAL '1 second', ts) AS second,
+                 arg_max(ts, {{'t': ts, 'i': trade_id}}) AS tick_ts,
+                 arg_max(price, {{'t': ts, 'i': trade_id}}) AS price,
+                 arg_max(size, {{'t': ts, 'i': trade_id}}) AS size
+          FROM trades GROUP BY ALL)
+"""
+
+INSERT_IF_ABSENT = f"""
+WITH {HOURLY},
+target AS (SELECT * FROM candles WHERE window_start < TIMESTAMP '2024-01-21 00:00:00'),
+incoming AS (SELECT symbol, window_start, window_end, open, high, low, close + 1.0 AS close, volume
+             FROM candles WHERE window_start >= TIMESTAMP '2024-01-15 00:00:00')
+SELECT * FROM target
+UNION ALL
+SELECT * FROM incoming i
+WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.symbol = i.symbol AND t.window_start = i.window_start)"""
+
+SQL.update({
+    "alerts": alerts_sql(0.3),
+    "alerts_wide": alerts_sql(50.0),
+    "alerts_feed": ALERTS_FEED,
+    "latest_price": f"""
+WITH {TRADES} SELECT symbol, arg_max(price, {{'t': ts, 'i': trade_id}}) AS price,
+                     arg_max(ts, {{'t': ts, 'i': trade_id}}) AS ts FROM trades GROUP BY symbol""",
+    "latest_n_candles": LATEST_N.replace("{n}", "200"),
+    "lookback_slice": f"WITH {SLICE_7D} SELECT * FROM slice",
+    "range_summary": RANGE_SUMMARY,
+    "kpi": KPI,
+    "sparkline": SPARKLINE,
+    "pipeline_status": PIPELINE_STATUS,
+    "metric_totals": METRIC_TOTALS,
+    "gap_grid": f"WITH {ALL_RANGE_GRID} SELECT * FROM g",
+    "ma_fast_slow": f"WITH {ALL_RANGE_GRID} SELECT symbol, window_start, close, {MA_COLS} FROM g {WINDOWS}",
+    "vwap": f"WITH {ALL_RANGE_GRID} SELECT symbol, window_start, close, {VWAP_COL} FROM g {WINDOWS}",
+    "chart_series": CHART_SERIES,
+    "throughput_10s_zero_filled": THROUGHPUT,
+    "rate_1m": RATE_1M,
+    "ingestion_rate_1m": INGESTION_1M,
+    "counter_rate": COUNTER_RATE,
+    "trade_totals": f"WITH {TRADES} SELECT symbol, count(*) AS trades FROM trades GROUP BY symbol",
+    "tick_sample_1s": f"WITH {TICKS} SELECT symbol, second, tick_ts AS ts, price, size FROM ticks",
+    "tick_retention": f"""WITH {TICKS} SELECT symbol, second, tick_ts AS ts, price, size FROM ticks
+WHERE tick_ts >= {AS_OF} - INTERVAL 10 MINUTE""",
+    "dup_audit": """SELECT count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
+       count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicates FROM lineitem""",
+    "dup_keys": """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "candle_constraints": f"""
+WITH {HOURLY}
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE symbol IS NULL) AS nulls_symbol,
+       count(*) FILTER (WHERE window_start IS NULL) AS nulls_window_start,
+       count(*) FILTER (WHERE window_end IS NULL) AS nulls_window_end,
+       count(*) FILTER (WHERE open IS NULL) AS nulls_open,
+       count(*) FILTER (WHERE high IS NULL) AS nulls_high,
+       count(*) FILTER (WHERE low IS NULL) AS nulls_low,
+       count(*) FILTER (WHERE close IS NULL) AS nulls_close,
+       count(*) FILTER (WHERE volume IS NULL) AS nulls_volume,
+       count(*) FILTER (WHERE window_end <> window_start + INTERVAL 1 HOUR) AS bad_window_end,
+       count(*) FILTER (WHERE low > high) AS low_above_high
+FROM candles""",
+    "insert_if_absent": INSERT_IF_ABSENT,
+})

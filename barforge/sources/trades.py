@@ -49,17 +49,22 @@ def decode_payload(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return raw.select(F.col(value_col).cast("string").alias("raw_json"))
 
 
-def parse_trades(raw: DataFrame, value_col: str = "value", keep_ts_text: bool = False) -> DataFrame:
+def parse_trades(
+    raw: DataFrame, value_col: str = "value", keep_ts_text: bool = False, passthrough: list[str] | None = None
+) -> DataFrame:
     """Payload -> typed trade columns plus ``raw_json``.
 
     ``from_json`` is PERMISSIVE: bad JSON gives all-NULL fields, one bad field
     gives only that field NULL. ``ts`` is parsed with ``try_to_timestamp`` so an
     unparseable time is NULL (malformed), never a query failure.
+    ``passthrough`` carries source columns along (e.g. Kafka partition/offset).
     """
-    parsed = decode_payload(raw, value_col).select(
-        "raw_json", F.from_json("raw_json", TRADE_WIRE_SCHEMA).alias("d")
-    )
+    extra = list(passthrough or [])
+    parsed = raw.select(
+        *extra, F.col(value_col).cast("string").alias("raw_json")
+    ).select(*extra, "raw_json", F.from_json("raw_json", TRADE_WIRE_SCHEMA).alias("d"))
     cols = [
+        *extra,
         "raw_json",
         F.col("d.symbol").alias("symbol"),
         F.col("d.price").alias("price"),
