@@ -116,6 +116,7 @@ def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int],
     root = table_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df = batch_df.persist()
         inserted = insert_batch_if_absent(to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start")
         as_double = inserted.select(
             *[F.col(c).cast("double").alias(c) if c in STORED_CANDLE_TYPES else F.col(c) for c in inserted.columns]
@@ -124,6 +125,7 @@ def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int],
         insert_batch_if_absent(alerts, batch_id, f"{root}/alerts", ALERT_KEYS, "ts")
         marker = batch_df.sparkSession.range(1).select(F.lit(int(batch_id)).alias("batch_id"), F.current_timestamp().alias("committed_at"))
         marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/_commits/batch_id={int(batch_id)}")
+        batch_df.unpersist()
 
     return write
 

@@ -430,3 +430,27 @@ SELECT count(*) AS rows,
 FROM candles""",
     "insert_if_absent": INSERT_IF_ABSENT,
 })
+
+# --- streaming: closed windows of the batch result ------------------------------
+
+STREAM_CLOSED = f"""
+{MESSAGES},
+vt AS (SELECT symbol, price, size, side, trade_id, ts FROM valid),
+{candles_cte('1 hour', source='vt')},
+closed AS (SELECT * FROM candles WHERE window_end <= (SELECT max(ts) FROM vt) - INTERVAL 1 MINUTE)
+"""
+
+SQL.update({
+    "stream_candles": f"WITH {STREAM_CLOSED} SELECT * FROM closed",
+    "stream_restart": f"WITH {STREAM_CLOSED} SELECT * FROM closed",
+    "stream_alerts": f"""
+WITH {STREAM_CLOSED},
+pct AS (SELECT *, CASE WHEN open IS NULL OR open = 0 THEN 0.0 ELSE (close - open) / open * 100.0 END AS p FROM closed)
+SELECT symbol, window_end AS ts, CAST(CAST(close AS DECIMAL(20, 8)) AS DOUBLE) AS price,
+       CAST(CAST(p AS DECIMAL(10, 4)) AS DOUBLE) AS pct_change,
+       symbol || ' moved ' || printf('%+.2f', p) || '% in the '
+       || strftime(window_start, '%H:%M') || '-' || strftime(window_end, '%H:%M') || ' window' AS message
+FROM pct WHERE abs(p) > 0.3""",
+    "stream_dead_letters": f"WITH {MESSAGES}, {MALFORMED} SELECT CAST(NULL AS VARCHAR) AS key, raw_json AS value FROM malformed",
+    "stream_malformed_total": f"WITH {MESSAGES}, {MALFORMED} SELECT 'malformed_dropped' AS metric, count(*) AS value FROM malformed",
+})
