@@ -60,12 +60,9 @@ def parse_trades(
     ``passthrough`` carries source columns along (e.g. Kafka partition/offset).
     """
     extra = list(passthrough or [])
-    parsed = raw.select(
-        *extra, F.col(value_col).cast("string").alias("raw_json")
-    ).select(*extra, "raw_json", F.from_json("raw_json", TRADE_WIRE_SCHEMA).alias("d"))
-    cols = [
-        *extra,
-        "raw_json",
+    decoded = raw.select(*extra, F.col(value_col).cast("string").alias("raw_json"))
+    parsed = decoded.select(*extra, "raw_json", F.from_json("raw_json", TRADE_WIRE_SCHEMA).alias("d"))
+    fields = [
         F.col("d.symbol").alias("symbol"),
         F.col("d.price").alias("price"),
         F.col("d.size").alias("size"),
@@ -74,8 +71,11 @@ def parse_trades(
         parse_ts(F.col("d.ts")).alias("ts"),
     ]
     if keep_ts_text:
-        cols.append(F.col("d.ts").alias("ts_text"))
-    return parsed.select(*cols)
+        fields.append(F.col("d.ts").alias("ts_text"))
+    # The struct is expanded by a one-row ``inline`` (a Generate node): filters on
+    # the parsed fields cannot be pushed below it, so each message is parsed once
+    # instead of once per field referenced by the validity predicate.
+    return parsed.select(*extra, "raw_json", F.inline(F.array(F.struct(*fields))))
 
 
 def split_trades(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
