@@ -149,10 +149,13 @@ def to_stored_pct(x) -> Column:
     return _c(x).try_cast(PCT_DECIMAL)
 
 
+RFC3339_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def trade_json(*cols: str) -> Column:
-    """F16: serialise trade fields to one JSON object text."""
+    """F16: serialise trade fields to one JSON object text (ts as RFC 3339, micros)."""
     names = cols or ("symbol", "price", "size", "side", "trade_id", "ts")
-    return F.to_json(F.struct(*[F.col(c) for c in names]))
+    return F.to_json(F.struct(*[F.col(c) for c in names]), {"timestampFormat": RFC3339_MICROS})
 
 
 def strict_double(text) -> Column:

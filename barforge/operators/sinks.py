@@ -34,9 +34,15 @@ def dedupe_first(df: DataFrame, keys: list[str], order_col: str | None = None) -
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
-    """K1 as a relation: ``target`` plus incoming rows whose key is not yet present."""
-    new_rows = dedupe_first(incoming, keys, order_col).join(target.select(*keys), keys, "left_anti")
+def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str], order_col: str | None = None,
+                     assume_unique: bool = False) -> DataFrame:
+    """K1 as a relation: ``target`` plus incoming rows whose key is not yet present.
+
+    ``assume_unique`` skips the de-duplication (and its shuffle) for input that is
+    unique per key by construction, e.g. the output of a group-by on the keys.
+    """
+    rows = incoming if assume_unique else dedupe_first(incoming, keys, order_col)
+    new_rows = rows.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new_rows.select(*target.columns))
 
 
@@ -86,25 +92,28 @@ def to_stored_alerts(alerts: DataFrame) -> DataFrame:
     )
 
 
-def insert_batch_if_absent(batch: DataFrame, batch_id: int, path: str, keys: list[str], time_col: str) -> DataFrame:
-    """Write the rows of ``batch`` whose key no *other* batch stored; return them.
+def insert_batch_if_absent(batch: DataFrame, batch_id: int, path: str, keys: list[str], time_col: str,
+                           assume_unique: bool = False) -> DataFrame:
+    """Write the rows of ``batch`` whose key no *other* batch stored; return them
+    (persisted; the caller unpersists).
 
     The anti join reads only stored rows in the batch's time range (a pushed
     filter on ``time_col``); AQE chooses the join strategy from the real sizes.
     """
     spark = batch.sparkSession
-    rows = dedupe_first(batch, keys)
+    rows = batch if assume_unique else dedupe_first(batch, keys)
     stored = read_table(spark, path, rows.schema)
     bounds = rows.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        write_batch(rows.limit(0), path, batch_id)
-        return rows.limit(0)
+        empty = rows.limit(0)
+        write_batch(empty, path, batch_id)
+        return empty.persist()
     existing = stored.filter(
         (F.col("batch_id") != batch_id) & F.col(time_col).between(bounds["lo"], bounds["hi"])
     ).select(*keys)
-    new_rows = rows.join(existing, keys, "left_anti")
+    new_rows = rows.join(existing, keys, "left_anti").persist()
     write_batch(new_rows, path, batch_id)
-    return batch.sparkSession.read.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    return new_rows
 
 
 # --- foreachBatch sink factories ----------------------------------------------------
@@ -117,15 +126,19 @@ def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int],
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
-        inserted = insert_batch_if_absent(to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start")
+        # candles of one micro-batch are unique per key (they come from a group-by on it)
+        inserted = insert_batch_if_absent(
+            to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start", assume_unique=True
+        )
         as_double = inserted.select(
             *[F.col(c).cast("double").alias(c) if c in STORED_CANDLE_TYPES else F.col(c) for c in inserted.columns]
-        ).drop("batch_id")
+        )
         alerts = to_stored_alerts(derive_alerts(as_double, threshold))
-        insert_batch_if_absent(alerts, batch_id, f"{root}/alerts", ALERT_KEYS, "ts")
+        written = insert_batch_if_absent(alerts, batch_id, f"{root}/alerts", ALERT_KEYS, "ts", assume_unique=True)
         marker = batch_df.sparkSession.range(1).select(F.lit(int(batch_id)).alias("batch_id"), F.current_timestamp().alias("committed_at"))
         marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/_commits/batch_id={int(batch_id)}")
-        batch_df.unpersist()
+        for df in (written, inserted, batch_df):
+            df.unpersist()
 
     return write
 
@@ -136,13 +149,13 @@ def dead_letter_sink(table_root: str, metric: str = "malformed_dropped") -> Call
     root = table_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        dead = batch_df.select(F.lit(None).cast("string").alias("key"), F.col("raw_json").alias("value"))
+        dead = batch_df.select(F.lit(None).cast("string").alias("key"), F.col("raw_json").alias("value")).persist()
         write_batch(dead, f"{root}/dead_letters", batch_id)
-        stored = batch_df.sparkSession.read.parquet(f"{root}/dead_letters/batch_id={int(batch_id)}")
-        ledger = stored.agg(F.count(F.lit(1)).cast("long").alias("value")).select(
+        ledger = dead.agg(F.count(F.lit(1)).cast("long").alias("value")).select(
             F.lit(metric).alias("metric"), "value", F.current_timestamp().alias("updated_at")
         )
         write_batch(ledger, f"{root}/metrics", batch_id)
+        dead.unpersist()
 
     return write
 
@@ -152,7 +165,9 @@ def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict |
     """K5: publish ``(key, value=to_json(row))``. To Kafka when options are given
     (needs the connector), else to files hash-partitioned by key (per-key order
     within a file, like keyed topic partitions)."""
-    out = df.select(F.col(key_col).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    from barforge.functions.exprs import trade_json
+
+    out = df.select(F.col(key_col).cast("string").alias("key"), trade_json(*df.columns).alias("value"))
     if kafka_options:
         w = out.write.format("kafka")
         for k, v in kafka_options.items():

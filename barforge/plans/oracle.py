@@ -454,3 +454,26 @@ FROM pct WHERE abs(p) > 0.3""",
     "stream_dead_letters": f"WITH {MESSAGES}, {MALFORMED} SELECT CAST(NULL AS VARCHAR) AS key, raw_json AS value FROM malformed",
     "stream_malformed_total": f"WITH {MESSAGES}, {MALFORMED} SELECT 'malformed_dropped' AS metric, count(*) AS value FROM malformed",
 })
+
+NUM = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+SQL.update({
+    "symbol_candles": f"WITH {HOURLY} SELECT * FROM candles WHERE symbol = 'view' AND window_start >= {AS_OF} - INTERVAL 10080 MINUTE",
+    "symbol_candles_all": f"WITH {HOURLY} SELECT * FROM candles WHERE symbol = 'view' ORDER BY window_start DESC LIMIT 2000",
+    "dead_letter_replay": f"""
+WITH {MESSAGES}, {MALFORMED},
+mj AS (SELECT CASE WHEN json_valid(raw_json) THEN raw_json END AS j FROM malformed),
+lp AS (SELECT json_extract_string(j, '$.symbol') AS symbol,
+              CASE WHEN regexp_matches(json_extract_string(j, '$.price'), '{NUM}')
+                   THEN TRY_CAST(trim(json_extract_string(j, '$.price')) AS DOUBLE) END AS price,
+              CASE WHEN regexp_matches(json_extract_string(j, '$.size'), '{NUM}')
+                   THEN TRY_CAST(trim(json_extract_string(j, '$.size')) AS DOUBLE) END AS size,
+              json_extract_string(j, '$.side') AS side,
+              TRY_CAST(json_extract_string(j, '$.trade_id') AS BIGINT) AS trade_id,
+              timezone('UTC', TRY_CAST(json_extract_string(j, '$.ts') AS TIMESTAMPTZ)) AS ts
+       FROM mj)
+SELECT * FROM lp
+WHERE symbol IS NOT NULL AND price IS NOT NULL AND size IS NOT NULL AND side IS NOT NULL
+  AND trade_id IS NOT NULL AND ts IS NOT NULL""",
+    "publish_roundtrip": f"WITH {TRADES} SELECT symbol AS key, symbol, price, size, side, trade_id, ts FROM trades",
+})
