@@ -24,7 +24,8 @@ SPARK_H = 36
 
 
 def moving_averages(grid: DataFrame, step_s: int, lengths: dict | None = None,
-                    key: str = "symbol", ts: str = "window_start", value: str = "close") -> DataFrame:
+                    key: str = "symbol", ts: str = "window_start", value: str = "close",
+                    keep_bucket: str | None = None) -> DataFrame:
     """``avg(value)`` over the last ``n`` slots, only when all ``n`` are present.
 
     A RANGE frame of ``(n-1)*step`` seconds on the grid equals a ROWS frame of
@@ -39,13 +40,14 @@ def moving_averages(grid: DataFrame, step_s: int, lengths: dict | None = None,
             return F.when(F.count(value).over(frame) == n, round_to(F.avg(value).over(frame)))
         return fn
 
-    return trailing(grid, key, ts, halo, step_s, {name: ma(n) for name, n in lengths.items()})
+    return trailing(grid, key, ts, halo, step_s, {name: ma(n) for name, n in lengths.items()}, keep_bucket=keep_bucket)
 
 
-def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start") -> DataFrame:
+def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start",
+                 bucket_col: str | None = None) -> DataFrame:
     """Cumulative typical-price VWAP from the first row of each key's slice."""
     tv = typical_price("high", "low", "close") * F.col("volume")
-    out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": F.col("volume")})
+    out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": F.col("volume")}, bucket_col=bucket_col)
     vwap = F.when(F.col("close").isNotNull(), round_to(F.try_divide(F.col("_ctv"), F.when(F.col("_cv") != 0, F.col("_cv")))))
     return out.withColumn("vwap", vwap).drop("_ctv", "_cv")
 
@@ -53,8 +55,9 @@ def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start")
 def chart_series(slice_df: DataFrame, step_s: int, key: str = "symbol") -> DataFrame:
     """D3: slice -> gap grid -> MA fast/slow -> VWAP -> candle direction."""
     grid = gap_fill(slice_df, step_s, key)
-    with_ma = moving_averages(grid, step_s, key=key)
-    with_vwap = session_vwap(with_ma, key=key)
+    # VWAP's running sums reuse the (key, bucket) partitioning of the MA windows.
+    with_ma = moving_averages(grid, step_s, key=key, keep_bucket="_hb")
+    with_vwap = session_vwap(with_ma, key=key, bucket_col="_hb").drop("_hb")
     return with_vwap.withColumn(
         "direction", F.when(F.col("close").isNotNull(), direction(F.col("close") - F.col("open")))
     )

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from barforge.functions.exprs import to_stored_pct, to_stored_price, to_stored_volume
 from barforge.operators.alerts import derive_alerts
@@ -60,9 +60,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A batch-partitioned table with an explicit schema (empty when absent)."""
-    full = StructType(list(schema.fields) + [StructField("batch_id", LongType())])
+def read_table(spark: SparkSession, path: str, schema: StructType, dated: bool = False) -> DataFrame:
+    """A batch-partitioned table with an explicit schema (empty when absent).
+
+    ``dated`` tables are laid out ``date=<UTC day>/batch_id=<id>``.
+    """
+    parts = [StructField("date", DateType())] if dated else []
+    full = StructType(list(schema.fields) + parts + [StructField("batch_id", LongType())])
     if not path_exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
@@ -74,6 +78,20 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
+def write_dated_batch(df: DataFrame, path: str, batch_id: int, time_col: str) -> None:
+    """Write ``date=<day of time_col>/batch_id=<id>`` partitions, replacing only the
+    partitions this batch produces (dynamic overwrite). A retried micro-batch has
+    the same input, hence the same partitions, so a torn attempt is replaced."""
+    (
+        df.withColumn("date", F.to_date(time_col))
+        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "batch_id")
+        .parquet(path)
+    )
+
+
 def to_stored_candles(candles: DataFrame) -> DataFrame:
     """candle doubles -> DECIMAL(20,8) / DECIMAL(30,8) (half-up, NULL on overflow)."""
     cols = []
@@ -97,22 +115,23 @@ def insert_batch_if_absent(batch: DataFrame, batch_id: int, path: str, keys: lis
     """Write the rows of ``batch`` whose key no *other* batch stored; return them
     (persisted; the caller unpersists).
 
-    The anti join reads only stored rows in the batch's time range (a pushed
-    filter on ``time_col``); AQE chooses the join strategy from the real sizes.
+    The anti join reads only stored rows of the batch's dates (partition pruning)
+    and time range (pushed filter); AQE picks the join strategy from real sizes.
     """
     spark = batch.sparkSession
     rows = batch if assume_unique else dedupe_first(batch, keys)
-    stored = read_table(spark, path, rows.schema)
+    stored = read_table(spark, path, rows.schema, dated=True)
     bounds = rows.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        empty = rows.limit(0)
-        write_batch(empty, path, batch_id)
-        return empty.persist()
+        return rows.limit(0).persist()
+    lo, hi = F.lit(bounds["lo"]).cast("timestamp"), F.lit(bounds["hi"]).cast("timestamp")
     existing = stored.filter(
-        (F.col("batch_id") != batch_id) & F.col(time_col).between(bounds["lo"], bounds["hi"])
+        F.col("date").between(F.to_date(lo), F.to_date(hi))
+        & (F.col("batch_id") != batch_id)
+        & F.col(time_col).between(lo, hi)
     ).select(*keys)
     new_rows = rows.join(existing, keys, "left_anti").persist()
-    write_batch(new_rows, path, batch_id)
+    write_dated_batch(new_rows, path, batch_id, time_col)
     return new_rows
 
 
@@ -150,11 +169,14 @@ def dead_letter_sink(table_root: str, metric: str = "malformed_dropped") -> Call
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         dead = batch_df.select(F.lit(None).cast("string").alias("key"), F.col("raw_json").alias("value")).persist()
-        write_batch(dead, f"{root}/dead_letters", batch_id)
-        ledger = dead.agg(F.count(F.lit(1)).cast("long").alias("value")).select(
-            F.lit(metric).alias("metric"), "value", F.current_timestamp().alias("updated_at")
-        )
-        write_batch(ledger, f"{root}/metrics", batch_id)
+        count = dead.count()
+        if count:  # like the reference, nothing is written for a clean batch
+            write_batch(dead, f"{root}/dead_letters", batch_id)
+            ledger = batch_df.sparkSession.range(1).select(
+                F.lit(metric).alias("metric"), F.lit(count).cast("long").alias("value"),
+                F.current_timestamp().alias("updated_at"),
+            )
+            write_batch(ledger.coalesce(1), f"{root}/metrics", batch_id)
         dead.unpersist()
 
     return write

@@ -90,37 +90,43 @@ def halo_buckets(df: DataFrame, ts: str, halo_s: int, bucket_s: int) -> DataFram
     )
 
 
-def trailing(df: DataFrame, key: str, ts: str, halo_s: int, step_s: int, columns: dict) -> DataFrame:
+def trailing(df: DataFrame, key: str, ts: str, halo_s: int, step_s: int, columns: dict,
+             keep_bucket: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """Evaluate trailing-frame expressions exactly, partitioned by (key, bucket).
 
     ``columns`` maps output name -> ``fn(window_spec) -> Column`` where the spec
     is ordered by epoch seconds; frames must look back at most ``halo_s``.
+    ``keep_bucket`` keeps the home bucket id under that name, so a following
+    per-(key, bucket) step can reuse this partitioning without a new shuffle.
     """
-    bucket_s = bucket_size(halo_s, step_s)
+    bucket_s = bucket_s or bucket_size(halo_s, step_s)
     h = halo_buckets(df, ts, halo_s, bucket_s).withColumn("_s", seconds(ts))
     base = Window.partitionBy(key, "_bucket").orderBy("_s")
     for name, fn in columns.items():
         h = h.withColumn(name, fn(base))
-    return h.filter("_home").drop("_bucket", "_home", "_s")
+    out = h.filter("_home").drop("_home", "_s")
+    return out.withColumnRenamed("_bucket", keep_bucket) if keep_bucket else out.drop("_bucket")
 
 
-def running_sums(df: DataFrame, keys: list[str], ts: str, sums: dict, bucket_s: int = DAY_S) -> DataFrame:
-    """Cumulative sums per key in ``ts`` order (ties: all rows of one ts in order of
-    arrival within the bucket frame), NULL inputs skipped.
+def running_sums(df: DataFrame, keys: list[str], ts: str, sums: dict, bucket_s: int = DAY_S,
+                 bucket_col: str | None = None) -> DataFrame:
+    """Cumulative sums per key in ``ts`` order, NULL inputs skipped (SQL running SUM).
 
     ``sums`` maps output name -> Column to accumulate. Cost: one aggregation to
     (key, bucket) totals, a window over those small rows, one join back on
     (key, bucket), and an in-bucket running window on the same partitioning.
+    ``bucket_col`` names an existing bucket id column (e.g. from :func:`trailing`)
+    whose partitioning is then reused; otherwise buckets of ``bucket_s`` seconds.
     """
-    s = seconds(ts)
-    with_b = df.withColumn("_b", F.floor(s / bucket_s).cast("long"))
+    b = bucket_col or "_b"
+    with_b = df if bucket_col else df.withColumn(b, F.floor(seconds(ts) / bucket_s).cast("long"))
     for name, expr in sums.items():
         with_b = with_b.withColumn(f"_v_{name}", expr)
-    totals = with_b.groupBy(*keys, "_b").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(*keys, "_b", *[F.sum(f"_t_{n}").over(wb).alias(f"_p_{n}") for n in sums])
-    joined = with_b.join(prefix, [*keys, "_b"], "left")
-    win = Window.partitionBy(*keys, "_b").orderBy(F.col(ts).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    totals = with_b.groupBy(*keys, b).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select(*keys, b, *[F.sum(f"_t_{n}").over(wb).alias(f"_p_{n}") for n in sums])
+    joined = with_b.join(prefix, [*keys, b], "left")
+    win = Window.partitionBy(*keys, b).orderBy(F.col(ts).asc()).rowsBetween(Window.unboundedPreceding, 0)
     out = joined
     for n in sums:
         inside = F.sum(f"_v_{n}").over(win)
@@ -132,4 +138,5 @@ def running_sums(df: DataFrame, keys: list[str], ts: str, sums: dict, bucket_s:
                 F.coalesce(prior, F.lit(0)) + F.coalesce(inside, F.lit(0))
             ),
         )
-    return out.drop("_b", *[f"_v_{n}" for n in sums], *[f"_p_{n}" for n in sums])
+    dropped = [f"_v_{n}" for n in sums] + [f"_p_{n}" for n in sums]
+    return out.drop(*dropped) if bucket_col else out.drop(b, *dropped)

@@ -105,7 +105,7 @@ def run_both(raw_stream: DataFrame, cfg: StreamConfig, timeout_s: float | None =
 
 def stored_candles(spark: SparkSession, table_root: str) -> DataFrame:
     """The candle table as doubles (what the read side consumes)."""
-    t = read_table(spark, f"{table_root.rstrip('/')}/candles", stored_candle_schema())
+    t = read_table(spark, f"{table_root.rstrip('/')}/candles", stored_candle_schema(), dated=True)
     return t.select(
         "symbol", "window_start", "window_end",
         *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")],
@@ -121,7 +121,7 @@ def stored_alerts(spark: SparkSession, table_root: str) -> DataFrame:
         StructField("price", PRICE_DECIMAL), StructField("pct_change", PCT_DECIMAL),
         StructField("message", StringType()),
     ])
-    return read_table(spark, f"{table_root.rstrip('/')}/alerts", schema)
+    return read_table(spark, f"{table_root.rstrip('/')}/alerts", schema, dated=True)
 
 
 def stored_dead_letters(spark: SparkSession, table_root: str) -> DataFrame:
