@@ -20,10 +20,15 @@ def read_kafka_stream(
     topic: str,
     starting_offsets: str = "latest",
     extra_options: dict | None = None,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Kafka scan of the trade topic (key = symbol bytes, value = JSON bytes).
 
-    Needs the spark-sql-kafka connector on the classpath.
+    ``max_offsets_per_trigger`` bounds each micro-batch (a backlog after a restart
+    is drained in bounded steps); ``min_partitions`` splits large topic partitions
+    over more tasks than the topic has partitions. Needs the spark-sql-kafka
+    connector on the classpath.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -31,6 +36,10 @@ def read_kafka_stream(
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
     )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     for k, v in (extra_options or {}).items():
         reader = reader.option(k, v)
     return reader.load()

@@ -31,6 +31,11 @@ WINDOW_DURATION = "1 minute"
 WATERMARK_DELAY = "1 minute"
 TRIGGER_INTERVAL = "5 seconds"
 
+STATE_STORES = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+
 
 @dataclass
 class StreamConfig:
@@ -41,6 +46,21 @@ class StreamConfig:
     threshold: float = 0.3
     processing_time: str | None = TRIGGER_INTERVAL
     available_now: bool = False
+    # RocksDB keeps window state off the JVM heap and checkpoints changelogs, so
+    # state size is bounded by disk, not executor memory. The provider and the
+    # number of state partitions are fixed by a checkpoint's first run.
+    state_store: str | None = "rocksdb"
+    state_partitions: int | None = None
+
+
+def apply_state_settings(spark: SparkSession, cfg: "StreamConfig") -> None:
+    """Session settings read when a stateful query starts on a new checkpoint."""
+    if cfg.state_store:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[cfg.state_store])
+        if cfg.state_store == "rocksdb":
+            spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if cfg.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
 
 
 def _trigger(writer, cfg: StreamConfig):
@@ -65,6 +85,7 @@ def candle_frames(raw_stream: DataFrame, cfg: StreamConfig) -> tuple[DataFrame,
 
 def start_candles(raw_stream: DataFrame, cfg: StreamConfig, query_name: str | None = None) -> StreamingQuery:
     """Append-mode candle query with the insert-if-absent sink."""
+    apply_state_settings(raw_stream.sparkSession, cfg)
     candles, _ = candle_frames(raw_stream, cfg)
     writer = (
         candles.writeStream.outputMode("append")
