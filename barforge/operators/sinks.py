@@ -111,20 +111,23 @@ def to_stored_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def insert_batch_if_absent(batch: DataFrame, batch_id: int, path: str, keys: list[str], time_col: str,
-                           assume_unique: bool = False) -> DataFrame:
+                           assume_unique: bool = False, bounds: tuple | None = None) -> DataFrame:
     """Write the rows of ``batch`` whose key no *other* batch stored; return them
     (persisted; the caller unpersists).
 
     The anti join reads only stored rows of the batch's dates (partition pruning)
     and time range (pushed filter); AQE picks the join strategy from real sizes.
+    ``bounds`` = (min, max) of ``time_col`` when the caller already knows them.
     """
     spark = batch.sparkSession
     rows = batch if assume_unique else dedupe_first(batch, keys)
     stored = read_table(spark, path, rows.schema, dated=True)
-    bounds = rows.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
+    if bounds is None:
+        r = rows.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+        bounds = (r["lo"], r["hi"])
+    if bounds[0] is None:
         return rows.limit(0).persist()
-    lo, hi = F.lit(bounds["lo"]).cast("timestamp"), F.lit(bounds["hi"]).cast("timestamp")
+    lo, hi = F.lit(bounds[0]).cast("timestamp"), F.lit(bounds[1]).cast("timestamp")
     existing = stored.filter(
         F.col("date").between(F.to_date(lo), F.to_date(hi))
         & (F.col("batch_id") != batch_id)
@@ -145,23 +148,42 @@ def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int],
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
+        # one pass for the time bounds of the candles and of their alerts (ts = window_end)
+        b = batch_df.agg(F.min("window_start"), F.max("window_start"), F.min("window_end"), F.max("window_end")).first()
         # candles of one micro-batch are unique per key (they come from a group-by on it)
         inserted = insert_batch_if_absent(
-            to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start", assume_unique=True
+            to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start",
+            assume_unique=True, bounds=(b[0], b[1]),
         )
         as_double = inserted.select(
             *[F.col(c).cast("double").alias(c) if c in STORED_CANDLE_TYPES else F.col(c) for c in inserted.columns]
         )
         alerts = to_stored_alerts(derive_alerts(as_double, threshold))
-        written = insert_batch_if_absent(alerts, batch_id, f"{root}/alerts", ALERT_KEYS, "ts", assume_unique=True)
-        marker = batch_df.sparkSession.range(1).select(F.lit(int(batch_id)).alias("batch_id"), F.current_timestamp().alias("committed_at"))
-        marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/_commits/batch_id={int(batch_id)}")
+        written = insert_batch_if_absent(
+            alerts, batch_id, f"{root}/alerts", ALERT_KEYS, "ts", assume_unique=True, bounds=(b[2], b[3])
+        )
+        write_marker(batch_df.sparkSession, f"{root}/_commits", batch_id)
         for df in (written, inserted, batch_df):
             df.unpersist()
 
     return write
 
 
+def write_marker(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Commit marker of a batch: an empty file written last (a metadata operation)."""
+    p, fs = _fs_path(spark, f"{folder.rstrip('/')}/batch_id={int(batch_id)}")
+    fs.create(p, True).close()
+
+
+def committed_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Batch ids whose marker exists."""
+    p, fs = _fs_path(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(p)
+                  if s.getPath().getName().startswith("batch_id="))
+
+
 def dead_letter_sink(table_root: str, metric: str = "malformed_dropped") -> Callable[[DataFrame, int], None]:
     """K3 + K4: dead letters (original payload, NULL key) and one ledger row per
     batch, both keyed by batch id, so a replayed batch is counted once."""

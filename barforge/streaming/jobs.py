@@ -46,10 +46,11 @@ class StreamConfig:
     threshold: float = 0.3
     processing_time: str | None = TRIGGER_INTERVAL
     available_now: bool = False
-    # RocksDB keeps window state off the JVM heap and checkpoints changelogs, so
-    # state size is bounded by disk, not executor memory. The provider and the
-    # number of state partitions are fixed by a checkpoint's first run.
-    state_store: str | None = "rocksdb"
+    # Candle state is bounded by (open windows x symbols): the watermark evicts a
+    # window once it is final, so the default in-memory (HDFS-backed) provider
+    # fits; "rocksdb" moves state off the JVM heap for very wide key spaces. The
+    # provider and the number of state partitions are fixed by a checkpoint's first run.
+    state_store: str | None = None
     state_partitions: int | None = None
 
 
