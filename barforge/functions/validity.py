@@ -31,7 +31,7 @@ def _not_positive(c: Column) -> Column:
     return c.isNotNull() & (F.isnan(c) | (c <= 0))
 
 
-def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text") -> Column:
+def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text", keys_col: str | None = None) -> Column:
     """P5: ARRAY<STRING> of contract rules a parsed trade breaks (empty = conforms).
 
     Expects the parsed columns (symbol, price, size, side, trade_id) plus the raw
@@ -39,8 +39,12 @@ def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text")
     key present ('required:<f>') with the right JSON type ('type:<f>'); price and
     size > 0 (NaN breaks it); side in the enum; trade_id >= 0; ts an RFC 3339
     date-time; no keys outside the contract ('extra:<key>').
+
+    ``keys_col`` names a column already holding ``json_object_keys(raw)``; the
+    expression is referenced many times, so precomputing it (see
+    :func:`with_violations`) avoids re-parsing the text per reference.
     """
-    keys = F.json_object_keys(F.col(raw_col))
+    keys = F.col(keys_col) if keys_col else F.json_object_keys(F.col(raw_col))
     per_field = []
     for f in REQUIRED_FIELDS:
         value = F.col(ts_text_col) if f == "ts" else F.col(f)
@@ -72,3 +76,12 @@ def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text")
         lambda k: F.concat(F.lit("extra:"), k),
     )
     return F.concat(F.array_compact(F.array(*rules)), F.coalesce(extras, F.array().cast("array<string>")))
+
+
+def with_violations(parsed, raw_col: str = "raw_json", ts_text_col: str = "ts_text"):
+    """Add ``violations`` to a parsed frame, parsing the key set once per row."""
+    return (
+        parsed.withColumn("_keys", F.json_object_keys(F.col(raw_col)))
+        .withColumn("violations", contract_violations(raw_col, ts_text_col, keys_col="_keys"))
+        .drop("_keys")
+    )
