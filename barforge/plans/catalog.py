@@ -393,10 +393,17 @@ def stream_run(spark: SparkSession, sf_dir: str, restart: bool = False) -> dict:
         files = [STREAM_FILES // 2, STREAM_FILES - STREAM_FILES // 2]
     else:
         parts, files = [msgs], [STREAM_FILES]
-    for part, n in zip(parts, files):
-        jobs.write_ordered_input(part, inbox, n, "event_ts")
-        qs = jobs.run_both(jobs.text_stream(spark, inbox, 1), cfg)
-        records.extend(progress.progress_records(qs))
+    # State partitions are fixed by a checkpoint's first run; this small run uses
+    # one per core, and the caller's shuffle setting is restored afterwards.
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    cfg.state_partitions = max(2, spark.sparkContext.defaultParallelism)
+    try:
+        for part, n in zip(parts, files):
+            jobs.write_ordered_input(part, inbox, n, "event_ts")
+            qs = jobs.run_both(jobs.text_stream(spark, inbox, 1), cfg)
+            records.extend(progress.progress_records(qs))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     run = {"tables": tables, "progress": records}
     _STREAM_RUNS[memo] = run
     return run
@@ -496,3 +503,15 @@ def publish_roundtrip(spark, sf_dir):
     back = parse_trades(spark.read.parquet(path), passthrough=["key"])
     valid, _ = split_trades(back)
     return ntz(valid.drop("raw_json"))
+
+
+@query("tick_buffer")
+def tick_buffer(spark, sf_dir):
+    """K6 + S5 + P10: per-second ticks appended to a date-partitioned table, read
+    back with the 10-minute retention window (date partitions pruned first)."""
+    from barforge.operators.sinks import append_ticks
+
+    path = scratch_path(spark, "ticks")
+    append_ticks(rates.tick_samples(testviews.trades(spark, sf_dir)), path)
+    kept = tables.read_ticks(spark, path, P.as_of_col(), serving.TICK_RETENTION_MIN)
+    return ntz(kept.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))

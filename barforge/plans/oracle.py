@@ -477,3 +477,5 @@ WHERE symbol IS NOT NULL AND price IS NOT NULL AND size IS NOT NULL AND side IS
   AND trade_id IS NOT NULL AND ts IS NOT NULL""",
     "publish_roundtrip": f"WITH {TRADES} SELECT symbol AS key, symbol, price, size, side, trade_id, ts FROM trades",
 })
+
+SQL["tick_buffer"] = SQL["tick_retention"]
