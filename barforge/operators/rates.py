@@ -31,43 +31,47 @@ def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_I
     """``(window_start, symbol, trades, rate, total_rate)`` for every interval
     between the first and last trade and every configured symbol (0 when silent).
 
-    The grid is generated per (symbol, day chunk) and repartitioned before it
-    expands, then joined to the counts on (window_start, symbol).
+    Counts are reduced to one row per interval holding a symbol -> count map
+    (at most one entry per configured symbol) and the interval total; only the
+    interval grid (generated per day chunk, in parallel) is joined to it, and the
+    configured symbols are expanded after the join, so the windows x symbols
+    output is never shuffled.
     """
     wanted = [s.strip() for s in symbols if s and s.strip()]
-    counts = (
+    per_window = (
         allow_list(trades, wanted)
         .groupBy(F.window("ts", _interval(interval_s)).start.alias("window_start"), "symbol")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("window_start")
+        .agg(F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("_counts"),
+             F.sum("n").alias("_total"))
     )
     step_us = interval_s * 1_000_000
     per_chunk = max(1, DAY_S // interval_s)
+    lo_us = F.floor(F.unix_micros(F.min("ts")) / step_us) * step_us
     bounds = trades.agg(
-        (F.floor(F.unix_micros(F.min("ts")) / step_us) * step_us).cast("long").alias("_lo"),
-        F.floor((F.unix_micros(F.max("ts")) - F.floor(F.unix_micros(F.min("ts")) / step_us) * step_us) / step_us)
-        .cast("long").alias("_n"),
+        lo_us.cast("long").alias("_lo"),
+        F.floor((F.unix_micros(F.max("ts")) - lo_us) / step_us).cast("long").alias("_n"),
     )
-    chunks = (
-        bounds.select("_lo", "_n", F.explode(F.array(*[F.lit(s) for s in wanted])).alias("symbol"))
-        .select(
-            "_lo", "_n", "symbol",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_n") / per_chunk).cast("long"))).alias("_c"),
-        )
-        .repartition("symbol", "_c")
-    )
-    grid = chunks.select(
-        "symbol", "_lo",
+    chunks = bounds.select(
+        "_lo", "_n",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_n") / per_chunk).cast("long"))).alias("_c"),
+    ).repartition("_c")
+    windows = chunks.select(
+        "_lo",
         F.explode(F.sequence(F.col("_c") * per_chunk, F.least((F.col("_c") + 1) * per_chunk - 1, F.col("_n")))).alias("_k"),
-    ).select("symbol", F.timestamp_micros(F.col("_lo") + F.col("_k") * step_us).alias("window_start"))
-    filled = grid.join(counts, ["window_start", "symbol"], "left").select(
-        "window_start", "symbol", F.coalesce("n", F.lit(0)).cast("long").alias("trades")
-    )
-    totals = filled.groupBy("window_start").agg(F.sum("trades").alias("_total"))
-    return filled.join(totals, "window_start").select(
+    ).select(F.timestamp_micros(F.col("_lo") + F.col("_k") * step_us).alias("window_start"))
+    filled = windows.join(per_window, "window_start", "left")
+    return filled.select(
+        "window_start",
+        F.explode(F.array(*[F.lit(s) for s in wanted])).alias("symbol"),
+        "_counts",
+        F.coalesce(F.col("_total"), F.lit(0)).cast("long").alias("_total"),
+    ).select(
         "window_start",
         "symbol",
-        "trades",
-        (F.col("trades") / float(interval_s)).alias("rate"),
+        F.coalesce(F.try_element_at("_counts", F.col("symbol")), F.lit(0)).cast("long").alias("trades"),
+        (F.coalesce(F.try_element_at("_counts", F.col("symbol")), F.lit(0)) / float(interval_s)).alias("rate"),
         (F.col("_total") / float(interval_s)).alias("total_rate"),
     )
 
