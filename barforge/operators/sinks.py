@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from barforge.functions.exprs import to_stored_pct, to_stored_price, to_stored_volume
 from barforge.operators.alerts import derive_alerts
-from barforge.schema import STORED_ALERT_TYPES, STORED_CANDLE_TYPES
+from barforge.schema import STORED_CANDLE_TYPES
 
 CANDLE_KEYS = ["symbol", "window_start"]
 ALERT_KEYS = ["symbol", "ts"]
@@ -63,10 +63,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str, schema: StructType, dated: bool = False) -> DataFrame:
     """A batch-partitioned table with an explicit schema (empty when absent).
 
-    ``dated`` tables are laid out ``date=<UTC day>/batch_id=<id>``.
+    ``dated`` tables are laid out ``batch_id=<id>/date=<UTC day>``.
     """
-    parts = [StructField("date", DateType())] if dated else []
-    full = StructType(list(schema.fields) + parts + [StructField("batch_id", LongType())])
+    parts = [StructField("batch_id", LongType())] + ([StructField("date", DateType())] if dated else [])
+    full = StructType(list(schema.fields) + parts)
     if not path_exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
@@ -79,16 +79,14 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def write_dated_batch(df: DataFrame, path: str, batch_id: int, time_col: str) -> None:
-    """Write ``date=<day of time_col>/batch_id=<id>`` partitions, replacing only the
-    partitions this batch produces (dynamic overwrite). A retried micro-batch has
-    the same input, hence the same partitions, so a torn attempt is replaced."""
+    """Overwrite the whole ``batch_id=<id>`` folder, split into ``date=`` partitions
+    by the day of ``time_col``: readers prune by date, and a retried batch replaces
+    everything a torn attempt left, even when the retry writes nothing."""
     (
         df.withColumn("date", F.to_date(time_col))
-        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch_id")
-        .parquet(path)
+        .partitionBy("date")
+        .parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
     )
 
 
@@ -148,22 +146,20 @@ def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int],
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
-        # one pass for the time bounds of the candles and of their alerts (ts = window_end)
-        b = batch_df.agg(F.min("window_start"), F.max("window_start"), F.min("window_end"), F.max("window_end")).first()
+        b = batch_df.agg(F.min("window_start"), F.max("window_start")).first()
         # candles of one micro-batch are unique per key (they come from a group-by on it)
         inserted = insert_batch_if_absent(
             to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start",
             assume_unique=True, bounds=(b[0], b[1]),
         )
-        as_double = inserted.select(
-            *[F.col(c).cast("double").alias(c) if c in STORED_CANDLE_TYPES else F.col(c) for c in inserted.columns]
-        )
-        alerts = to_stored_alerts(derive_alerts(as_double, threshold))
-        written = insert_batch_if_absent(
-            alerts, batch_id, f"{root}/alerts", ALERT_KEYS, "ts", assume_unique=True, bounds=(b[2], b[3])
-        )
+        # Alerts are derived from the unrounded candles that were inserted. An alert
+        # key can exist only with its candle, and both are written by the batch that
+        # inserts the candle (a torn batch is retried whole), so no anti join is needed.
+        fresh = batch_df.join(inserted.select(*CANDLE_KEYS), CANDLE_KEYS, "left_semi")
+        alerts = to_stored_alerts(derive_alerts(fresh, threshold))
+        write_dated_batch(alerts, f"{root}/alerts", batch_id, "ts")
         write_marker(batch_df.sparkSession, f"{root}/_commits", batch_id)
-        for df in (written, inserted, batch_df):
+        for df in (inserted, batch_df):
             df.unpersist()
 
     return write
