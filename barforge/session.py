@@ -34,6 +34,10 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Partition sizing: scan splits and post-shuffle partitions of ~128 MB fit
+        # comfortably in executor memory; AQE merges smaller ones and splits skew.
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:

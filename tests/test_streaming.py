@@ -123,3 +123,22 @@ def test_stream_equals_batch_on_driver_events(spark):
     assert streamed.count() > 0
     assert sorted(tuple(r) for r in streamed.collect()) == sorted(tuple(r) for r in restarted.collect())
     assert streamed.select("symbol", "window_start").subtract(closed.select("symbol", "window_start")).count() == 0
+
+
+def test_processing_time_trigger_and_two_queries(spark, scratch):
+    """R5 + R8: both queries on one source with a processing-time trigger."""
+    batches = [[_msg((10, 0, 10), 1.0, 1), "not json", _msg((10, 0, 20), 2.0, 2)],
+               [_msg((10, 3, 0), 3.0, 3)]]
+    _write_batches(f"{scratch}/in", batches)
+    cfg = jobs.StreamConfig(table_root=f"{scratch}/t", checkpoint_root=f"{scratch}/ck", window_duration="1 minute",
+                            watermark_delay="1 minute", processing_time="1 second")
+    qs = jobs.run_both(jobs.text_stream(spark, f"{scratch}/in", 1), cfg)
+    try:
+        for q in qs.values():
+            q.processAllAvailable()
+    finally:
+        for q in qs.values():
+            q.stop()
+    assert jobs.stored_dead_letters(spark, f"{scratch}/t").count() == 1
+    rows = jobs.stored_candles(spark, f"{scratch}/t").collect()
+    assert [(r["open"], r["close"], r["volume"]) for r in rows] == [(1.0, 2.0, 2.0)]
