@@ -2,7 +2,6 @@
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
 
 from barforge.operators.rates import counter_rate, sliding_rate, throughput, tick_samples
 
