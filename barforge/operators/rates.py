@@ -103,7 +103,9 @@ def counter_samples(trades: DataFrame, scrape_s: int, reset_at: Column | None =
     per = trades.withColumn("_seg", seg).groupBy(
         "symbol", "_seg", F.window("ts", _interval(scrape_s)).end.alias("ts")
     ).agg(F.count(F.lit(1)).alias("_n"))
-    out = running_sums(per, ["symbol", "_seg"], "ts", {"value": F.col("_n")})
+    # ``per`` is an aggregate over raw trades; checkpoint it once instead of
+    # scanning the trades again for the second branch of the running sum.
+    out = running_sums(per, ["symbol", "_seg"], "ts", {"value": F.col("_n")}, materialize=True)
     return out.select("symbol", "ts", F.col("value").cast("long").alias("value"))
 
 

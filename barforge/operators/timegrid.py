@@ -109,7 +109,7 @@ def trailing(df: DataFrame, key: str, ts: str, halo_s: int, step_s: int, columns
 
 
 def running_sums(df: DataFrame, keys: list[str], ts: str, sums: dict, bucket_s: int = DAY_S,
-                 bucket_col: str | None = None) -> DataFrame:
+                 bucket_col: str | None = None, materialize: bool = False) -> DataFrame:
     """Cumulative sums per key in ``ts`` order, NULL inputs skipped (SQL running SUM).
 
     ``sums`` maps output name -> Column to accumulate. Cost: one aggregation to
@@ -117,11 +117,19 @@ def running_sums(df: DataFrame, keys: list[str], ts: str, sums: dict, bucket_s:
     (key, bucket), and an in-bucket running window on the same partitioning.
     ``bucket_col`` names an existing bucket id column (e.g. from :func:`trailing`)
     whose partitioning is then reused; otherwise buckets of ``bucket_s`` seconds.
+    The input feeds two branches (totals and rows); with ``materialize`` it is
+    checkpointed once to the shared checkpoint folder (eager, reliable) so an
+    expensive input, e.g. an aggregate over raw trades, is not computed twice.
     """
     b = bucket_col or "_b"
     with_b = df if bucket_col else df.withColumn(b, F.floor(seconds(ts) / bucket_s).cast("long"))
     for name, expr in sums.items():
         with_b = with_b.withColumn(f"_v_{name}", expr)
+    if materialize:
+        from barforge.session import shared_dir
+
+        shared_dir(with_b.sparkSession)  # make sure a checkpoint folder is configured
+        with_b = with_b.checkpoint(eager=True)
     totals = with_b.groupBy(*keys, b).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*keys, b, *[F.sum(f"_t_{n}").over(wb).alias(f"_p_{n}") for n in sums])

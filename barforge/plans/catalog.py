@@ -138,9 +138,18 @@ from barforge.plans import common as P  # noqa: E402
 
 
 def hourly(spark, sf_dir):
+    """Hourly candles computed from the trades (the batch/stream job side)."""
     return candles(spark, sf_dir, P.CHART_WINDOW)
 
 
+def stored_hourly(spark, sf_dir):
+    """The read side's input: the hourly candle table (C4 layout) that the job
+    side writes once per application to the shared folder. Read-side operators
+    branch their input (grid bounds + join, running-sum totals + join); reading a
+    stored table keeps each branch from recomputing candles from raw trades."""
+    return tables.read_candles(spark, candle_table(spark, sf_dir)).drop("date")
+
+
 @query("alerts")
 def alerts_default(spark, sf_dir):
     """Volatility alerts at the default 0.3 % threshold over hourly candles."""
@@ -156,7 +165,7 @@ def alerts_wide(spark, sf_dir):
 @query("alerts_feed")
 def alerts_feed(spark, sf_dir):
     """The 12 newest alerts as display rows (ties on ts broken by symbol)."""
-    a = alert_ops.derive_alerts(hourly(spark, sf_dir), P.ALERT_THRESHOLD)
+    a = alert_ops.derive_alerts(stored_hourly(spark, sf_dir), P.ALERT_THRESHOLD)
     return ntz(serving.alert_feed(a, P.ALERT_LIMIT))
 
 
@@ -172,19 +181,19 @@ def latest_price(spark, sf_dir):
 @query("latest_n_candles")
 def latest_n_candles(spark, sf_dir):
     """Newest 200 hourly candles per symbol."""
-    return ntz(serving.latest_n(hourly(spark, sf_dir), P.LATEST_N))
+    return ntz(serving.latest_n(stored_hourly(spark, sf_dir), P.LATEST_N))
 
 
 @query("lookback_slice")
 def lookback_slice(spark, sf_dir):
     """Hourly candles of the last 7 days before as_of."""
-    return ntz(serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN))
+    return ntz(serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN))
 
 
 @query("range_summary")
 def range_summary(spark, sf_dir):
     """Per-symbol summary of the 7-day slice."""
-    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
+    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
     return ntz(serving.slice_summary(s))
 
 
@@ -196,14 +205,14 @@ def live_prices(spark, sf_dir):
 @query("kpi")
 def kpi(spark, sf_dir):
     """One KPI row per configured symbol over the last 24 h (live price preferred)."""
-    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
+    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
     return ntz(serving.kpi_table(s, live_prices(spark, sf_dir), P.SYMBOLS))
 
 
 @query("sparkline")
 def sparkline(spark, sf_dir):
     """Normalised sparkline points of the KPI slice."""
-    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
+    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
     return indicators.sparkline_points(s).withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -219,7 +228,7 @@ def malformed_ledger(spark, sf_dir):
 @query("pipeline_status")
 def pipeline_status(spark, sf_dir):
     """Last candle, age, freshness state and cumulative malformed count at as_of."""
-    return ntz(serving.pipeline_status(hourly(spark, sf_dir), malformed_ledger(spark, sf_dir), P.as_of_col()))
+    return ntz(serving.pipeline_status(stored_hourly(spark, sf_dir), malformed_ledger(spark, sf_dir), P.as_of_col()))
 
 
 @query("metric_totals")
@@ -234,7 +243,7 @@ STEP_S = P.CHART_STEP_MIN * 60
 
 
 def all_range(spark, sf_dir):
-    return serving.latest_n(hourly(spark, sf_dir), serving.ALL_RANGE_LIMIT)
+    return serving.latest_n(stored_hourly(spark, sf_dir), serving.ALL_RANGE_LIMIT)
 
 
 @query("gap_grid")
@@ -260,7 +269,7 @@ def vwap(spark, sf_dir):
 @query("chart_series")
 def chart_series(spark, sf_dir):
     """D3: 7-day slice -> grid -> MA10/MA20 -> VWAP -> direction."""
-    s = serving.lookback(hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
+    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
     return ntz(indicators.chart_series(s, STEP_S))
 
 
@@ -341,7 +350,7 @@ def dup_keys(spark, sf_dir):
 @query("candle_constraints")
 def candle_constraints(spark, sf_dir):
     """NULL counts per candle column and window_end mismatches (all 0)."""
-    return quality.candle_constraints(hourly(spark, sf_dir), P.CHART_WINDOW)
+    return quality.candle_constraints(stored_hourly(spark, sf_dir), P.CHART_WINDOW)
 
 
 @query("insert_if_absent")
@@ -350,7 +359,7 @@ def insert_if_absent_query(spark, sf_dir):
     again with a different close. First writer wins on the overlap."""
     from barforge.operators.sinks import insert_if_absent
 
-    c = hourly(spark, sf_dir)
+    c = stored_hourly(spark, sf_dir)
     target = c.filter(F.col("window_start") < F.lit("2024-01-21 00:00:00").cast("timestamp"))
     incoming = c.filter(F.col("window_start") >= F.lit("2024-01-15 00:00:00").cast("timestamp")).withColumn(
         "close", F.col("close") + 1.0
