@@ -201,14 +201,15 @@ def dead_letter_sink(table_root: str, metric: str = "malformed_dropped") -> Call
 
 
 def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict | None = None,
-                  path: str | None = None, partitions: int | None = None, order_col: str = "ts") -> None:
+                  path: str | None = None, partitions: int | None = None, order_col: str = "ts",
+                  bucket: str = "1 hour") -> None:
     """K5: publish ``(key, value=to_json(row))``.
 
     To Kafka when options are given (needs the connector; the producer partitions
-    by key, which keeps per-key order). To files otherwise: range-partitioned on
-    ``(key, order_col)`` and sorted within files, so per-key order holds across
-    the file sequence and a hot key is split over several files (range bounds are
-    sampled) instead of landing in one task as a hash on the key would.
+    by key, which keeps per-key order). To files otherwise: hash-partitioned on
+    ``(key, time bucket of order_col)`` and sorted by ``(key, order_col)`` within
+    files, so per-key order holds inside every bucket and a hot key is spread over
+    its buckets instead of landing in one task (no sampling pass over the input).
     """
     from barforge.functions.exprs import trade_json
 
@@ -216,18 +217,19 @@ def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict |
         F.col(key_col).cast("string").alias("key"),
         trade_json(*df.columns).alias("value"),
         F.col(order_col).alias("_order"),
+        F.window(order_col, bucket).start.alias("_bucket"),
     )
     if kafka_options:
-        w = out.drop("_order").write.format("kafka")
+        w = out.select("key", "value").write.format("kafka")
         for k, v in kafka_options.items():
             w = w.option(k, v)
         w.save()
         return
     if path is None:
         raise ValueError("either kafka_options or path is needed")
-    keys = [F.col("key"), F.col("_order")]
-    ranged = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
-    ranged.sortWithinPartitions("key", "_order").drop("_order").write.mode("append").parquet(path)
+    keys = [F.col("key"), F.col("_bucket")]
+    parts = out.repartition(partitions, *keys) if partitions else out.repartition(*keys)
+    parts.sortWithinPartitions("key", "_order").select("key", "value").write.mode("append").parquet(path)
 
 
 def append_ticks(ticks: DataFrame, path: str) -> None:
