@@ -8,6 +8,7 @@ DuckDB SQL for each name.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -406,14 +407,19 @@ def stream_run(spark: SparkSession, sf_dir: str, restart: bool = False) -> dict:
     # one per core, and the caller's shuffle setting is restored afterwards.
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     cfg.state_partitions = max(2, spark.sparkContext.defaultParallelism)
+    input_s = stream_s = 0.0
     try:
         for part, n in zip(parts, files):
+            t0 = time.perf_counter()
             jobs.write_ordered_input(part, inbox, n, "event_ts")
+            t1 = time.perf_counter()
             qs = jobs.run_both(jobs.text_stream(spark, inbox, 1), cfg)
+            t2 = time.perf_counter()
+            input_s, stream_s = input_s + (t1 - t0), stream_s + (t2 - t1)
             records.extend(progress.progress_records(qs))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
-    run = {"tables": tables, "progress": records}
+    run = {"tables": tables, "progress": records, "input_s": input_s, "stream_s": stream_s}
     _STREAM_RUNS[memo] = run
     return run
 
