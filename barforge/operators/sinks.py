@@ -15,9 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
-from barforge.functions.exprs import to_stored_pct, to_stored_price, to_stored_volume
+from barforge.functions.exprs import (
+    parse_ts,
+    strict_double,
+    to_stored_pct,
+    to_stored_price,
+    to_stored_volume,
+    trade_json,
+)
 from barforge.operators.alerts import derive_alerts
 from barforge.schema import STORED_CANDLE_TYPES
+from barforge.sources.trades import parse_trades, split_trades
 
 CANDLE_KEYS = ["symbol", "window_start"]
 ALERT_KEYS = ["symbol", "ts"]
@@ -211,8 +219,6 @@ def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict |
     files, so per-key order holds inside every bucket and a hot key is spread over
     its buckets instead of landing in one task (no sampling pass over the input).
     """
-    from barforge.functions.exprs import trade_json
-
     out = df.select(
         F.col(key_col).cast("string").alias("key"),
         trade_json(*df.columns).alias("value"),
@@ -254,8 +260,6 @@ def expire_partitions(spark: SparkSession, path: str, keep_from_date: str) -> li
 
 def lenient_trade_repair(dead: DataFrame) -> DataFrame:
     """A repair for dead-letter replay: numbers sent as quoted strings are accepted."""
-    from barforge.functions.exprs import parse_ts, strict_double
-
     lenient = "symbol string, price string, size string, side string, trade_id string, ts string"
     d = dead.select(F.col("value").alias("raw_json"), F.from_json("value", lenient).alias("d"))
     return d.select(
@@ -275,7 +279,5 @@ def replay_dead_letters(dead: DataFrame, repair: Callable[[DataFrame], DataFrame
     Without ``repair`` the standard parser is used (recovers nothing unless the
     parser changed); recovered rows are unioned into the trade input by the caller.
     """
-    from barforge.sources.trades import parse_trades, split_trades
-
     parsed = repair(dead) if repair else parse_trades(dead, value_col="value")
     return split_trades(parsed)

@@ -14,12 +14,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barforge.functions.validity import valid_condition, with_violations
+from barforge.operators import alerts as alert_ops
+from barforge.operators import indicators, quality, rates, serving
 from barforge.operators.candles import aggregate_candles
+from barforge.operators.sinks import (
+    append_ticks,
+    insert_if_absent,
+    lenient_trade_repair,
+    publish_keyed,
+    replay_dead_letters,
+)
+from barforge.plans import common as P
 from barforge.plans.common import ntz
-from barforge.session import ensure_utc
-from barforge.sources import feed, testviews
+from barforge.session import ensure_utc, scratch_path
+from barforge.sources import feed, tables, testviews
 from barforge.sources.trades import parse_trades, split_trades
-from barforge.functions.validity import with_violations
+from barforge.streaming import jobs, progress
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -89,8 +100,6 @@ def trades_valid(spark, sf_dir):
 @query("trades_split_counts")
 def trades_split_counts(spark, sf_dir):
     """Valid / malformed row counts of one parse (one pass, no second scan)."""
-    from barforge.functions.validity import valid_condition
-
     return parsed_trades(spark, sf_dir).agg(
         F.count_if(valid_condition()).alias("valid_rows"),
         F.count_if(~valid_condition()).alias("malformed_rows"),
@@ -133,10 +142,6 @@ def feed_trades(spark, sf_dir):
 
 # --- alerts (D1, F1-F3) --------------------------------------------------------
 
-from barforge.operators import alerts as alert_ops  # noqa: E402
-from barforge.operators import indicators, quality, rates, serving  # noqa: E402
-from barforge.plans import common as P  # noqa: E402
-
 
 def hourly(spark, sf_dir):
     """Hourly candles computed from the trades (the batch/stream job side)."""
@@ -358,8 +363,6 @@ def candle_constraints(spark, sf_dir):
 def insert_if_absent_query(spark, sf_dir):
     """K1 semantics: candles up to 2024-01-21 exist; candles from 2024-01-15 arrive
     again with a different close. First writer wins on the overlap."""
-    from barforge.operators.sinks import insert_if_absent
-
     c = stored_hourly(spark, sf_dir)
     target = c.filter(F.col("window_start") < F.lit("2024-01-21 00:00:00").cast("timestamp"))
     incoming = c.filter(F.col("window_start") >= F.lit("2024-01-15 00:00:00").cast("timestamp")).withColumn(
@@ -370,8 +373,6 @@ def insert_if_absent_query(spark, sf_dir):
 
 # --- streaming (R1-R10, K1-K4, R9) ---------------------------------------------
 
-from barforge.session import scratch_path  # noqa: E402
-from barforge.streaming import jobs, progress  # noqa: E402
 
 STREAM_FILES = 8
 STREAM_WINDOW = "1 hour"
@@ -466,7 +467,6 @@ def stream_progress(spark, sf_dir):
 
 # --- stored tables, keyed publish, dead-letter replay (S4, C4, K5, K7, F16) -------
 
-from barforge.sources import tables  # noqa: E402
 
 LAYOUT_SYMBOL = "view"
 
@@ -498,8 +498,6 @@ def symbol_candles_all(spark, sf_dir):
 @query("dead_letter_replay")
 def dead_letter_replay(spark, sf_dir):
     """K7: dead letters re-parsed with a repair that accepts quoted numbers."""
-    from barforge.operators.sinks import lenient_trade_repair, replay_dead_letters
-
     _, malformed = split_trades(parsed_trades(spark, sf_dir))
     dead = malformed.select(F.lit(None).cast("string").alias("key"), F.col("raw_json").alias("value"))
     recovered, _ = replay_dead_letters(dead, lenient_trade_repair)
@@ -510,8 +508,6 @@ def dead_letter_replay(spark, sf_dir):
 def publish_roundtrip(spark, sf_dir):
     """K5 + F16 + P2: trades published keyed by symbol (files hash-partitioned by
     key), read back and parsed with the wire contract."""
-    from barforge.operators.sinks import publish_keyed
-
     path = scratch_path(spark, "published")
     t = testviews.trades(spark, sf_dir).select("symbol", "price", "size", "side", "trade_id", "ts")
     publish_keyed(t, "symbol", path=path)
@@ -524,8 +520,6 @@ def publish_roundtrip(spark, sf_dir):
 def tick_buffer(spark, sf_dir):
     """K6 + S5 + P10: per-second ticks appended to a date-partitioned table, read
     back with the 10-minute retention window (date partitions pruned first)."""
-    from barforge.operators.sinks import append_ticks
-
     path = scratch_path(spark, "ticks")
     append_ticks(rates.tick_samples(testviews.trades(spark, sf_dir)), path)
     kept = tables.read_ticks(spark, path, P.as_of_col(), serving.TICK_RETENTION_MIN)

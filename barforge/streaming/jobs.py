@@ -20,11 +20,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from barforge.operators.candles import aggregate_candles
 from barforge.operators.sinks import CANDLE_KEYS, candle_sink, dead_letter_sink, read_table
-from barforge.schema import CANDLE_SCHEMA, METRICS_SCHEMA
-from barforge.sources.trades import parse_trades, split_trades
+from barforge.schema import (
+    CANDLE_SCHEMA,
+    METRICS_SCHEMA,
+    PCT_DECIMAL,
+    PRICE_DECIMAL,
+    STORED_CANDLE_TYPES,
+)
+from barforge.sources.trades import parse_trades, read_text_stream, split_trades
 
 # Fixed defaults of the reference deployment.
 WINDOW_DURATION = "1 minute"
@@ -135,9 +142,6 @@ def stored_candles(spark: SparkSession, table_root: str) -> DataFrame:
 
 
 def stored_alerts(spark: SparkSession, table_root: str) -> DataFrame:
-    from barforge.schema import PCT_DECIMAL, PRICE_DECIMAL
-    from pyspark.sql.types import StringType, StructField, StructType, TimestampType
-
     schema = StructType([
         StructField("symbol", StringType()), StructField("ts", TimestampType()),
         StructField("price", PRICE_DECIMAL), StructField("pct_change", PCT_DECIMAL),
@@ -147,8 +151,6 @@ def stored_alerts(spark: SparkSession, table_root: str) -> DataFrame:
 
 
 def stored_dead_letters(spark: SparkSession, table_root: str) -> DataFrame:
-    from pyspark.sql.types import StringType, StructField, StructType
-
     schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
     return read_table(spark, f"{table_root.rstrip('/')}/dead_letters", schema)
 
@@ -159,10 +161,6 @@ def stored_metrics(spark: SparkSession, table_root: str) -> DataFrame:
 
 def stored_candle_schema():
     """Candle columns with the stored decimal types."""
-    from pyspark.sql.types import StructField, StructType
-
-    from barforge.schema import STORED_CANDLE_TYPES
-
     return StructType([StructField(f.name, STORED_CANDLE_TYPES.get(f.name, f.dataType)) for f in CANDLE_SCHEMA.fields])
 
 
@@ -210,8 +208,6 @@ def set_ordered_mtimes(spark: SparkSession, path: str, only_new: set[str] | None
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
-    from barforge.sources.trades import read_text_stream
-
     return read_text_stream(spark, path, max_files_per_trigger)
 
 
