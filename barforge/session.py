@@ -18,11 +18,16 @@ def build_session(
     app_name: str = "barforge",
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    initial_shuffle_partitions: int | None = None,
 ) -> SparkSession:
     """Session with the settings every job here assumes.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset: the cluster
-    configuration decides, and AQE coalesces small shuffle partitions at run time.
+    On a cluster leave ``master`` unset. AQE can merge small shuffle partitions but
+    cannot split a plain aggregation's partitions, so for large inputs give
+    ``initial_shuffle_partitions`` about input bytes / 128 MB (e.g. ~800k for
+    100 TB, capped by what the cluster schedules well) and let AQE coalesce down to
+    ~128 MB partitions. ``shuffle_partitions`` also fixes the number of state
+    partitions of a new streaming checkpoint.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -42,6 +47,8 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_shuffle_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
