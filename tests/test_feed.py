@@ -35,13 +35,22 @@ def test_tiny_size_scientific_notation(spark):
     assert r["size"] == 8e-08
 
 
-def test_missing_or_non_numeric_fields_are_rejected(spark):
+def test_missing_field_is_rejected(spark):
     no_price = {k: v for k, v in SAMPLE.items() if k != "price"}
-    msgs = [no_price, {**SAMPLE, "price": "not-a-number"}, {**SAMPLE, "price": "nan"},
-            {**SAMPLE, "price": None}, {**SAMPLE, "size": "1f"}]
+    assert _trades(spark, [no_price, {**SAMPLE, "price": None}]) == []
+
+
+def test_non_numeric_price_is_rejected(spark):
+    msgs = [{**SAMPLE, "price": "not-a-number"}, {**SAMPLE, "price": "nan"}, {**SAMPLE, "size": "1f"}]
     assert _trades(spark, msgs) == []
 
 
+def test_price_and_size_are_floats(spark):
+    (r,) = _trades(spark, [{**SAMPLE, "price": "58699", "size": "1"}])
+    assert isinstance(r["price"], float) and isinstance(r["size"], float)
+    assert (r["price"], r["size"]) == (58699.0, 1.0)
+
+
 def test_routes(spark):
     msgs = [SAMPLE, {**SAMPLE, "price": "x"}, {"type": "heartbeat"}, {"type": "subscriptions"},
             {"type": "error", "message": "m"}, {**SAMPLE, "type": "last_match"}, "garbage", "[1]"]

@@ -136,6 +136,10 @@ def test_processing_time_trigger_and_two_queries(spark, scratch):
     try:
         for q in qs.values():
             q.processAllAvailable()
+        # poll form of R9: the latest progress of every active query, labelled by id
+        snap = progress.last_progress(spark, {q.id: name for name, q in qs.items()})
+        frame = progress.progress_frame(spark, snap)
+        assert sorted(r["query"] for r in frame.collect()) == ["candles", "malformed"]
     finally:
         for q in qs.values():
             q.stop()
