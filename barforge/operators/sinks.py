@@ -188,9 +188,16 @@ def committed_batches(spark: SparkSession, folder: str) -> list[int]:
                   if s.getPath().getName().startswith("batch_id="))
 
 
-def dead_letter_sink(table_root: str, metric: str = "malformed_dropped") -> Callable[[DataFrame, int], None]:
+def dead_letter_sink(table_root: str, metric: str = "malformed_dropped",
+                     kafka_options: dict | None = None) -> Callable[[DataFrame, int], None]:
     """K3 + K4: dead letters (original payload, NULL key) and one ledger row per
-    batch, both keyed by batch id, so a replayed batch is counted once."""
+    batch, both keyed by batch id, so a replayed batch is counted once.
+
+    With ``kafka_options`` (bootstrap servers, ``topic``) the dead letters are also
+    published to a dead-letter topic (needs the connector). A topic append is not
+    idempotent: a replayed batch publishes its letters again, while the batch-keyed
+    table stays exact.
+    """
     root = table_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -198,6 +205,11 @@ def dead_letter_sink(table_root: str, metric: str = "malformed_dropped") -> Call
         count = dead.count()
         if count:  # like the reference, nothing is written for a clean batch
             write_batch(dead, f"{root}/dead_letters", batch_id)
+            if kafka_options:
+                w = dead.write.format("kafka")
+                for k, v in kafka_options.items():
+                    w = w.option(k, v)
+                w.save()
             ledger = batch_df.sparkSession.range(1).select(
                 F.lit(metric).alias("metric"), F.lit(count).cast("long").alias("value"),
                 F.current_timestamp().alias("updated_at"),

@@ -38,8 +38,8 @@ def read_candles(spark: SparkSession, path: str) -> DataFrame:
 
 def candles_for(spark: SparkSession, path: str, symbol: str, minutes: int | None, as_of: Column,
                 limit: int = ALL_RANGE_LIMIT) -> DataFrame:
-    """S4 + P6 / T1: candles of one symbol in the look-back window (ascending),
-    or, with ``minutes=None``, its newest ``limit`` candles.
+    """S4 + P6 / T1 + T4: candles of one symbol in the look-back window, or, with
+    ``minutes=None``, its newest ``limit`` candles; ascending by time either way.
 
     The symbol and time predicates reach the scan (row-group skipping); the
     derived ``date`` predicate prunes partitions.
@@ -50,7 +50,7 @@ def candles_for(spark: SparkSession, path: str, symbol: str, minutes: int | None
         df = df.filter((F.col("date") >= F.to_date(lower)) & (F.col("window_start") >= lower))
     else:
         df = df.orderBy(F.col("window_start").desc()).limit(limit)
-    return df.drop("date")
+    return df.drop("date").orderBy("window_start")
 
 
 def read_ticks(spark: SparkSession, path: str, as_of: Column | None = None, minutes: int | None = None) -> DataFrame:
