@@ -75,6 +75,12 @@ def ohlcv_1d(spark, sf_dir):
     return ntz(candles(spark, sf_dir, "1 day"))
 
 
+@query("ohlcv_1d_users")
+def ohlcv_1d_users(spark, sf_dir):
+    """1-day candles with one symbol per user (many keys instead of five)."""
+    return ntz(aggregate_candles(testviews.trades(spark, sf_dir, "user_id"), window_duration="1 day"))
+
+
 @query("ohlcv_tiebreak")
 def ohlcv_tiebreak(spark, sf_dir):
     """Daily candles over trades whose ts is truncated to the hour: many equal

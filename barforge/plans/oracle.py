@@ -479,3 +479,6 @@ WHERE symbol IS NOT NULL AND price IS NOT NULL AND size IS NOT NULL AND side IS
 })
 
 SQL["tick_buffer"] = SQL["tick_retention"]
+
+USER_TRADES = TRADES.replace("SELECT event_type AS symbol", "SELECT CAST(user_id AS VARCHAR) AS symbol")
+SQL["ohlcv_1d_users"] = f"WITH {USER_TRADES}, {candles_cte('1 day')} SELECT * FROM candles"
