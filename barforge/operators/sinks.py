@@ -10,6 +10,7 @@ join, so replays under a new batch id add nothing either: first writer wins.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,15 +72,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str, schema: StructType, dated: bool = False) -> DataFrame:
     """A batch-partitioned table with an explicit schema (empty when absent).
 
-    ``dated`` tables are laid out ``batch_id=<id>/date=<UTC day>``.
+    ``dated`` tables are laid out ``date=<UTC day>/batch_id=<id>``.
     """
-    parts = [StructField("batch_id", LongType())] + ([StructField("date", DateType())] if dated else [])
+    parts = ([StructField("date", DateType())] if dated else []) + [StructField("batch_id", LongType())]
     full = StructType(list(schema.fields) + parts)
     if not path_exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
 
 
+def read_dates(spark: SparkSession, path: str, schema: StructType, days: list) -> DataFrame:
+    """Only the ``date=`` folders of ``days`` of a dated table: file listing is
+    bounded by those days, not by every batch the table ever received."""
+    full = StructType(list(schema.fields) + [StructField("date", DateType()), StructField("batch_id", LongType())])
+    root = path.rstrip("/")
+    folders = [f"{root}/date={d.isoformat()}" for d in days]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", root).parquet(*folders)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Overwrite exactly the ``batch_id`` partition (directory form: an empty retry
     still clears a torn partition)."""
@@ -87,14 +100,16 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def write_dated_batch(df: DataFrame, path: str, batch_id: int, time_col: str) -> None:
-    """Overwrite the whole ``batch_id=<id>`` folder, split into ``date=`` partitions
-    by the day of ``time_col``: readers prune by date, and a retried batch replaces
-    everything a torn attempt left, even when the retry writes nothing."""
+    """Write ``date=<day of time_col>/batch_id=<id>`` partitions, replacing only the
+    partitions this batch produces (dynamic overwrite). A retried micro-batch has
+    the same input, hence the same partitions, so a torn attempt is replaced."""
     (
         df.withColumn("date", F.to_date(time_col))
+        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "batch_id")
+        .parquet(path)
     )
 
 
@@ -116,29 +131,34 @@ def to_stored_alerts(alerts: DataFrame) -> DataFrame:
     )
 
 
+def time_bounds(df: DataFrame, time_col: str):
+    """(min, max, first UTC day, last UTC day) of ``time_col`` in one aggregate."""
+    return df.agg(
+        F.min(time_col), F.max(time_col), F.min(F.to_date(time_col)), F.max(F.to_date(time_col))
+    ).first()
+
+
 def insert_batch_if_absent(batch: DataFrame, batch_id: int, path: str, keys: list[str], time_col: str,
                            assume_unique: bool = False, bounds: tuple | None = None) -> DataFrame:
     """Write the rows of ``batch`` whose key no *other* batch stored; return them
     (persisted; the caller unpersists).
 
-    The anti join reads only stored rows of the batch's dates (partition pruning)
-    and time range (pushed filter); AQE picks the join strategy from real sizes.
-    ``bounds`` = (min, max) of ``time_col`` when the caller already knows them.
+    The anti join lists and reads only the ``date=`` folders the batch touches and
+    pushes its time range to the scan; AQE picks the join strategy from real sizes.
+    ``bounds`` = (min, max, first UTC day, last UTC day) of ``time_col`` when the
+    caller already has them.
     """
     spark = batch.sparkSession
     rows = batch if assume_unique else dedupe_first(batch, keys)
-    stored = read_table(spark, path, rows.schema, dated=True)
     if bounds is None:
-        r = rows.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-        bounds = (r["lo"], r["hi"])
+        bounds = tuple(time_bounds(rows, time_col))
     if bounds[0] is None:
         return rows.limit(0).persist()
     lo, hi = F.lit(bounds[0]).cast("timestamp"), F.lit(bounds[1]).cast("timestamp")
-    existing = stored.filter(
-        F.col("date").between(F.to_date(lo), F.to_date(hi))
-        & (F.col("batch_id") != batch_id)
-        & F.col(time_col).between(lo, hi)
-    ).select(*keys)
+    first_day, last_day = bounds[2], bounds[3]
+    days = [first_day + timedelta(days=i) for i in range((last_day - first_day).days + 1)]
+    stored = read_dates(spark, path, rows.schema, days)
+    existing = stored.filter((F.col("batch_id") != batch_id) & F.col(time_col).between(lo, hi)).select(*keys)
     new_rows = rows.join(existing, keys, "left_anti").persist()
     write_dated_batch(new_rows, path, batch_id, time_col)
     return new_rows
@@ -154,11 +174,10 @@ def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int],
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
-        b = batch_df.agg(F.min("window_start"), F.max("window_start")).first()
         # candles of one micro-batch are unique per key (they come from a group-by on it)
         inserted = insert_batch_if_absent(
             to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start",
-            assume_unique=True, bounds=(b[0], b[1]),
+            assume_unique=True, bounds=tuple(time_bounds(batch_df, "window_start")),
         )
         # Alerts are derived from the unrounded candles that were inserted. An alert
         # key can exist only with its candle, and both are written by the batch that
