@@ -1,10 +1,13 @@
 """Sinks (K1-K7): idempotent insert-if-absent tables on shared storage.
 
-Every micro-batch writes into ``<table>/batch_id=<id>`` with overwrite, so a
-retried batch (same id, same rows, e.g. after a crash between the data write and
-the checkpoint commit) rewrites its own partition instead of adding copies.
-Insert-if-absent excludes keys already stored by *other* batches with an anti
-join, so replays under a new batch id add nothing either: first writer wins.
+Every micro-batch overwrites only its own partitions: candles and alerts go to
+``<table>/date=<UTC day>/batch_id=<id>`` (dynamic partition overwrite), dead
+letters and the metric ledger to ``<table>/batch_id=<id>``. A retried batch (same
+id, same rows, e.g. after a crash between the data write and the checkpoint
+commit) rewrites its partitions instead of adding copies. Insert-if-absent
+excludes keys already stored by *other* batches with an anti join over the days
+the batch touches, so replays under a new batch id add nothing either: first
+writer wins.
 """
 
 from __future__ import annotations
