@@ -533,3 +533,12 @@ def tick_buffer(spark, sf_dir):
     append_ticks(rates.tick_samples(testviews.trades(spark, sf_dir)), path)
     kept = tables.read_ticks(spark, path, P.as_of_col(), serving.TICK_RETENTION_MIN)
     return ntz(kept.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))
+
+
+@query("stream_progress_counts")
+def stream_progress_counts(spark, sf_dir):
+    """R9 (deterministic part): per query, micro-batches that carried data, source
+    rows read and rows dropped as late, from the streaming run's progress records."""
+    run = stream_run(spark, sf_dir)
+    summary = progress.progress_summary(progress.progress_frame(spark, run["progress"]))
+    return summary.select("query", "batches_with_data", "input_rows", "late_rows_dropped")

