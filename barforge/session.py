@@ -6,7 +6,6 @@ and formatted as UTC wall-clock text, so the session time zone is pinned.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,11 +83,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared folder for one run."""
-    root = shared_dir(spark)
-    path = f"{root}/barforge/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    elif path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    return path
+    """A fresh, unique name below the shared folder; whoever writes there makes the folder."""
+    return f"{shared_dir(spark)}/barforge/{name}-{uuid.uuid4().hex[:12]}"
