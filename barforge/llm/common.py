@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+import numpy as np
+import pandas as pd
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +51,12 @@ def id_cuts(df: DataFrame, key: str, shards: int) -> list[int]:
     return sorted({sample[i * len(sample) // shards] for i in range(1, shards)}) if sample else []
 
 
-def shard_of(cuts: list[int]):
-    """Pandas UDF: index of the range that a key falls in; null keys go to range 0."""
-    import numpy as np
-
+def shard_of(cuts: list[int], key: str) -> Column:
+    """Index of the range that a bigint key falls in; null keys go to range 0."""
     edges = np.array(cuts, dtype=np.int64)
 
     @F.pandas_udf("int")
-    def shard(key: "pd.Series") -> "pd.Series":  # noqa: F821
-        missing = key.isna().to_numpy()
-        at = np.searchsorted(edges, key.fillna(0).to_numpy(dtype=np.int64), side="right")
-        return key.__class__(np.where(missing, 0, at).astype(np.int32))
+    def shard(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, keys.to_numpy(), side="right").astype(np.int32))
 
-    return shard
+    return F.when(F.col(key).isNotNull(), shard(F.coalesce(key, F.lit(0).cast("bigint")))).otherwise(0)

@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import simhash
+import public_tokenizers
+
+from barforge.llm import bitpack, simhash, warc
 from barforge.llm.common import table
+from barforge.session import scratch_path
+
+PAGE_REVISIT_BYTES = 1000
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "warc")
+    manifest = warc.write_warc(table(spark, sf_dir, "pages"), out, "page_id", "url", "html",
+                               revisit_bytes=PAGE_REVISIT_BYTES)
+    return warc.read_warc(manifest, out).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +28,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
-QUERIES = {"op3_simhash": op3_simhash}
-SQL: dict[str, str] = {}
+def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-files")
+    manifest = bitpack.write_packed(table(spark, sf_dir, "documents"), out,
+                                    public_tokenizers.path("word_bpe_49k.json"), vocabulary=49_408)
+    return bitpack.read_packed(manifest, out).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op8_bitpack": op8_bitpack}
+SQL: dict[str, str] = {
+    "op1_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+             d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+             k AS (SELECT payload_digest, max(page_id) AS kept FROM d WHERE payload_bytes >= {PAGE_REVISIT_BYTES}
+                   GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN kept <> page_id THEN kept END AS refers_to
+        FROM d LEFT JOIN k USING (payload_digest)
+    """,
+}
