@@ -2,16 +2,21 @@
 
 Neither vocabulary lets a token span the border between a non-blank and a blank, so
 a text's ids are the ids of its ``blanks + non-blanks`` pieces in order. Pieces repeat
-a lot; each worker keeps the ids of the recent ones.
+a lot; each worker keeps the ids of the recent ones. A piece that is one word of Latin
+letters, with a blank before it or a mark behind it or not, goes to the library's
+model at once: what its normaliser and splitter make of each letter is asked once.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 #: Unicode White_Space: what ``isspace`` accepts but for the four separators U+001C to U+001F
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F)
+LETTERS = [c for c in map(chr, range(0x250)) if c.isalpha()]
+TAILS = ".,;:!?"
 PIECES = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
 
 
@@ -31,6 +36,30 @@ class PieceEncoder:
         self.keep = keep
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self._learn_words()
+
+    def _split(self, piece: str) -> list[str]:
+        t = self.tokenizer
+        clean = t.normalizer.normalize_str(piece) if t.normalizer else piece
+        return [part for part, _ in t.pre_tokenizer.pre_tokenize_str(clean)]
+
+    def _learn_words(self) -> None:
+        """Letters that are split off nowhere, each with its form for the model; marks that always are."""
+        a = "".join(self._split("a"))
+        self.lead = "".join(self._split(" a")).removesuffix(a)
+        self.forms = {}
+        for c in LETTERS:
+            form = self._split(c)
+            if (len(form) == 1 and self._split(f"a{c}a") == [a + form[0] + a] and self._split(f" {c}") == [self.lead + form[0]]):
+                self.forms[ord(c)] = form[0]
+        self.tails = {"": []}
+        for c in TAILS:
+            if len(parts := self._split(f"a{c}")) == 2 and parts[0] == a:
+                self.tails[c] = self._model_ids(parts[1])
+        self.word = re.compile(f"( ?)([{''.join(map(chr, self.forms))}]+)([{''.join(self.tails)}]?)").fullmatch
+
+    def _model_ids(self, part: str) -> list[int]:
+        return [token.id for token in self.tokenizer.model.tokenize(part)]
 
     def encode(self, text: str) -> bytes:
         parts, get = [], self.young.get
@@ -45,7 +74,7 @@ class PieceEncoder:
     def _miss(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = b"".join(i.to_bytes(4, "little") for i in self._ids(piece))
+            ids = array("I", self._ids(piece)).tobytes()
         if len(self.young) >= self.keep:
             self.old, self.young = self.young, {}
         if len(piece) <= 64:
@@ -53,11 +82,13 @@ class PieceEncoder:
         return ids
 
     def _ids(self, piece: str) -> list[int]:
+        if found := self.word(piece):
+            blank, word, tail = found.groups()
+            word = word.translate(self.forms)
+            return self._model_ids(self.lead + word if blank else word) + self.tails[tail]
         if any(s in piece for s in self.special):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        t = self.tokenizer
-        clean = t.normalizer.normalize_str(piece) if t.normalizer else piece
-        return [token.id for part, _ in t.pre_tokenizer.pre_tokenize_str(clean) for token in t.model.tokenize(part)]
+        return [i for part in self._split(piece) for i in self._model_ids(part)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
