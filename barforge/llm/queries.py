@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barforge.llm import bitpack, simhash, warc
+from barforge.llm import bitpack, bloomlm, packing, simhash, warc
 from barforge.llm.common import table
 from barforge.session import scratch_path
 
@@ -35,7 +35,21 @@ def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_packed(manifest, out).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op8_bitpack": op8_bitpack}
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_bloomlm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    shards = bloomlm.shards_for(docs)
+    model = bloomlm.train(docs.where(~bloomlm.held_out(F.col("doc_id"))), shards)
+    out = bloomlm.score(docs, model, shards)
+    return out.select(F.col("id").alias("doc_id"), bloomlm.held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op4_packing": op4_packing, "op8_bitpack": op8_bitpack,
+           "op9_bloomlm": op9_bloomlm}
 SQL: dict[str, str] = {
     "op1_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
