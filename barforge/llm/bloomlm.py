@@ -43,6 +43,7 @@ SEED = 0
 END = np.uint64(xxhash.xxh64_intdigest(b"", 1))  # the end token, also the context of a text's first word
 ONE, SHIFT = np.uint64(1), np.uint64(32)
 MIX_A, MIX_B, MIX_C = (np.uint64(xxhash.xxh64_intdigest(bytes([k]), 2) | 1) for k in range(3))
+BATCH = 512  # texts scored at a time
 BLOCK_NGRAMS = 4 << 20  # n-grams that a training task holds before it packs a block
 
 
@@ -86,40 +87,47 @@ def stands_for(levels: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """A log-frequency Bloom filter over 64-bit n-gram hashes."""
+    """Log-frequency Bloom filters of consecutive shards, in one array of bits."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.size = bits, np.uint64(8 * len(bits))
+    def __init__(self, parts: list[np.ndarray]):
+        self.bits = np.concatenate(parts)
+        self.sizes = np.array([8 * len(p) for p in parts], np.uint64)
+        self.offsets = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.uint64)
 
-    def _places(self, hashes: np.ndarray, level: int) -> Iterator[np.ndarray]:
+    def _places(self, hashes: np.ndarray, shard: np.ndarray, level: int) -> Iterator[np.ndarray]:
         first = mixed(hashes + np.uint64(level * int(MIX_C) & (1 << 64) - 1))
         step = mixed(first) | ONE
         for k in range(PROBES):
-            yield (first + np.uint64(k) * step) % self.size
+            yield (((first + np.uint64(k) * step) >> SHIFT) * self.sizes[shard] >> SHIFT) + self.offsets[shard]
 
     @classmethod
     def build(cls, hashes: np.ndarray, counts: np.ndarray) -> Filter:
+        """The filter of one shard."""
         levels = quantised(counts)
         size = max(64, math.ceil(levels.sum() * BITS_PER_ENTRY / 64) * 64)
-        out, marks = cls(np.zeros(size // 8, np.uint8)), np.zeros(size, bool)
+        out, marks = cls([np.zeros(size // 8, np.uint8)]), np.zeros(size, bool)
         for level in range(1, int(levels.max(initial=0)) + 1):
-            for places in out._places(hashes[levels >= level], level):
+            asked = hashes[levels >= level]
+            for places in out._places(asked, np.zeros(len(asked), np.int64), level):
                 marks[places] = True
         out.bits = np.packbits(marks, bitorder="little")
         return out
 
-    def levels(self, hashes: np.ndarray) -> np.ndarray:
+    def levels(self, hashes: np.ndarray, shard: np.ndarray | None = None) -> np.ndarray:
         """Probe level after level until a miss."""
+        shard = np.zeros(len(hashes), np.int64) if shard is None else shard
         found, left, level = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 0
         while len(left):
             level += 1
-            asked = hashes[left]
-            hit = np.ones(len(left), bool)
-            for places in self._places(asked, level):
-                alive = np.nonzero(hit)[0]
-                at = places[alive]
-                hit[alive] = self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0
-            left = left[hit]
+            alive = np.arange(len(left))
+            first = mixed(hashes + np.uint64(level * int(MIX_C) & (1 << 64) - 1))
+            step = mixed(first) | ONE
+            for k in range(PROBES):
+                x = (first[alive] + np.uint64(k) * step[alive]) >> SHIFT
+                mine = shard[alive]
+                at = (x * self.sizes[mine] >> SHIFT) + self.offsets[mine]
+                alive = alive[self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0]
+            left, hashes, shard = left[alive], hashes[alive], shard[alive]
             found[left] = level
         return found
 
@@ -206,17 +214,20 @@ def train(docs: DataFrame, shards: int, text_col: str = "text") -> DataFrame:
 
 # --- scoring ----------------------------------------------------------------
 
+def _parts(rows: pa.Table, column: str, first: int, last: int, dtype: type, none: bytes) -> list[np.ndarray]:
+    """One array per shard from ``first`` to ``last``, without copying."""
+    by = {s.as_py(): v.as_buffer() for s, v in zip(rows["shard"], rows[column])}
+    return [np.frombuffer(by.get(k, none), dtype) for k in range(first, last)]
+
+
 class Shards:
     """The shards of one round: pair filters and exact word counts of a run of shards."""
 
-    def __init__(self, rows: list[dict], first: int, last: int, shards: int):
+    def __init__(self, rows: pa.Table, first: int, last: int, shards: int):
         self.first, self.last, self.shards = first, last, shards
-        none = {"pair_bits": bytes(8), "word_hashes": b"", "word_counts": b""}
-        by = {r["shard"]: r for r in rows}
-        rows = [by.get(k, none) for k in range(first, last)]
-        self.pairs = [np.frombuffer(r["pair_bits"], np.uint8) for r in rows]
-        self.words = np.frombuffer(b"".join(r["word_hashes"] for r in rows), np.uint64)
-        self.counts = np.frombuffer(b"".join(r["word_counts"] for r in rows), np.uint32)
+        self.pairs = Filter(_parts(rows, "pair_bits", first, last, np.uint8, bytes(8)))
+        self.words = np.concatenate(_parts(rows, "word_hashes", first, last, np.uint64, b""))
+        self.counts = np.concatenate(_parts(rows, "word_counts", first, last, np.uint32, b""))
 
     def owns(self, hashes: np.ndarray) -> np.ndarray:
         shard = shard_index(hashes, self.shards)
@@ -228,61 +239,39 @@ class Shards:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return np.where(self.words[at] == hashes, self.counts[at], 0).astype(np.int64)
 
-    def pair_levels(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes), np.int64)
-        order = np.argsort(hashes)
-        owner = shard_index(hashes[order], self.shards).astype(np.int64)
-        for shard in np.unique(owner):
-            mine = order[np.searchsorted(owner, shard):np.searchsorted(owner, shard, side="right")]
-            out[mine] = Filter(self.pairs[shard - self.first]).levels(hashes[mine])
-        return out
+    def pair_counts(self, hashes: np.ndarray) -> np.ndarray:
+        return stands_for(self.pairs.levels(hashes, shard_index(hashes, self.shards).astype(np.int64) - self.first))
 
 
-def score_batch(texts: list[bytes | None], shards: Shards, words: Filters, totals: tuple[int, int], mix: float,
+def score_batch(texts: list[bytes | None], shards: Shards, words: Filter, totals: tuple[int, int], mix: float,
                 add: float) -> tuple[np.ndarray, ...]:
     """Per text: tokens, and this round's share of known tokens, base score and score."""
     tokens = [token_hashes(t or b"") for t in texts]
     lengths = np.array([len(t) for t in tokens])
-    pairs = np.concatenate([pair_hashes(t) for t in tokens])
     doc = np.repeat(np.arange(len(texts)), lengths)
     flat = np.concatenate(tokens)
-    before = np.roll(flat, 1)
-    before[np.concatenate(([0], np.cumsum(lengths)[:-1]))] = END
     n, v = totals
     bottom = n + add * (v + 1)
 
-    mine = np.nonzero(shards.owns(flat))[0]
-    counts = shards.word_counts(flat[mine])
-    known = np.bincount(doc[mine], counts > 0, len(texts)).astype(np.int64)
-    base = np.bincount(doc[mine], np.log10((counts + add) / bottom), len(texts))
-
+    # words repeat: each distinct one is looked up once
+    distinct, back = np.unique(flat, return_inverse=True)
+    owned = shards.owns(distinct)
+    counts = np.zeros(len(distinct), np.int64)
+    counts[owned] = shards.word_counts(distinct[owned])
+    known = np.bincount(doc, (counts > 0)[back], len(texts)).astype(np.int64)
+    base = np.bincount(doc, np.where(owned, np.log10((counts + add) / bottom), 0.0)[back], len(texts))
+
+    levelled = stands_for(words.levels(distinct, shard_index(distinct, shards.shards).astype(np.int64)))
+    before = np.roll(back, 1)
+    before[np.concatenate(([0], np.cumsum(lengths)[:-1]))] = np.searchsorted(distinct, END)
+    pairs = np.concatenate([pair_hashes(t) for t in tokens])
     mine = np.nonzero(shards.owns(pairs))[0]
-    pair = stands_for(shards.pair_levels(pairs[mine]))
-    context = np.maximum(words.counts(before[mine]), 1.0)
-    word = words.counts(flat[mine])
-    p = mix * np.minimum(1.0, pair / context) + (1 - mix) * (word + add) / bottom
+    pair = shards.pair_counts(pairs[mine])
+    p = (mix * np.minimum(1.0, pair / np.maximum(levelled[before[mine]], 1.0))
+         + (1 - mix) * (levelled[back[mine]] + add) / bottom)
     return lengths, known, base, np.bincount(doc[mine], np.log10(p), len(texts))
 
 
-class Filters:
-    """The single-word filter: one part per shard."""
-
-    def __init__(self, rows: list[dict], shards: int):
-        by = {r["shard"]: r["word_bits"] for r in rows}
-        self.shards, self.parts = shards, [np.frombuffer(by.get(k, bytes(8)), np.uint8) for k in range(shards)]
-
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Words repeat: each distinct one is asked for once."""
-        distinct, back = np.unique(hashes, return_inverse=True)
-        owner = shard_index(distinct, self.shards).astype(np.int64)
-        levels = np.zeros(len(distinct), np.int64)
-        cuts = np.searchsorted(owner, np.arange(self.shards + 1))
-        for shard in np.unique(owner):
-            part = slice(cuts[shard], cuts[shard + 1])
-            levels[part] = Filter(self.parts[shard]).levels(distinct[part])
-        return stands_for(levels)[back]
-
-
 def score(docs: DataFrame, model: DataFrame, shards: int, *, id_col: str = "doc_id", text_col: str = "text",
           mix: float = 0.6, add: float = 0.1, round_bytes: int = 96 << 20) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``."""
@@ -290,19 +279,20 @@ def score(docs: DataFrame, model: DataFrame, shards: int, *, id_col: str = "doc_
     sizes = model.select("shard", "tokens", "words", (F.octet_length("pair_bits") + F.octet_length("word_hashes")
                                                        + F.octet_length("word_counts")).alias("bytes")).collect()
     totals = sum(r["tokens"] for r in sizes), sum(r["words"] for r in sizes)
-    words = spark.sparkContext.broadcast(Filters(model.select("shard", "word_bits").toArrow().to_pylist(), shards))
+    words = spark.sparkContext.broadcast(
+        Filter(_parts(model.select("shard", "word_bits").toArrow(), "word_bits", 0, shards, np.uint8, bytes(8))))
     rounds = _rounds({r["shard"]: r["bytes"] for r in sizes}, shards, round_bytes)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
 
     def one_round(first: int, last: int) -> DataFrame:
         columns = ["shard", "pair_bits", "word_hashes", "word_counts"]
-        part = model.where(F.col("shard").between(first, last - 1)).select(columns).toArrow().to_pylist()
+        part = model.where(F.col("shard").between(first, last - 1)).select(columns).toArrow()
         carried = spark.sparkContext.broadcast(Shards(part, first, last, shards))
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for at in range(0, whole.num_rows, 256):
-                    batch = whole.slice(at, 256)
+                for at in range(0, whole.num_rows, BATCH):
+                    batch = whole.slice(at, BATCH)
                     texts = batch.column(1).to_pylist()
                     values = score_batch(texts, carried.value, words.value, totals, mix, add)
                     keys = [xxhash.xxh64_intdigest(t or b"", 3) - (1 << 63) for t in texts]

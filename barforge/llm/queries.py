@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barforge.llm import bitpack, bloomlm, packing, simhash, warc
+from barforge.llm import bitpack, bloomlm, chat, decontam, itq, mil, packing, secrets, simhash, warc
 from barforge.llm.common import table
 from barforge.session import scratch_path
 
@@ -48,8 +48,56 @@ def op9_bloomlm(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "train_tokens", "base_score", "score")
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op4_packing": op4_packing, "op8_bitpack": op8_bitpack,
-           "op9_bloomlm": op9_bloomlm}
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("bigint").alias(f"n_{kind}")
+              for k, kind in enumerate(secrets.KINDS[:3])]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+                        secrets.span_text(F.col("spans")).alias("spans"))
+
+
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = itq.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+REPLY_SCHEMA = [("reply", "length", "integer", True, 0.0, 400.0), ("reply", "query", "string", True, None, None),
+                ("reply", "turn", "integer", True, 0.0, None)]
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn is a call of ``reply`` that depends on the user turn before it; the answer is its result."""
+    turns = table(spark, sf_dir, "conversations")
+    name = lambda shift: F.concat_ws(":", "conv_id", F.col("turn") + shift)
+    arguments = F.to_json(F.struct(F.col("turn"), F.col("text").alias("query"), F.length("text").alias("length")))
+    calls = turns.where("role = 'user'").select(
+        "conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"),
+        F.array(name(-2)).alias("depends_on"))
+    results = turns.where("role = 'assistant'").select(name(-1).alias("call_id"), F.col("text").alias("content"))
+    schemas = spark.createDataFrame(REPLY_SCHEMA, "name string, param string, type string, required boolean, minimum double, maximum double")
+    return (chat.linked_calls(calls, results, schemas).drop("call_id")
+            .withColumn("problems", F.array_join("problems", ",")))
+
+
+def op10_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = mil.score(docs, mil.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("_id").alias("doc_id"), mil.held_out(F.col("_id")).alias("held_out"), F.col("_score").alias("score"),
+                         (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_packing": op4_packing,
+           "op5_decontam": op5_decontam, "op6_chat": op6_chat, "op7_itq": op7_itq, "op8_bitpack": op8_bitpack,
+           "op9_bloomlm": op9_bloomlm, "op10_mil": op10_mil}
 SQL: dict[str, str] = {
     "op1_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -61,4 +109,24 @@ SQL: dict[str, str] = {
                CASE WHEN kept <> page_id THEN kept END AS refers_to
         FROM d LEFT JOIN k USING (payload_digest)
     """,
+    "op6_chat": """
+        WITH c AS (SELECT conv_id, turn, conv_id || ':' || turn AS id, text FROM conversations WHERE role = 'user'),
+             r AS (SELECT conv_id || ':' || (turn - 1) AS id, min(text) AS result FROM conversations
+                   WHERE role = 'assistant' GROUP BY 1)
+        SELECT conv_id, turn, 0 AS level, false AS cyclic, r.id IS NOT NULL AS linked,
+               CASE WHEN length(text) > 400 THEN 'length' ELSE '' END AS problems,
+               CAST(json_object('arguments', json_object('length', length(text), 'query', text, 'turn', turn), 'id', c.id,
+                                'name', 'reply', 'result', result) AS VARCHAR) AS json
+        FROM c LEFT JOIN r USING (id)
+    """,
+    "op7_itq": """
+        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+             l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+                   AND list_cosine_similarity(a.e, b.e) >= 0.9),
+             n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+             c AS (WITH RECURSIVE walk(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT walk.a, l.b FROM walk JOIN l ON walk.b = l.a)
+                   SELECT a, min(b) AS component_id FROM walk GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+        FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+    """,
 }

@@ -27,7 +27,7 @@ class PieceEncoder:
     full it replaces the older, and pieces still in use move up again.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
