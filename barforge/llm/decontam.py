@@ -75,7 +75,13 @@ def candidate_starts(windows: DataFrame, index: DataFrame, lists: int = 3, slop:
     def nth(k: int) -> DataFrame:
         return ranked.where(F.col("rank") == k).select("win", "term", "off")
 
-    found = (index.join(nth(1), "term").select("win", "row_id", (F.col("pos") - F.col("off")).alias("start"))
+    def postings(k: int) -> DataFrame:
+        """The k-th terms' lists alone: what the index holds of other terms is not shuffled."""
+        terms = nth(k).select("term").distinct()
+        small = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+        return index.join(F.broadcast(terms) if small else terms, "term", "left_semi")
+
+    found = (postings(1).join(nth(1), "term").select("win", "row_id", (F.col("pos") - F.col("off")).alias("start"))
              .where(F.col("start") >= -slop))
     for k in range(2, lists + 1):
         shifts = F.explode(F.array(*[F.lit(s) for s in range(-slop, slop + 1)]))
@@ -83,7 +89,7 @@ def candidate_starts(windows: DataFrame, index: DataFrame, lists: int = 3, slop:
         wanted = (wanted.withColumn("shift", shifts) if slop else wanted.withColumn("shift", F.lit(0)))
         wanted = wanted.withColumn("pos", F.col("start") + F.col("off") + F.col("shift"))
         # windows with fewer distinct terms than lists have no k-th one and stay
-        hit = wanted.where("term is not null").join(index, ["term", "row_id", "pos"], "left_semi")
+        hit = wanted.where("term is not null").join(postings(k), ["term", "row_id", "pos"], "left_semi")
         found = hit.select("win", "row_id", "start").union(wanted.where("term is null").select("win", "row_id", "start"))
         found = found.distinct() if slop else found
     return found
