@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,17 +12,9 @@ from barforge.schema import REQUIRED_FIELDS, SIDES
 RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
 
 
-def valid_condition(fields=REQUIRED_FIELDS) -> Column:
-    """Every required field parsed to a non-NULL value.
-
-    Never NULL itself, so ``filter(c)`` and ``filter(~c)`` split the input exactly.
-    """
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fields])
-
-
-def malformed_condition(fields=REQUIRED_FIELDS) -> Column:
-    """The exact complement of :func:`valid_condition`."""
-    return ~valid_condition(fields)
+def missing_fields() -> Column:
+    """Number of required fields that a parsed trade lacks; 0 is a valid trade, never NULL."""
+    return sum((F.col(f).isNull().cast("int") for f in REQUIRED_FIELDS), F.lit(0))
 
 
 def _not_positive(c: Column) -> Column:

@@ -1,23 +1,25 @@
 """Sinks (K1-K7): idempotent insert-if-absent tables on shared storage.
 
-Every micro-batch overwrites only its own partitions: candles and alerts go to
-``<table>/date=<UTC day>/batch_id=<id>`` (dynamic partition overwrite), dead
-letters and the metric ledger to ``<table>/batch_id=<id>``. A retried batch (same
-id, same rows, e.g. after a crash between the data write and the checkpoint
-commit) rewrites its partitions instead of adding copies. Insert-if-absent
-excludes keys already stored by *other* batches with an anti join over the days
-the batch touches, so replays under a new batch id add nothing either: first
-writer wins.
+A micro-batch is known by its query's id, which lives in the checkpoint, and its
+batch number: a retry keeps both, a new checkpoint gets a new id. Candles, alerts
+and rejected rows go to ``<table>/date=<UTC day>/query_id=<id>/batch_id=<n>``, dead
+letters and the metric ledger to ``<table>/query_id=<id>/batch_id=<n>``.
+
+The commit of a batch is one marker file, made after all of its tables are written.
+Readers and the insert-if-absent anti join see committed batches alone, so candles
+and alerts appear together or not at all; what an attempt left behind is removed
+before the next attempt of the batch and is never read. Batches of a query commit
+in order, so one marker per query (the last number) is enough.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from barforge.functions.exprs import (
     parse_ts,
@@ -72,48 +74,89 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType, dated: bool = False) -> DataFrame:
-    """A batch-partitioned table with an explicit schema (empty when absent).
+def _batch_fields(dated: bool) -> list[StructField]:
+    return ([StructField("date", DateType())] if dated else []) + [
+        StructField("query_id", StringType()), StructField("batch_id", LongType())]
 
-    ``dated`` tables are laid out ``date=<UTC day>/batch_id=<id>``.
-    """
-    parts = ([StructField("date", DateType())] if dated else []) + [StructField("batch_id", LongType())]
-    full = StructType(list(schema.fields) + parts)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
 
+def query_id_of(spark: SparkSession) -> str:
+    """Id of the streaming query whose batch function runs now; "manual" outside of one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
 
-def read_dates(spark: SparkSession, path: str, schema: StructType, days: list) -> DataFrame:
-    """Only the ``date=`` folders of ``days`` of a dated table: file listing is
-    bounded by those days, not by every batch the table ever received."""
-    full = StructType(list(schema.fields) + [StructField("date", DateType()), StructField("batch_id", LongType())])
-    root = path.rstrip("/")
-    folders = [f"{root}/date={d.isoformat()}" for d in days]
+
+def mark_committed(spark: SparkSession, root: str, job: str, query_id: str, batch_id: int) -> None:
+    """Commit a batch: make its marker, then drop the query's older ones."""
+    folder, fs = _fs_path(spark, f"{root}/_commits/{job}/query_id={query_id}")
+    path, _ = _fs_path(spark, f"{root}/_commits/{job}/query_id={query_id}/{int(batch_id)}")
+    fs.create(path, True).close()
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.isdigit() and int(name) < batch_id:
+            fs.delete(status.getPath(), False)
+
+
+def committed(spark: SparkSession, root: str, job: str) -> dict[str, int]:
+    """Last committed batch of each query (one entry per checkpoint ever used)."""
+    folder, fs = _fs_path(spark, f"{root}/_commits/{job}")
+    out = {}
+    for query in fs.listStatus(folder) if fs.exists(folder) else []:
+        names = [s.getPath().getName() for s in fs.listStatus(query.getPath())]
+        numbers = [int(n) for n in names if n.isdigit()]
+        if numbers:
+            out[query.getPath().getName().split("=", 1)[1]] = max(numbers)
+    return out
+
+
+def is_committed(spark: SparkSession, root: str, job: str) -> Column:
+    """Filter on the partition columns that keeps committed batches."""
+    keep = F.lit(False)
+    for query_id, last in committed(spark, root, job).items():
+        keep = keep | ((F.col("query_id") == query_id) & (F.col("batch_id") <= last))
+    return keep
+
+
+def read_table(spark: SparkSession, root: str, table: str, schema: StructType, job: str, dated: bool = False,
+               days: list | None = None) -> DataFrame:
+    """Committed rows of a batch-keyed table (empty when absent); with ``days`` only their folders are listed."""
+    path = f"{root.rstrip('/')}/{table}"
+    full = StructType(list(schema.fields) + _batch_fields(dated))
+    folders = [path] if days is None else [f"{path}/date={d.isoformat()}" for d in days]
     folders = [f for f in folders if path_exists(spark, f)]
     if not folders:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", root).parquet(*folders)
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Overwrite exactly the ``batch_id`` partition (directory form: an empty retry
-    still clears a torn partition)."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
-
-
-def write_dated_batch(df: DataFrame, path: str, batch_id: int, time_col: str) -> None:
-    """Write ``date=<day of time_col>/batch_id=<id>`` partitions, replacing only the
-    partitions this batch produces (dynamic overwrite). A retried micro-batch has
-    the same input, hence the same partitions, so a torn attempt is replaced."""
-    (
-        df.withColumn("date", F.to_date(time_col))
-        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch_id")
-        .parquet(path)
-    )
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).filter(is_committed(spark, root.rstrip("/"), job))
+
+
+def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
+    """Overwrite exactly one batch's folder."""
+    df.write.mode("overwrite").parquet(f"{path}/query_id={query_id}/batch_id={int(batch_id)}")
+
+
+def write_dated_batch(df: DataFrame, path: str, query_id: str, batch_id: int, time_col: str) -> None:
+    """Add ``date=<day of time_col>/query_id=<id>/batch_id=<n>`` folders, one file each."""
+    keyed = (df.withColumn("date", F.to_date(time_col)).withColumn("query_id", F.lit(query_id))
+             .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
+    keyed.repartition("date").write.mode("append").partitionBy("date", "query_id", "batch_id").parquet(path)
+
+
+def remove_attempt(spark: SparkSession, root: str, tables: list[str], query_id: str, batch_id: int) -> None:
+    """Delete what an attempt that did not commit left of a batch; without one nothing is listed.
+
+    The first thing an attempt does is to leave a note of itself; a note that is
+    there already means that an earlier attempt stopped half-way.
+    """
+    note, fs = _fs_path(spark, f"{root}/_attempts/query_id={query_id}/{int(batch_id)}")
+    if fs.exists(note):
+        for table in tables:
+            pattern, _ = _fs_path(spark, f"{root}/{table}/date=*/query_id={query_id}/batch_id={int(batch_id)}")
+            for status in fs.globStatus(pattern) or []:
+                fs.delete(status.getPath(), True)
+    fs.create(note, True).close()
+
+
+def forget_attempt(spark: SparkSession, root: str, query_id: str, batch_id: int) -> None:
+    note, fs = _fs_path(spark, f"{root}/_attempts/query_id={query_id}/{int(batch_id)}")
+    fs.delete(note, False)
 
 
 def to_stored_candles(candles: DataFrame) -> DataFrame:
@@ -134,86 +177,67 @@ def to_stored_alerts(alerts: DataFrame) -> DataFrame:
     )
 
 
-def time_bounds(df: DataFrame, time_col: str):
-    """(min, max, first UTC day, last UTC day) of ``time_col`` in one aggregate."""
-    return df.agg(
-        F.min(time_col), F.max(time_col), F.min(F.to_date(time_col)), F.max(F.to_date(time_col))
-    ).first()
+def fits_stored(columns: list[str]) -> Column:
+    """No value became NULL by the conversion to stored decimals (overflow and NaN do)."""
+    fits = F.lit(True)
+    for c in columns:
+        fits = fits & F.col(c).isNotNull()
+    return fits
 
 
-def insert_batch_if_absent(batch: DataFrame, batch_id: int, path: str, keys: list[str], time_col: str,
-                           assume_unique: bool = False, bounds: tuple | None = None) -> DataFrame:
-    """Write the rows of ``batch`` whose key no *other* batch stored; return them
-    (persisted; the caller unpersists).
+# --- foreachBatch sink factories ----------------------------------------------------
 
-    The anti join lists and reads only the ``date=`` folders the batch touches and
-    pushes its time range to the scan; AQE picks the join strategy from real sizes.
-    ``bounds`` = (min, max, first UTC day, last UTC day) of ``time_col`` when the
-    caller already has them.
-    """
-    spark = batch.sparkSession
-    rows = batch if assume_unique else dedupe_first(batch, keys)
-    if bounds is None:
-        bounds = tuple(time_bounds(rows, time_col))
-    if bounds[0] is None:
-        return rows.limit(0).persist()
-    lo, hi = F.lit(bounds[0]).cast("timestamp"), F.lit(bounds[1]).cast("timestamp")
-    first_day, last_day = bounds[2], bounds[3]
-    days = [first_day + timedelta(days=i) for i in range((last_day - first_day).days + 1)]
-    stored = read_dates(spark, path, rows.schema, days)
-    existing = stored.filter((F.col("batch_id") != batch_id) & F.col(time_col).between(lo, hi)).select(*keys)
-    new_rows = rows.join(existing, keys, "left_anti").persist()
-    write_dated_batch(new_rows, path, batch_id, time_col)
-    return new_rows
+CANDLE_JOB, MALFORMED_JOB = "candles", "malformed"
+DATED = ["candles", "alerts", "rejects"]
+STORED_NUMBERS = ["open", "high", "low", "close", "volume"]
 
 
-# --- foreachBatch sink factories ----------------------------------------------------
+def candle_sink(table_root: str, threshold: float, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """K1 + K2: insert-if-absent candles and the alerts of the inserted ones, in one commit.
 
-
-def candle_sink(table_root: str, threshold: float) -> Callable[[DataFrame, int], None]:
-    """K1 + K2: insert-if-absent candles, then the alerts of the *inserted* candles,
-    then a commit marker for the batch (written last)."""
+    Candles whose numbers do not fit the stored decimals go to the ``rejects`` table.
+    Alerts are unique by (symbol, ts): the first stored one stays.
+    """
     root = table_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        query = query_id or query_id_of(spark)
+        if committed(spark, root, CANDLE_JOB).get(query, -1) >= batch_id:
+            # a retry after the commit: the query's state still has to advance with the batch
+            batch_df.write.format("noop").mode("overwrite").save()
+            return
+        remove_attempt(spark, root, DATED, query, batch_id)
         batch_df = batch_df.persist()
+        days = sorted(r[0] for r in batch_df.select(F.explode(F.array(F.to_date("window_start"), F.to_date("window_end"))))
+                      .distinct().collect())  # the batch's own days
         # candles of one micro-batch are unique per key (they come from a group-by on it)
-        inserted = insert_batch_if_absent(
-            to_stored_candles(batch_df), batch_id, f"{root}/candles", CANDLE_KEYS, "window_start",
-            assume_unique=True, bounds=tuple(time_bounds(batch_df, "window_start")),
-        )
-        # Alerts are derived from the unrounded candles that were inserted. An alert
-        # key can exist only with its candle, and both are written by the batch that
-        # inserts the candle (a torn batch is retried whole), so no anti join is needed.
-        fresh = batch_df.join(inserted.select(*CANDLE_KEYS), CANDLE_KEYS, "left_semi")
-        alerts = to_stored_alerts(derive_alerts(fresh, threshold))
-        write_dated_batch(alerts, f"{root}/alerts", batch_id, "ts")
-        write_marker(batch_df.sparkSession, f"{root}/_commits", batch_id)
-        for df in (inserted, batch_df):
+        stored = to_stored_candles(batch_df)
+        have = read_table(spark, root, "candles", stored.schema, CANDLE_JOB, True, days).select(*CANDLE_KEYS)
+        new = stored.join(have, CANDLE_KEYS, "left_anti").persist()
+        fits = fits_stored(STORED_NUMBERS)
+        good = new.filter(fits)
+        write_dated_batch(good, f"{root}/candles", query, batch_id, "window_start")
+        bad = batch_df.join(new.filter(~fits).select(*CANDLE_KEYS), CANDLE_KEYS, "left_semi").select(batch_df.columns)
+        write_dated_batch(bad, f"{root}/rejects", query, batch_id, "window_start")
+        # alerts come from the unrounded candles
+        fresh = batch_df.join(good.select(*CANDLE_KEYS), CANDLE_KEYS, "left_semi")
+        alerts = dedupe_first(to_stored_alerts(derive_alerts(fresh, threshold)), ALERT_KEYS, "message")
+        known = read_table(spark, root, "alerts", alerts.schema, CANDLE_JOB, True, days).select(*ALERT_KEYS)
+        alerts = alerts.join(known, ALERT_KEYS, "left_anti").filter("price is not null and pct_change is not null")
+        write_dated_batch(alerts, f"{root}/alerts", query, batch_id, "ts")
+        mark_committed(spark, root, CANDLE_JOB, query, batch_id)
+        forget_attempt(spark, root, query, batch_id)
+        for df in (new, batch_df):
             df.unpersist()
 
     return write
 
 
-def write_marker(spark: SparkSession, folder: str, batch_id: int) -> None:
-    """Commit marker of a batch: an empty file written last (a metadata operation)."""
-    p, fs = _fs_path(spark, f"{folder.rstrip('/')}/batch_id={int(batch_id)}")
-    fs.create(p, True).close()
-
-
-def committed_batches(spark: SparkSession, folder: str) -> list[int]:
-    """Batch ids whose marker exists."""
-    p, fs = _fs_path(spark, folder)
-    if not fs.exists(p):
-        return []
-    return sorted(int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(p)
-                  if s.getPath().getName().startswith("batch_id="))
-
-
 def dead_letter_sink(table_root: str, metric: str = "malformed_dropped",
-                     kafka_options: dict | None = None) -> Callable[[DataFrame, int], None]:
+                     kafka_options: dict | None = None, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """K3 + K4: dead letters (original payload, NULL key) and one ledger row per
-    batch, both keyed by batch id, so a replayed batch is counted once.
+    batch and metric, in one commit, so a replayed batch is counted once.
 
     With ``kafka_options`` (bootstrap servers, ``topic``) the dead letters are also
     published to a dead-letter topic (needs the connector). A topic append is not
@@ -223,41 +247,60 @@ def dead_letter_sink(table_root: str, metric: str = "malformed_dropped",
     root = table_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        query = query_id or query_id_of(spark)
+        job = f"{MALFORMED_JOB}-{metric}"
+        if committed(spark, root, job).get(query, -1) >= batch_id:
+            return
         dead = batch_df.select(F.lit(None).cast("string").alias("key"), F.col("raw_json").alias("value")).persist()
         count = dead.count()
         if count:  # like the reference, nothing is written for a clean batch
-            write_batch(dead, f"{root}/dead_letters", batch_id)
+            write_batch(dead, f"{root}/dead_letters/{job}", query, batch_id)
             if kafka_options:
                 w = dead.write.format("kafka")
                 for k, v in kafka_options.items():
                     w = w.option(k, v)
                 w.save()
-            ledger = batch_df.sparkSession.range(1).select(
+            ledger = spark.range(1).select(
                 F.lit(metric).alias("metric"), F.lit(count).cast("long").alias("value"),
                 F.current_timestamp().alias("updated_at"),
             )
-            write_batch(ledger.coalesce(1), f"{root}/metrics", batch_id)
+            write_batch(ledger.coalesce(1), f"{root}/metrics/{job}", query, batch_id)
+        mark_committed(spark, root, job, query, batch_id)
         dead.unpersist()
 
     return write
 
 
+def read_by_job(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    """Committed rows of a table that each malformed-type job keeps in a folder of its own."""
+    folder, fs = _fs_path(spark, f"{root.rstrip('/')}/{table}")
+    out = spark.createDataFrame([], StructType(list(schema.fields) + _batch_fields(False)))
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        job = status.getPath().getName()
+        out = out.unionByName(read_table(spark, root, f"{table}/{job}", schema, job))
+    return out
+
+
 def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict | None = None,
                   path: str | None = None, partitions: int | None = None, order_col: str = "ts",
                   bucket: str = "1 hour") -> None:
     """K5: publish ``(key, value=to_json(row))``.
 
-    To Kafka when options are given (needs the connector; the producer partitions
-    by key, which keeps per-key order). To files otherwise: hash-partitioned on
+    To Kafka when options are given (needs the connector; rows of one key come from
+    several tasks, so consumers order by the row's time). To files otherwise: the folder is
+    overwritten, so a retry leaves no copies; hash-partitioned on
     ``(key, time bucket of order_col)`` and sorted by ``(key, order_col)`` within
     files, so per-key order holds inside every bucket and a hot key is spread over
     its buckets instead of landing in one task (no sampling pass over the input).
+    Rows without a time are published too, in a bucket of their own.
     """
+    bucket_us = int(pd.Timedelta(bucket).total_seconds() * 1_000_000)
     out = df.select(
         F.col(key_col).cast("string").alias("key"),
         trade_json(*df.columns).alias("value"),
         F.col(order_col).alias("_order"),
-        F.window(order_col, bucket).start.alias("_bucket"),
+        F.floor(F.unix_micros(F.col(order_col).cast("timestamp")) / F.lit(bucket_us)).alias("_bucket"),
     )
     if kafka_options:
         w = out.select("key", "value").write.format("kafka")
@@ -269,7 +312,7 @@ def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict |
         raise ValueError("either kafka_options or path is needed")
     keys = [F.col("key"), F.col("_bucket")]
     parts = out.repartition(partitions, *keys) if partitions else out.repartition(*keys)
-    parts.sortWithinPartitions("key", "_order").select("key", "value").write.mode("append").parquet(path)
+    parts.sortWithinPartitions("key", "_order").select("key", "value").write.mode("overwrite").parquet(path)
 
 
 def append_ticks(ticks: DataFrame, path: str) -> None:

@@ -14,10 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.functions.validity import valid_condition, with_violations
+from barforge.functions.validity import missing_fields, with_violations
 from barforge.operators import alerts as alert_ops
 from barforge.operators import indicators, quality, rates, serving
-from barforge.operators.candles import aggregate_candles
+from barforge.operators.candles import candles_of, struct_order_key
 from barforge.operators.sinks import (
     append_ticks,
     insert_if_absent,
@@ -54,7 +54,7 @@ def query(name: str):
 
 
 def candles(spark: SparkSession, sf_dir: str, window: str) -> DataFrame:
-    return aggregate_candles(testviews.trades(spark, sf_dir), window_duration=window)
+    return candles_of(testviews.trades(spark, sf_dir), window)
 
 
 @query("ohlcv_1m")
@@ -78,7 +78,7 @@ def ohlcv_1d(spark, sf_dir):
 @query("ohlcv_1d_users")
 def ohlcv_1d_users(spark, sf_dir):
     """1-day candles with one symbol per user (many keys instead of five)."""
-    return ntz(aggregate_candles(testviews.trades(spark, sf_dir, "user_id"), window_duration="1 day"))
+    return ntz(candles_of(testviews.trades(spark, sf_dir, "user_id"), "1 day"))
 
 
 @query("ohlcv_tiebreak")
@@ -86,7 +86,7 @@ def ohlcv_tiebreak(spark, sf_dir):
     """Daily candles over trades whose ts is truncated to the hour: many equal
     timestamps, so open/close fall to the trade_id tie-break."""
     t = testviews.trades(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
-    return ntz(aggregate_candles(t, window_duration="1 day", order="struct"))
+    return ntz(candles_of(t, "1 day", struct_order_key()))
 
 
 # --- parse, validate, split (P1-P5, A6, S2-S3) ---------------------------------
@@ -107,8 +107,8 @@ def trades_valid(spark, sf_dir):
 def trades_split_counts(spark, sf_dir):
     """Valid / malformed row counts of one parse (one pass, no second scan)."""
     return parsed_trades(spark, sf_dir).agg(
-        F.count_if(valid_condition()).alias("valid_rows"),
-        F.count_if(~valid_condition()).alias("malformed_rows"),
+        F.count_if(missing_fields() == 0).alias("valid_rows"),
+        F.count_if(missing_fields() > 0).alias("malformed_rows"),
     )
 
 

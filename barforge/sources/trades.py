@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions.exprs import parse_ts
-from barforge.functions.validity import malformed_condition, valid_condition
+from barforge.functions.validity import missing_fields
 from barforge.schema import TRADE_WIRE_SCHEMA
 
 
@@ -89,4 +89,5 @@ def parse_trades(
 
 def split_trades(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, malformed). The predicate is never NULL, so the split is exact."""
-    return parsed.filter(valid_condition()), parsed.filter(malformed_condition())
+    missing = missing_fields()
+    return parsed.filter(missing == 0), parsed.filter(missing > 0)

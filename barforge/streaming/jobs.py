@@ -15,6 +15,7 @@ no-op (R10). The source is Kafka in production or a folder of text files.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from barforge.operators.candles import aggregate_candles
-from barforge.operators.sinks import CANDLE_KEYS, candle_sink, dead_letter_sink, read_table
+from barforge.operators.candles import candles_of
+from barforge.operators.sinks import CANDLE_JOB, CANDLE_KEYS, candle_sink, dead_letter_sink, read_by_job, read_table
 from barforge.schema import (
     CANDLE_SCHEMA,
     METRICS_SCHEMA,
@@ -82,12 +83,7 @@ def _trigger(writer, cfg: StreamConfig):
 def candle_frames(raw_stream: DataFrame, cfg: StreamConfig) -> tuple[DataFrame, DataFrame]:
     """(candles, malformed) streaming frames from a raw ``value`` stream."""
     valid, malformed = split_trades(parse_trades(raw_stream))
-    candles = aggregate_candles(
-        valid.drop("raw_json"),
-        window_duration=cfg.window_duration,
-        watermark_delay=cfg.watermark_delay,
-        streaming=True,
-    )
+    candles = candles_of(valid.drop("raw_json").withWatermark("ts", cfg.watermark_delay), cfg.window_duration)
     return candles, malformed
 
 
@@ -119,22 +115,42 @@ def start_malformed(raw_stream: DataFrame, cfg: StreamConfig, query_name: str |
 
 
 def run_both(raw_stream: DataFrame, cfg: StreamConfig, timeout_s: float | None = None) -> dict[str, StreamingQuery]:
-    """Start both queries; with ``available_now`` wait until both finish."""
+    """Start both queries; with ``available_now`` wait until both finish (else call :func:`supervise`)."""
     queries = {
         "candles": start_candles(raw_stream, cfg),
         "malformed": start_malformed(raw_stream, cfg),
     }
     if cfg.available_now:
-        for q in queries.values():
-            q.awaitTermination(timeout_s)
-            if q.exception() is not None:
-                raise RuntimeError(f"stream failed: {q.exception()}")
+        supervise(queries, timeout_s)
     return queries
 
 
+def supervise(queries: dict[str, StreamingQuery], timeout_s: float | None = None, poll_s: float = 0.5) -> None:
+    """Wait until all queries end. If one fails the others are stopped and its error is raised;
+    if ``timeout_s`` runs out all are stopped and TimeoutError is raised. In continuous mode this is the main loop."""
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        while any(q.isActive for q in queries.values()):
+            _raise_failure(queries)
+            if end is not None and time.monotonic() > end:
+                raise TimeoutError(f"still running after {timeout_s} s: {[n for n, q in queries.items() if q.isActive]}")
+            time.sleep(poll_s)
+        _raise_failure(queries)
+    except BaseException:
+        for q in queries.values():
+            q.stop()
+        raise
+
+
+def _raise_failure(queries: dict[str, StreamingQuery]) -> None:
+    for name, q in queries.items():
+        if not q.isActive and q.exception() is not None:
+            raise RuntimeError(f"stream {name} failed: {q.exception()}")
+
+
 def stored_candles(spark: SparkSession, table_root: str) -> DataFrame:
     """The candle table as doubles (what the read side consumes)."""
-    t = read_table(spark, f"{table_root.rstrip('/')}/candles", stored_candle_schema(), dated=True)
+    t = read_table(spark, table_root, "candles", stored_candle_schema(), CANDLE_JOB, dated=True)
     return t.select(
         "symbol", "window_start", "window_end",
         *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")],
@@ -147,16 +163,21 @@ def stored_alerts(spark: SparkSession, table_root: str) -> DataFrame:
         StructField("price", PRICE_DECIMAL), StructField("pct_change", PCT_DECIMAL),
         StructField("message", StringType()),
     ])
-    return read_table(spark, f"{table_root.rstrip('/')}/alerts", schema, dated=True)
+    return read_table(spark, table_root, "alerts", schema, CANDLE_JOB, dated=True)
+
+
+def stored_rejects(spark: SparkSession, table_root: str) -> DataFrame:
+    """Candles whose numbers do not fit the stored decimals, as computed."""
+    return read_table(spark, table_root, "rejects", CANDLE_SCHEMA, CANDLE_JOB, dated=True)
 
 
 def stored_dead_letters(spark: SparkSession, table_root: str) -> DataFrame:
     schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
-    return read_table(spark, f"{table_root.rstrip('/')}/dead_letters", schema)
+    return read_by_job(spark, table_root, "dead_letters", schema)
 
 
 def stored_metrics(spark: SparkSession, table_root: str) -> DataFrame:
-    return read_table(spark, f"{table_root.rstrip('/')}/metrics", METRICS_SCHEMA)
+    return read_by_job(spark, table_root, "metrics", METRICS_SCHEMA)
 
 
 def stored_candle_schema():

@@ -86,7 +86,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from barforge.operators import indicators, rates
-    from barforge.operators.candles import aggregate_candles
+    from barforge.operators.candles import candles_of
     from barforge.operators.sinks import publish_keyed
     from barforge.sources import tables
 
@@ -103,7 +103,7 @@ def main() -> None:
         jobs[name] = round(time.perf_counter() - t0, 2)
 
     path = scratch_path(spark, "skew-candles")
-    run("candles_1m_to_table", lambda: tables.write_candle_table(aggregate_candles(trades, "1 minute"), path))
+    run("candles_1m_to_table", lambda: tables.write_candle_table(candles_of(trades, "1 minute"), path))
     stored = tables.read_candles(spark, path).drop("date")
     run("chart_series_1m", lambda: indicators.chart_series(stored, 60).write.format("noop").mode("overwrite").save())
     run("counter_rate", lambda: rates.counter_rate(

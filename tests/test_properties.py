@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from barforge.operators.candles import aggregate_candles
+from barforge.operators.candles import candles_of, packed_order_key, struct_order_key
 from barforge.operators.rates import counter_rate
 from barforge.operators.sinks import insert_if_absent
 
@@ -44,7 +44,7 @@ def test_candles_match_brute_force(spark, rows, window_s):
     for order in ("packed", "struct"):
         got = {
             (r["symbol"], r["window_start"]): (r["open"], r["high"], r["low"], r["close"], r["volume"])
-            for r in aggregate_candles(df, f"{window_s} seconds", order=order).collect()
+            for r in candles_of(df, f"{window_s} seconds", packed_order_key() if order == "packed" else struct_order_key()).collect()
         }
         assert got == _brute_candles(rows, window_s)
 
