@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.functions.exprs import direction, round_to, typical_price
+from barforge.functions.exprs import direction, typical_price
 from barforge.operators.timegrid import gap_fill, running_sums, trailing
 
 # Fixed values of the chart: fast/slow moving-average lengths (slots) and sparkline size.
@@ -37,7 +37,7 @@ def moving_averages(grid: DataFrame, step_s: int, lengths: dict | None = None,
     def ma(n):
         def fn(base):
             frame = base.rangeBetween(-(n - 1) * step_s, 0)
-            return F.when(F.count(value).over(frame) == n, round_to(F.avg(value).over(frame)))
+            return F.when(F.count(value).over(frame) == n, F.avg(value).over(frame))
         return fn
 
     return trailing(grid, key, ts, halo, step_s, {name: ma(n) for name, n in lengths.items()}, keep_bucket=keep_bucket)
@@ -48,7 +48,7 @@ def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start",
     """Cumulative typical-price VWAP from the first row of each key's slice."""
     tv = typical_price("high", "low", "close") * F.col("volume")
     out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": F.col("volume")}, bucket_col=bucket_col)
-    vwap = F.when(F.col("close").isNotNull(), round_to(F.try_divide(F.col("_ctv"), F.when(F.col("_cv") != 0, F.col("_cv")))))
+    vwap = F.when(F.col("close").isNotNull(), F.try_divide(F.col("_ctv"), F.when(F.col("_cv") != 0, F.col("_cv"))))
     return out.withColumn("vwap", vwap).drop("_ctv", "_cv")
 
 

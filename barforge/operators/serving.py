@@ -37,10 +37,17 @@ def minutes_before(as_of: Column, minutes: int) -> Column:
 
 
 def lookback(df: DataFrame, as_of: Column, minutes: int | None, ts: str = "window_start") -> DataFrame:
-    """Rows with ``ts >= as_of - minutes`` (all rows when minutes is None)."""
+    """Rows with ``as_of - minutes <= ts <= as_of`` (all rows when minutes is None).
+
+    Where the input still has the ``date`` partition column of a stored table, it
+    is bounded too, so partitions outside the range are not opened.
+    """
     if minutes is None:
         return df
-    return df.filter(F.col(ts) >= minutes_before(as_of, minutes))
+    lower = minutes_before(as_of, minutes)
+    if dict(df.dtypes).get("date") == "date":
+        df = df.filter(F.col("date").between(F.to_date(lower), F.to_date(as_of)))
+    return df.filter(F.col(ts).between(lower, as_of))
 
 
 def allow_list(df: DataFrame, symbols: list[str], key: str = "symbol") -> DataFrame:
@@ -51,8 +58,8 @@ def allow_list(df: DataFrame, symbols: list[str], key: str = "symbol") -> DataFr
 
 
 def retention(ticks: DataFrame, as_of: Column, minutes: int = TICK_RETENTION_MIN, ts: str = "ts") -> DataFrame:
-    """P10: ticks no older than ``minutes`` before ``as_of``."""
-    return ticks.filter(F.col(ts) >= minutes_before(as_of, minutes))
+    """P10: ticks of the last ``minutes`` up to ``as_of``."""
+    return lookback(ticks, as_of, minutes, ts)
 
 
 def latest_n(df: DataFrame, n: int = ALL_RANGE_LIMIT, key: str = "symbol", ts: str = "window_start") -> DataFrame:
@@ -138,7 +145,7 @@ def kpi_table(kpi_slice: DataFrame, live: DataFrame, symbols: list[str]) -> Data
 
     price prefers the live tick (F8); change is vs the slice's first open (F9).
     Both inputs are first reduced to one row per configured symbol, so the joins
-    are between frames bounded by the configured list, broadcast safely.
+    are between frames bounded by the configured list; AQE picks their strategy.
     """
     per_symbol = allow_list(kpi_slice, symbols).groupBy("symbol").agg(
         F.min_by("open", "window_start").alias("first_open"),
@@ -147,7 +154,7 @@ def kpi_table(kpi_slice: DataFrame, live: DataFrame, symbols: list[str]) -> Data
     )
     live_px = allow_list(live, symbols).select("symbol", F.col("price").alias("live_price"))
     base = configured_symbols(kpi_slice, symbols)
-    joined = base.join(F.broadcast(per_symbol), "symbol", "left").join(F.broadcast(live_px), "symbol", "left")
+    joined = base.join(per_symbol, "symbol", "left").join(live_px, "symbol", "left")
     has_data = F.col("candles").isNotNull()
     price = preferred_price("live_price", "last_close")
     change = kpi_change(price, "first_open", "candles")

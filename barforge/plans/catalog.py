@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barforge.functions.exprs import round_to
 from barforge.functions.validity import missing_fields, with_violations
 from barforge.operators import alerts as alert_ops
 from barforge.operators import indicators, quality, rates, serving
@@ -162,6 +163,17 @@ def stored_hourly(spark, sf_dir):
     return tables.read_candles(spark, candle_table(spark, sf_dir)).drop("date")
 
 
+def recent_hourly(spark, sf_dir, minutes, as_of=P.AS_OF):
+    """The stored hourly candles of the last ``minutes`` up to ``as_of``; other dates are not opened."""
+    stored = tables.read_candles(spark, candle_table(spark, sf_dir))
+    return serving.lookback(stored, P.as_of_col(as_of), minutes).drop("date")
+
+
+def rounded(df, *cols):
+    """Averages at the output edge, to the stored scale: sums in another order differ in the last bits."""
+    return df.withColumns({c: round_to(c) for c in cols})
+
+
 @query("alerts")
 def alerts_default(spark, sf_dir):
     """Volatility alerts at the default 0.3 % threshold over hourly candles."""
@@ -199,13 +211,19 @@ def latest_n_candles(spark, sf_dir):
 @query("lookback_slice")
 def lookback_slice(spark, sf_dir):
     """Hourly candles of the last 7 days before as_of."""
-    return ntz(serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN))
+    return ntz(recent_hourly(spark, sf_dir, P.LOOKBACK_MIN))
+
+
+@query("lookback_backdated")
+def lookback_backdated(spark, sf_dir):
+    """P6 with ``as_of`` inside the data: candles after it are left out."""
+    return ntz(recent_hourly(spark, sf_dir, P.LOOKBACK_MIN, P.AS_OF_BACKDATED))
 
 
 @query("range_summary")
 def range_summary(spark, sf_dir):
     """Per-symbol summary of the 7-day slice."""
-    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
+    s = recent_hourly(spark, sf_dir, P.LOOKBACK_MIN)
     return ntz(serving.slice_summary(s))
 
 
@@ -217,14 +235,14 @@ def live_prices(spark, sf_dir):
 @query("kpi")
 def kpi(spark, sf_dir):
     """One KPI row per configured symbol over the last 24 h (live price preferred)."""
-    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
+    s = recent_hourly(spark, sf_dir, P.KPI_LOOKBACK_MIN)
     return ntz(serving.kpi_table(s, live_prices(spark, sf_dir), P.SYMBOLS))
 
 
 @query("sparkline")
 def sparkline(spark, sf_dir):
     """Normalised sparkline points of the KPI slice."""
-    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.KPI_LOOKBACK_MIN)
+    s = recent_hourly(spark, sf_dir, P.KPI_LOOKBACK_MIN)
     return indicators.sparkline_points(s).withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -254,35 +272,32 @@ def metric_totals(spark, sf_dir):
 STEP_S = P.CHART_STEP_MIN * 60
 
 
-def all_range(spark, sf_dir):
-    return serving.latest_n(stored_hourly(spark, sf_dir), serving.ALL_RANGE_LIMIT)
-
-
 @query("gap_grid")
 def gap_grid(spark, sf_dir):
-    """The 'All' range (newest 2000 candles per symbol) on a complete hourly grid."""
-    return ntz(indicators.gap_fill(all_range(spark, sf_dir), STEP_S))
+    """All stored candles on a complete hourly grid."""
+    return ntz(indicators.gap_fill(stored_hourly(spark, sf_dir), STEP_S))
 
 
 @query("ma_fast_slow")
 def ma_fast_slow(spark, sf_dir):
-    """MA10 / MA20 of close over the gridded 'All' range."""
-    g = indicators.gap_fill(all_range(spark, sf_dir), STEP_S)
-    return ntz(indicators.moving_averages(g, STEP_S).select("symbol", "window_start", "close", "ma_fast", "ma_slow"))
+    """MA10 / MA20 of close over the grid of all candles."""
+    g = indicators.gap_fill(stored_hourly(spark, sf_dir), STEP_S)
+    mas = indicators.moving_averages(g, STEP_S).select("symbol", "window_start", "close", "ma_fast", "ma_slow")
+    return ntz(rounded(mas, "ma_fast", "ma_slow"))
 
 
 @query("vwap")
 def vwap(spark, sf_dir):
-    """Session VWAP over the gridded 'All' range."""
-    g = indicators.gap_fill(all_range(spark, sf_dir), STEP_S)
-    return ntz(indicators.session_vwap(g).select("symbol", "window_start", "close", "vwap"))
+    """Session VWAP over the grid of all candles."""
+    g = indicators.gap_fill(stored_hourly(spark, sf_dir), STEP_S)
+    return ntz(rounded(indicators.session_vwap(g).select("symbol", "window_start", "close", "vwap"), "vwap"))
 
 
 @query("chart_series")
 def chart_series(spark, sf_dir):
     """D3: 7-day slice -> grid -> MA10/MA20 -> VWAP -> direction."""
-    s = serving.lookback(stored_hourly(spark, sf_dir), P.as_of_col(), P.LOOKBACK_MIN)
-    return ntz(indicators.chart_series(s, STEP_S))
+    s = recent_hourly(spark, sf_dir, P.LOOKBACK_MIN)
+    return ntz(rounded(indicators.chart_series(s, STEP_S), "ma_fast", "ma_slow", "vwap"))
 
 
 # --- rates and ticks (A9-A12, W6, P10) ------------------------------------------
@@ -336,9 +351,10 @@ def tick_sample_1s(spark, sf_dir):
 
 @query("tick_retention")
 def tick_retention(spark, sf_dir):
-    """P10: tick samples of the last 10 minutes before as_of."""
-    t = rates.tick_samples(testviews.trades(spark, sf_dir))
-    kept = serving.retention(t, P.as_of_col(), serving.TICK_RETENTION_MIN)
+    """P10: tick samples of the last 10 minutes up to as_of; the bound is applied to the
+    trades, where it reaches the scan, and gives the samples known at as_of."""
+    recent = serving.retention(testviews.trades(spark, sf_dir), P.as_of_col(), serving.TICK_RETENTION_MIN)
+    kept = rates.tick_samples(recent)
     return ntz(kept.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import TimestampType
 # (events span 2024-01-01 .. 2024-01-30, UTC).
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
+AS_OF_BACKDATED = dt.datetime(2024, 1, 15, 0, 30, 0)  # inside the data: later rows must stay out
 SYMBOLS = ["click", "error", "purchase", "signup", "view", "refund"]  # 'refund' has no trades
 ALERT_THRESHOLD = 0.3
 ALERT_THRESHOLD_WIDE = 50.0
@@ -23,9 +24,9 @@ LATEST_N = 200
 ALERT_LIMIT = 12
 
 
-def as_of_col():
-    """``AS_OF`` as a TIMESTAMP read in the (UTC) session time zone."""
-    return F.lit(AS_OF.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+def as_of_col(as_of: dt.datetime = AS_OF):
+    """``as_of`` as a TIMESTAMP read in the (UTC) session time zone."""
+    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
 
 
 def ntz(df: DataFrame) -> DataFrame:

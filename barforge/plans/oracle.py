@@ -187,6 +187,7 @@ WITH {FEED} SELECT symbol, price, size, side, trade_id, ts FROM feed_routed WHER
 # --- alerts, serving, indicators, rates, quality --------------------------------
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+AS_OF_BACKDATED = "TIMESTAMP '2024-01-15 00:30:00'"
 SYMBOL_LIST = "['click', 'error', 'purchase', 'signup', 'view', 'refund']"
 HOURLY = f"{TRADES}, {candles_cte('1 hour')}"
 
@@ -218,8 +219,8 @@ WITH {HOURLY},
 r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM candles)
 SELECT symbol, window_start, window_end, open, high, low, close, volume FROM r WHERE rn <= {{n}}"""
 
-SLICE_7D = f"{HOURLY}, slice AS (SELECT * FROM candles WHERE window_start >= {AS_OF} - INTERVAL 10080 MINUTE)"
-SLICE_24H = f"{HOURLY}, slice AS (SELECT * FROM candles WHERE window_start >= {AS_OF} - INTERVAL 1440 MINUTE)"
+SLICE_7D = f"{HOURLY}, slice AS (SELECT * FROM candles WHERE window_start BETWEEN {AS_OF} - INTERVAL 10080 MINUTE AND {AS_OF})"
+SLICE_24H = f"{HOURLY}, slice AS (SELECT * FROM candles WHERE window_start BETWEEN {AS_OF} - INTERVAL 1440 MINUTE AND {AS_OF})"
 
 RANGE_SUMMARY = f"""
 WITH {SLICE_7D},
@@ -238,7 +239,7 @@ syms AS (SELECT unnest({SYMBOL_LIST}) AS symbol),
 per AS (SELECT symbol, arg_min(open, window_start) AS first_open, arg_max(close, window_start) AS last_close,
                count(*) AS candles FROM slice GROUP BY symbol),
 live AS (SELECT symbol, arg_max(price, {{'t': ts, 'i': trade_id}}) AS live_price FROM trades
-         WHERE ts >= {AS_OF} - INTERVAL 10 MINUTE GROUP BY symbol),
+         WHERE ts BETWEEN {AS_OF} - INTERVAL 10 MINUTE AND {AS_OF} GROUP BY symbol),
 j AS (SELECT syms.symbol, per.first_open, per.last_close, per.candles, live.live_price,
              coalesce(live.live_price, per.last_close) AS px
       FROM syms LEFT JOIN per ON per.symbol = syms.symbol LEFT JOIN live ON live.symbol = syms.symbol),
@@ -288,8 +289,7 @@ FROM malformed"""
 
 ALL_RANGE_GRID = f"""
 {HOURLY},
-r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM candles),
-slice AS (SELECT symbol, window_start, window_end, open, high, low, close, volume FROM r WHERE rn <= 2000),
+slice AS (SELECT * FROM candles),
 bounds AS (SELECT symbol, min(window_start) AS lo, max(window_start) AS hi FROM slice GROUP BY symbol),
 grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL '1 hour')) AS window_start FROM bounds),
 g AS (SELECT grid.symbol, grid.window_start, s.window_end, s.open, s.high, s.low, s.close, s.volume
@@ -393,6 +393,8 @@ WITH {TRADES} SELECT symbol, arg_max(price, {{'t': ts, 'i': trade_id}}) AS price
                      arg_max(ts, {{'t': ts, 'i': trade_id}}) AS ts FROM trades GROUP BY symbol""",
     "latest_n_candles": LATEST_N.replace("{n}", "200"),
     "lookback_slice": f"WITH {SLICE_7D} SELECT * FROM slice",
+    "lookback_backdated": f"""WITH {HOURLY} SELECT * FROM candles
+        WHERE window_start BETWEEN {AS_OF_BACKDATED} - INTERVAL 10080 MINUTE AND {AS_OF_BACKDATED}""",
     "range_summary": RANGE_SUMMARY,
     "kpi": KPI,
     "sparkline": SPARKLINE,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.operators.serving import ALL_RANGE_LIMIT, minutes_before
+from barforge.operators.serving import ALL_RANGE_LIMIT, lookback
 
 DEFAULT_FILES_PER_WRITE = None  # let the cluster's shuffle partitions decide
 
@@ -46,8 +46,7 @@ def candles_for(spark: SparkSession, path: str, symbol: str, minutes: int | None
     """
     df = read_candles(spark, path).filter(F.col("symbol") == symbol)
     if minutes is not None:
-        lower = minutes_before(as_of, minutes)
-        df = df.filter((F.col("date") >= F.to_date(lower)) & (F.col("window_start") >= lower))
+        df = lookback(df, as_of, minutes)
     else:
         df = df.orderBy(F.col("window_start").desc()).limit(limit)
     return df.drop("date").orderBy("window_start")
@@ -58,6 +57,5 @@ def read_ticks(spark: SparkSession, path: str, as_of: Column | None = None, minu
     pruning date partitions first."""
     df = spark.read.parquet(path)
     if as_of is not None and minutes is not None:
-        lower = minutes_before(as_of, minutes)
-        df = df.filter((F.col("date") >= F.to_date(lower)) & (F.col("ts") >= lower))
+        df = lookback(df, as_of, minutes, ts="ts")
     return df.drop("date")

@@ -47,3 +47,12 @@ def test_scan_reads_only_needed_columns(spark):
     plan = _plan(spark, "latest_price")
     read_schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert "props" not in read_schema and "user_id" not in read_schema
+
+
+def test_look_back_queries_open_only_their_dates(spark):
+    for name in ("lookback_slice", "lookback_backdated", "range_summary", "kpi", "sparkline", "chart_series"):
+        assert re.search(r"PartitionFilters: \[isnotnull\(date", _plan(spark, name), re.I), name
+
+
+def test_tick_retention_bounds_the_trades_scan(spark):
+    assert "GreaterThanOrEqual(ts" in _plan(spark, "tick_retention")

@@ -62,6 +62,13 @@ def test_lookback_filter_reaches_the_scan(spark, scratch):
     assert "PushedFilters: [IsNotNull(window_start), GreaterThanOrEqual(window_start" in plan
 
 
+def test_lookback_ends_at_as_of(spark):
+    as_of = F.lit("2024-01-01 10:02:00").cast("timestamp")
+    got = serving.lookback(_candles(spark), as_of, 1).select("window_start").distinct().collect()
+    assert sorted(r["window_start"].minute for r in got) == [1, 2]
+    assert serving.lookback(_candles(spark), as_of, None).count() == _candles(spark).count()
+
+
 def test_pipeline_status_without_metrics(spark):
     ledger = spark.createDataFrame([], "metric string, value long, updated_at timestamp")
     as_of = F.lit("2024-01-01 10:09:00").cast("timestamp")
