@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from barforge.schema import REQUIRED_FIELDS, SIDES
 
+TEXT_FIELDS = ["symbol", "side", "ts"]  # JSON strings; the others are numbers
+
 # Fixed value: RFC 3339 date-time text (date, 'T' or space, time, optional
 # fraction, then 'Z' or a numeric offset).
 RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
@@ -17,11 +19,23 @@ def missing_fields() -> Column:
     return sum((F.col(f).isNull().cast("int") for f in REQUIRED_FIELDS), F.lit(0))
 
 
+def json_without_nan(raw: Column) -> Column:
+    """The text with bare NaN and Infinity values, which the parser takes but JSON does not know, as null."""
+    return F.regexp_replace(raw, r"(:\s*)[+-]?(?:NaN|INF|Infinity)(?=\s*[,}])", "$1null")
+
+
+def _not_text(variant: Column, field: str) -> Column:
+    """The field holds JSON of another type than string (FALSE where the type is not known)."""
+    kind = F.schema_of_variant(F.try_variant_get(variant, f"$.{field}", "variant"))
+    return F.coalesce(~kind.isin("STRING", "VOID"), F.lit(False))
+
+
 def _not_positive(c: Column) -> Column:
     return c.isNotNull() & (F.isnan(c) | (c <= 0))
 
 
-def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text", keys_col: str | None = None) -> Column:
+def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text", keys_col: str | None = None,
+                        variant_col: str | None = None) -> Column:
     """P5: ARRAY<STRING> of contract rules a parsed trade breaks (empty = conforms).
 
     Expects the parsed columns (symbol, price, size, side, trade_id) plus the raw
@@ -30,17 +44,19 @@ def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text",
     size > 0 (NaN breaks it); side in the enum; trade_id >= 0; ts an RFC 3339
     date-time; no keys outside the contract ('extra:<key>').
 
-    ``keys_col`` names a column already holding ``json_object_keys(raw)``; the
-    expression is referenced many times, so precomputing it (see
-    :func:`with_violations`) avoids re-parsing the text per reference.
+    ``keys_col`` and ``variant_col`` name columns already holding the keys and the
+    variant of the text; the expressions are referenced many times, so precomputing
+    them (see :func:`with_violations`) avoids re-parsing the text per reference.
     """
-    keys = F.col(keys_col) if keys_col else F.json_object_keys(F.col(raw_col))
+    keys = F.col(keys_col) if keys_col else F.json_object_keys(json_without_nan(F.col(raw_col)))
+    variant = F.col(variant_col) if variant_col else F.try_parse_json(json_without_nan(F.col(raw_col)))
     per_field = []
     for f in REQUIRED_FIELDS:
         value = F.col(ts_text_col) if f == "ts" else F.col(f)
+        wrong = value.isNull() | _not_text(variant, f) if f in TEXT_FIELDS else value.isNull()
         per_field.append(
             F.when(
-                keys.isNotNull() & value.isNull(),
+                keys.isNotNull() & wrong,
                 F.when(F.array_contains(keys, f), F.lit(f"type:{f}")).otherwise(
                     F.lit(f"required:{f}")
                 ),
@@ -52,11 +68,11 @@ def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text",
         F.when(_not_positive(F.col("price")), F.lit("range:price")),
         F.when(_not_positive(F.col("size")), F.lit("range:size")),
         F.when(
-            F.col("side").isNotNull() & ~F.col("side").isin(*SIDES), F.lit("enum:side")
+            F.col("side").isNotNull() & ~_not_text(variant, "side") & ~F.col("side").isin(*SIDES), F.lit("enum:side")
         ),
         F.when(F.col("trade_id") < 0, F.lit("range:trade_id")),
         F.when(
-            F.col(ts_text_col).isNotNull()
+            F.col(ts_text_col).isNotNull() & ~_not_text(variant, "ts")
             & (~F.col(ts_text_col).rlike(RFC3339) | F.col("ts").isNull()),
             F.lit("format:ts"),
         ),
@@ -71,7 +87,8 @@ def contract_violations(raw_col: str = "raw_json", ts_text_col: str = "ts_text",
 def with_violations(parsed, raw_col: str = "raw_json", ts_text_col: str = "ts_text"):
     """Add ``violations`` to a parsed frame, parsing the key set once per row."""
     return (
-        parsed.withColumn("_keys", F.json_object_keys(F.col(raw_col)))
-        .withColumn("violations", contract_violations(raw_col, ts_text_col, keys_col="_keys"))
-        .drop("_keys")
+        parsed.withColumn("_text", json_without_nan(F.col(raw_col)))
+        .withColumns({"_keys": F.json_object_keys("_text"), "_variant": F.try_parse_json("_text")})
+        .withColumn("violations", contract_violations(raw_col, ts_text_col, keys_col="_keys", variant_col="_variant"))
+        .drop("_text", "_keys", "_variant")
     )

@@ -17,6 +17,7 @@ from barforge.functions.exprs import to_stored_price, to_stored_volume
 from barforge.operators.candles import packed_order_key
 from barforge.operators.serving import allow_list
 from barforge.operators.timegrid import DAY_S, running_sums, trailing
+from barforge.session import shared_dir
 
 # Reporting interval and the trailing rate range (seconds).
 REPORT_INTERVAL_S = 10
@@ -38,20 +39,25 @@ def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_I
     output is never shuffled.
     """
     wanted = [s.strip() for s in symbols if s and s.strip()]
-    per_window = (
-        allow_list(trades, wanted)
-        .groupBy(F.window("ts", _interval(interval_s)).start.alias("window_start"), "symbol")
+    # The bounds and the counts come from one scan of the trades: per-window counts, written once.
+    shared_dir(trades.sparkSession)
+    counts = (
+        trades.groupBy(F.window("ts", _interval(interval_s)).start.alias("window_start"), "symbol")
         .agg(F.count(F.lit(1)).alias("n"))
+        .checkpoint()
+    )
+    per_window = (
+        allow_list(counts, wanted)
         .groupBy("window_start")
         .agg(F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("_counts"),
              F.sum("n").alias("_total"))
     )
     step_us = interval_s * 1_000_000
     per_chunk = max(1, DAY_S // interval_s)
-    lo_us = F.floor(F.unix_micros(F.min("ts")) / step_us) * step_us
-    bounds = trades.agg(
-        lo_us.cast("long").alias("_lo"),
-        F.floor((F.unix_micros(F.max("ts")) - lo_us) / step_us).cast("long").alias("_n"),
+    lo_us = F.unix_micros(F.min("window_start"))
+    bounds = counts.agg(
+        lo_us.alias("_lo"),
+        F.floor((F.unix_micros(F.max("window_start")) - lo_us) / step_us).cast("long").alias("_n"),
     )
     chunks = bounds.select(
         "_lo", "_n",
@@ -140,6 +146,13 @@ def counter_rate(samples: DataFrame, range_s: int, key: str = "symbol", ts: str
     )
 
 
+def offset_rate(samples: DataFrame, range_s: int, partition: str = "partition", ts: str = "ts", value: str = "value") -> DataFrame:
+    """``(ts, partitions, increase, rate)``: :func:`counter_rate` of each partition's
+    offsets, summed over the partitions sampled at that time."""
+    each = counter_rate(samples, range_s, partition, ts, value)
+    return each.groupBy(ts).agg(F.count(F.lit(1)).alias("partitions"), F.sum("increase").alias("increase"), F.sum("rate").alias("rate"))
+
+
 def tick_samples(trades: DataFrame, every_s: int = 1) -> DataFrame:
     """Latest trade per symbol per ``every_s`` seconds, by ``(ts, trade_id)``,
     with the stored decimal types of the tick table."""

@@ -69,6 +69,21 @@ def _fs_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the driver's own, on whatever store the path names."""
+    p, fs = _fs_path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def table_stamp(spark: SparkSession, path: str) -> tuple:
+    """(modification time, length) of a table's files: changes when the table is written again."""
+    p, fs = _fs_path(spark, path)
+    files = fs.listStatus(p) if fs.exists(p) else []
+    return tuple(sorted((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in files))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs_path(spark, path)
     return bool(fs.exists(p))

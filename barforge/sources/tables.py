@@ -31,6 +31,12 @@ def write_candle_table(candles: DataFrame, path: str, files: int | None = DEFAUL
     parts.sortWithinPartitions("symbol", "window_start").write.mode(mode).partitionBy("date").parquet(path)
 
 
+def write_dated(df: DataFrame, path: str, time_col: str) -> None:
+    """C4 for alerts and ticks: a folder a UTC date, spread by (date, symbol), sorted by (symbol, time)."""
+    parts = df.withColumn("date", F.to_date(time_col)).repartition("date", "symbol")
+    parts.sortWithinPartitions("symbol", time_col).write.partitionBy("date").parquet(path)
+
+
 def read_candles(spark: SparkSession, path: str) -> DataFrame:
     """The whole candle table (the ``date`` partition column included)."""
     return spark.read.parquet(path)

@@ -33,6 +33,7 @@ from barforge.schema import (
     STORED_CANDLE_TYPES,
 )
 from barforge.sources.trades import parse_trades, read_text_stream, split_trades
+from barforge.streaming.progress import ProgressListener
 
 # Fixed defaults of the reference deployment.
 WINDOW_DURATION = "1 minute"
@@ -60,6 +61,7 @@ class StreamConfig:
     # provider and the number of state partitions are fixed by a checkpoint's first run.
     state_store: str | None = None
     state_partitions: int | None = None
+    progress_root: str | None = None  # folder for progress records (R9)
 
 
 def apply_state_settings(spark: SparkSession, cfg: "StreamConfig") -> None:
@@ -116,12 +118,21 @@ def start_malformed(raw_stream: DataFrame, cfg: StreamConfig, query_name: str |
 
 def run_both(raw_stream: DataFrame, cfg: StreamConfig, timeout_s: float | None = None) -> dict[str, StreamingQuery]:
     """Start both queries; with ``available_now`` wait until both finish (else call :func:`supervise`)."""
+    spark = raw_stream.sparkSession
+    listener = ProgressListener(spark, cfg.progress_root) if cfg.progress_root else None
+    if listener:
+        spark.streams.addListener(listener)
     queries = {
         "candles": start_candles(raw_stream, cfg),
         "malformed": start_malformed(raw_stream, cfg),
     }
     if cfg.available_now:
-        supervise(queries, timeout_s)
+        try:
+            supervise(queries, timeout_s)
+        finally:
+            if listener:
+                listener.wait([str(q.runId) for q in queries.values()])
+                spark.streams.removeListener(listener)
     return queries
 
 

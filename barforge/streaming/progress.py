@@ -1,21 +1,23 @@
 """Streaming progress as data.
 
-Each micro-batch's ``StreamingQueryProgress`` (``query.recentProgress`` /
-``lastProgress``) becomes one row: query label, batch id, input rows, input and
-processed rates, trigger duration, watermark and late rows dropped. Progress
-records are produced on the driver by Spark itself (one small record per
-trigger); the analytics over them run as DataFrame aggregations.
+A listener writes each micro-batch's ``StreamingQueryProgress`` as a JSON line to
+files below a shared folder, so nothing is lost when Spark drops old records from
+``query.recentProgress``. Read back, each becomes one row: query label, batch id,
+input rows, input and processed rates, trigger duration, watermark and late rows
+dropped; the analytics over them run as DataFrame aggregations.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 from barforge.functions.exprs import clean_number
+from barforge.operators.sinks import write_text
 
 # Fixed: the progress fields kept, as (JSON path, output column).
 PROGRESS_FIELDS = [
@@ -36,17 +38,47 @@ def _as_json(p) -> str:
     return json.dumps(p, default=str)
 
 
-def progress_records(queries: dict[str, StreamingQuery]) -> list[tuple[str, str]]:
-    """``(label, progress JSON)`` for every retained progress of every query.
+class ProgressListener(StreamingQueryListener):
+    """Appends progress records below ``folder``, ``every`` of them to a file.
 
-    Queries are labelled by the caller's map (query id -> name), not by
-    ``queryName``, so any source works.
+    A file's name holds the query's run and the first batch in it. What is not yet
+    written when the driver is lost is at most ``every`` - 1 records of each query.
     """
-    out = []
-    for label, q in queries.items():
-        for p in q.recentProgress:
-            out.append((label, _as_json(p)))
-    return out
+
+    def __init__(self, spark: SparkSession, folder: str, every: int = 12):
+        self.spark, self.folder, self.every = spark, folder.rstrip("/"), every
+        self.held: dict[str, list[tuple[int, str]]] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        with self.changed:
+            self.held.setdefault(run, []).append((event.progress.batchId, _as_json(event.progress)))
+            if len(self.held[run]) >= self.every:
+                self._write(run)
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self._write(str(event.runId))
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def _write(self, run: str) -> None:
+        if records := self.held.pop(run, []):
+            write_text(self.spark, f"{self.folder}/{run}-{records[0][0]}.json", "\n".join(text for _, text in records) + "\n")
+
+    def wait(self, runs: list[str], timeout_s: float = 60) -> None:
+        """Until all records of runs that have ended are written; the end is the last event of a run."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: self.ended.issuperset(runs), timeout_s):
+                raise TimeoutError(f"no end reported for {sorted(set(runs) - self.ended)}")
 
 
 def last_progress(spark: SparkSession, names: dict | None = None) -> list[tuple[str, str]]:
@@ -60,9 +92,20 @@ def last_progress(spark: SparkSession, names: dict | None = None) -> list[tuple[
     return out
 
 
+def stored_progress(spark: SparkSession, folder: str, labels: dict[str, str]) -> DataFrame:
+    """What a :class:`ProgressListener` wrote, as typed rows; ``labels``: query id -> label."""
+    names = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    lines = spark.read.text(folder)
+    return progress_rows(lines.select(names[F.get_json_object("value", "$.id")].alias("query"), F.col("value").alias("progress")))
+
+
 def progress_frame(spark: SparkSession, records: list[tuple[str, str]]) -> DataFrame:
+    """(label, progress JSON) records as typed rows."""
+    return progress_rows(spark.createDataFrame(records, "query string, progress string"))
+
+
+def progress_rows(raw: DataFrame) -> DataFrame:
     """Progress JSON -> typed rows; NULL/NaN/unparseable numbers become 0.0."""
-    raw = spark.createDataFrame(records, "query string, progress string")
     cols = [F.col("query")]
     for path, name in PROGRESS_FIELDS:
         v = F.get_json_object("progress", path)

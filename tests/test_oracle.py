@@ -7,10 +7,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from barforge.plans.catalog import QUERIES
+from barforge.plans.oracle import SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events", "lineitem"]
-STREAMING = {n for n in entry.queries() if n.startswith("stream_")}
 
 
 def _norm(v):
@@ -44,13 +45,13 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_streaming_progress():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"stream_progress"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n not in STREAMING))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    want = con.execute(entry.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF).toPandas()
+    want = con.execute(SQL[name]).df()
     assert _rows(got) == _rows(want)

@@ -72,7 +72,7 @@ def test_late_row_is_dropped_and_counted(spark, scratch):
     q = _run(spark, f"{scratch}/in", f"{scratch}/ck", captured)
     emitted = [(b, rows) for b, rows in captured if rows]
     assert emitted == [(2, [("10:00", 1.0, 1.0, 1.0, 1.0)]), (5, [("10:05", 2.0, 3.0, 3.0, 2.0)])]
-    summary = progress.progress_summary(progress.progress_frame(spark, progress.progress_records({"candles": q}))).first()
+    summary = progress.progress_summary(progress.progress_frame(spark, [("candles", p.json) for p in q.recentProgress])).first()
     assert summary["late_rows_dropped"] == 1
     assert summary["input_rows"] == 5
 
