@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +100,29 @@ def op10_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_warc": op1_warc, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_packing": op4_packing,
            "op5_decontam": op5_decontam, "op6_chat": op6_chat, "op7_itq": op7_itq, "op8_bitpack": op8_bitpack,
            "op9_bloomlm": op9_bloomlm, "op10_mil": op10_mil}
+ITEM_WORDS = rf"regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{decontam.WORD}')"
 SQL: dict[str, str] = {
+    "op5_decontam": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({ITEM_WORDS}, []) AS w FROM documents),
+             b AS (SELECT item_id, {ITEM_WORDS} AS w FROM benchmark WHERE len({ITEM_WORDS}) > 0),
+             cut AS (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS k FROM b),
+             win AS (SELECT DISTINCT item_id, list_slice(w, k, k + 12) AS g FROM cut),
+             p AS (SELECT r, generate_subscripts(w, 1) AS k, unnest(w) AS word FROM d),
+             grams AS (SELECT r, k, string_agg(word, ' ') OVER f AS g, count(*) OVER f AS n FROM p
+                       WINDOW f AS (PARTITION BY r ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+             hits AS (SELECT r, item_id, k, 13 AS n FROM grams
+                      JOIN (SELECT item_id, array_to_string(g, ' ') AS g FROM win WHERE len(g) = 13) USING (g) WHERE n = 13
+                      UNION ALL
+                      SELECT r, item_id, k, len(g) FROM (SELECT * FROM win WHERE len(g) < 13) JOIN p ON word = g[1] JOIN d USING (r)
+                      WHERE list_slice(w, k, k + len(g) - 1) = g),
+             places AS (SELECT r, unnest(range(k, k + n)) AS place FROM hits),
+             h AS (SELECT r, count(DISTINCT place) AS n_hit FROM places GROUP BY r),
+             n AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN n USING (r)
+    """,
     "op1_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
              d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),

@@ -1,7 +1,9 @@
 import random
 import re
 
-from barforge.llm import decontam
+import duckdb
+
+from barforge.llm import decontam, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -45,6 +47,17 @@ def test_matches_brute_force(spark):
     assert sorted(got, key=str) == brute(docs, items)
 
 
+def test_query_matches_its_sql_on_whole_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
+    want = con.execute(queries.SQL["op5_decontam"])
+    columns = [c[0] for c in want.description]
+    got = queries.op5_decontam(spark, sf).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
+
+
 def test_proximity(spark):
     phrase = "alpha beta gamma delta epsilon"
     docs = [(1, f"zz {phrase} zz"), (2, "alpha beta x gamma delta x epsilon"), (3, "alpha y y y y y beta gamma delta epsilon"), (4, "alpha")]
