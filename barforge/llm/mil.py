@@ -14,7 +14,7 @@ spread over its length. Scoring reads all passages of all documents.
 
 Defined cases: null text counts as empty; an empty text is one passage without words;
 labels of unknown documents are ignored, documents with several labels count by their
-largest; without both classes among the labels every score is 0.5; an empty table
+largest, and of rows that repeat an id one is learnt from; without both classes among the labels every score is 0.5; an empty table
 gives an empty result. Only the text enters a score.
 """
 
@@ -179,7 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                 out.append(x[np.linspace(0, len(x) - 1, min(len(x), FIT_PASSAGES)).astype(int)].tobytes())
             yield pa.RecordBatch.from_arrays([ids, ys, pa.array(out, pa.binary())], ["id", "y", "x"])
 
-    rows = texts.select("id", "y", "text").mapInArrow(encode, "id bigint, y int, x binary").toArrow().sort_by([("id", "ascending"), ("x", "ascending")])
+    # rows that repeat an id count once, so at most ``sample`` rows of fixed size come back
+    encoded = texts.select("id", "y", "text").mapInArrow(encode, "id bigint, y int, x binary").groupBy("id", "y").agg(F.min("x").alias("x"))
+    rows = encoded.toArrow().sort_by("id")
     rng = np.random.default_rng(seed)
     model, y = Model(rng), np.array(rows["y"].to_pylist(), np.float32)
     if 0 < y.sum() < len(y):
@@ -188,9 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(id, score double, and the columns to keep) per row; the score of a text depends on nothing else."""
-    keep = keep or []
-    rows = docs.select(F.col(text_col).cast("binary").alias("_text"), F.col(id_col).cast("bigint").alias("_id"), *keep)
+    """(_score double, _id, and the columns to keep as the struct ``kept``) per row; the score of a text depends on nothing else."""
+    rows = docs.select(F.col(text_col).cast("binary").alias("_text"), F.col(id_col).cast("bigint").alias("_id"),
+                       *([F.struct(*keep).alias("kept")] if keep else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

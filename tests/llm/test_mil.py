@@ -55,7 +55,7 @@ def test_nulls_empty_tables_and_clashing_names(spark):
                                  "doc_id long, text string, score double, y int")
     none = spark.createDataFrame([], "doc_id long, quality int")
     out = mil.score(docs, mil.fit(docs, none), keep=["score", "y"]).collect()
-    assert [r._score for r in out] == [0.5] * 3 and sorted(r.score for r in out) == [0.1, 0.2, 0.5]
+    assert [r._score for r in out] == [0.5] * 3 and sorted(r.kept.score for r in out) == [0.1, 0.2, 0.5]
     labels = spark.createDataFrame([(2, 1), (2, 0), (1, None), (5, 0), (None, 1)], "doc_id long, quality int")
     assert len(mil.score(docs, mil.fit(docs, labels)).collect()) == 3
     assert mil.score(docs.where("false"), mil.fit(docs.where("false"), labels)).count() == 0
