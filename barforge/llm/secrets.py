@@ -200,7 +200,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
     keep = keep or []
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(
-        F.col(id_col).alias("id"), F.struct(*keep, F.lit(0).alias("_")).alias("kept"),
+        F.col(id_col).alias("id"), F.struct(*(keep or [F.lit(0).alias("_")])).alias("kept"),
         F.filter(_when_found(text, r"(?i:passw|secret|token|api_?key)", ASSIGN),
                  lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6).alias("assign"),
         F.filter(_when_found(text, "AKIA[A-Z0-9]{16}", ACCESS), lambda s: s["end"] - s["start"] >= 20).alias("access"),

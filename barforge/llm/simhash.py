@@ -55,16 +55,21 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp bigint): one row per row of ``docs``."""
+    """(id, fp bigint, text_key bigint): one row per row of ``docs``; the key is a hash of the text."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t or b"", shingle, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], ["id", "fp"])
+                [batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), batch.column(2)], ["id", "fp", "text_key"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(hashed, "id bigint, fp bigint")
+    text = F.col(text_col).cast("binary")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), text_key(text).alias("text_key"))
+    return rows.mapInArrow(hashed, "id bigint, fp bigint, text_key bigint")
+
+
+def text_key(text: Column) -> Column:
+    return F.xxhash64(text.cast("binary"))
 
 
 def _segment_count(fp: str, k: int) -> Column:
@@ -139,12 +144,15 @@ def links(pairs: DataFrame, radius: int) -> DataFrame:
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        radius: int = 2, seed: int = 42, block: int = 4096) -> DataFrame:
-    """(id, fp, component_id): the smallest id reachable over linked fingerprints."""
+    """(id, fp, text_key, component, component_id): the smallest id reachable over linked fingerprints.
+
+    ``component`` tells groups apart even where rows of two groups share an id.
+    """
     rows = staged(with_fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     classes = staged(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
     edges = links(tile_pairs(classes.select("fp"), radius, block), radius)
     members = (classes.join(connected_components(edges), classes["fp"] == F.col("node"), "left")
                .select("fp", "first_id", F.coalesce("component", "fp").alias("component")))
     first = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = members.select("fp", "component").join(first, "component").select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "fp", "component_id")
+    named = members.select("fp", "component").join(first, "component").select("fp", "component", "component_id")
+    return rows.join(named, "fp").select("id", "fp", "text_key", "component", "component_id")

@@ -52,6 +52,15 @@ def test_stages_match_brute_force(spark):
     assert padding < 0.05 * sum(r.length for r in fifth.collect())
 
 
+def test_groups_that_share_an_id_keep_one_document_each(spark):
+    same, other = "one two three four five", "six seven eight nine ten"
+    rows = [(4, same, "a"), (4, other, "a"), (4, other, "a"), (7, same, "b"), (None, same, "c"), (None, "only this one has no id", "d"), (2, "", "e"), (9, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component string")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [(4, same), (4, other), (None, "only this one has no id"), (2, "")]))
+
+
 def test_nulls_ties_repeats_and_empty_input(spark):
     rows = [(1, None, "x", 5), (1, None, "x", 5), (None, "password=abcdefgh", None, None), (2, "", "y", 0), (3, "same text here", "z", 1),
             (4, "same text here", "z", 1), (5, "long " * 30_000, "z", 1)]
