@@ -19,19 +19,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels, gives a score of 0.5 or more."""
     model = mil.fit(docs, table(spark, sf_dir, "labels"))
     scored = mil.score(docs, model, keep=docs.columns)
-    return scored.where("_score >= 0.5").select(docs.columns)
+    return scored.where("_score >= 0.5").select([F.col("kept")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one with the smallest id.
 
-    Rows without an id form no group's first document unless no row of it has one;
-    of rows that repeat the smallest id one stays.
+    Rows without an id form no group's first document unless no row of it has one; of
+    rows of a group that repeat the smallest id, the one with the smallest hash of its
+    text stays, and one of its exact copies. Rows of different groups may share an id.
     """
     groups = simhash.simhash_components(docs, shingle=3, radius=2, seed=42)
-    first = groups.groupBy("component_id").agg(F.min("id").alias("first_id")).select("first_id").distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")
+    first = groups.groupBy("component").agg(F.min(order).alias("first")).select("first.id", "first.text_key")
+    key = simhash.text_key(docs["text"])
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["id"]) & (key == first["text_key"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
