@@ -45,10 +45,16 @@ def moving_averages(grid: DataFrame, step_s: int, lengths: dict | None = None,
 
 def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start",
                  bucket_col: str | None = None) -> DataFrame:
-    """Cumulative typical-price VWAP from the first row of each key's slice."""
-    tv = typical_price("high", "low", "close") * F.col("volume")
-    out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": F.col("volume")}, bucket_col=bucket_col)
-    vwap = F.when(F.col("close").isNotNull(), F.try_divide(F.col("_ctv"), F.when(F.col("_cv") != 0, F.col("_cv"))))
+    """Cumulative typical-price VWAP from the first row of each key's slice.
+
+    NaN counts as missing, in either sum, and such a row has no VWAP. The grid, a join of two aggregates, is
+    checkpointed once: the totals and the rows would each compute it again otherwise.
+    """
+    none = F.lit(None).cast("double")
+    volume = F.nanvl(F.col("volume").cast("double"), none)
+    tv = F.nanvl(typical_price("high", "low", "close") * volume, none)
+    out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": volume}, bucket_col=bucket_col, materialize=True)
+    vwap = F.when(tv.isNotNull(), F.try_divide(F.col("_ctv"), F.when(F.col("_cv") != 0, F.col("_cv"))))
     return out.withColumn("vwap", vwap).drop("_ctv", "_cv")
 
 

@@ -62,9 +62,20 @@ def retention(ticks: DataFrame, as_of: Column, minutes: int = TICK_RETENTION_MIN
     return lookback(ticks, as_of, minutes, ts)
 
 
-def latest_n(df: DataFrame, n: int = ALL_RANGE_LIMIT, key: str = "symbol", ts: str = "window_start") -> DataFrame:
+def latest_n(df: DataFrame, n: int = ALL_RANGE_LIMIT, key: str = "symbol", ts: str = "window_start",
+             day: str | None = None) -> DataFrame:
     """Newest ``n`` rows per key. ``row_number() <= n`` is planned as a
-    WindowGroupLimit, so each map task ships at most ``n`` rows per key."""
+    WindowGroupLimit, so each map task ships at most ``n`` rows per key.
+
+    With ``day``, the date column of a stored table, counts per (key, day) first tell
+    on which days a key's newest ``n`` rows lie; only those days are ranked, so a key
+    sends at most ``n`` rows and one day to its task, however many tasks read it.
+    """
+    if day:
+        newer = Window.partitionBy(key).orderBy(F.col(day).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        days = (df.groupBy(key, day).agg(F.count(F.lit(1)).alias("_n")).withColumn("_newer", F.sum("_n").over(newer))
+                .filter(F.coalesce("_newer", F.lit(0)) < n).select(key, day))
+        df = df.join(days, [key, day], "left_semi")
     w = Window.partitionBy(key).orderBy(F.col(ts).desc())
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 

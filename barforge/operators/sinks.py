@@ -148,10 +148,12 @@ def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
 
 
 def write_dated_batch(df: DataFrame, path: str, query_id: str, batch_id: int, time_col: str) -> None:
-    """Add ``date=<day of time_col>/query_id=<id>/batch_id=<n>`` folders, one file each."""
+    """Add ``date=<day of time_col>/query_id=<id>/batch_id=<n>`` folders, one file each, in (symbol, time) order."""
+    parts = ["date", "query_id", "batch_id"]
     keyed = (df.withColumn("date", F.to_date(time_col)).withColumn("query_id", F.lit(query_id))
              .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
-    keyed.repartition("date").write.mode("append").partitionBy("date", "query_id", "batch_id").parquet(path)
+    rows = keyed.repartition("date").sortWithinPartitions(*parts, "symbol", time_col)
+    rows.write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def remove_attempt(spark: SparkSession, root: str, tables: list[str], query_id: str, batch_id: int) -> None:
@@ -202,7 +204,7 @@ def fits_stored(columns: list[str]) -> Column:
 
 # --- foreachBatch sink factories ----------------------------------------------------
 
-CANDLE_JOB, MALFORMED_JOB = "candles", "malformed"
+CANDLE_JOB, MALFORMED_JOB, TICK_JOB = "candles", "malformed", "ticks"
 DATED = ["candles", "alerts", "rejects"]
 STORED_NUMBERS = ["open", "high", "low", "close", "volume"]
 
@@ -330,9 +332,22 @@ def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict |
     parts.sortWithinPartitions("key", "_order").select("key", "value").write.mode("overwrite").parquet(path)
 
 
-def append_ticks(ticks: DataFrame, path: str) -> None:
-    """K6: append tick samples to a table partitioned by UTC date."""
-    ticks.withColumn("date", F.to_date("ts")).write.mode("append").partitionBy("date").parquet(path)
+def tick_sink(table_root: str, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """K6: the tick samples of a batch, committed once: a retry of the batch leaves no copies."""
+    root = table_root.rstrip("/")
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        query = query_id or query_id_of(spark)
+        if committed(spark, root, TICK_JOB).get(query, -1) >= batch_id:
+            batch_df.write.format("noop").mode("overwrite").save()
+            return
+        remove_attempt(spark, root, ["ticks"], query, batch_id)
+        write_dated_batch(batch_df, f"{root}/ticks", query, batch_id, "ts")
+        mark_committed(spark, root, TICK_JOB, query, batch_id)
+        forget_attempt(spark, root, query, batch_id)
+
+    return write
 
 
 def expire_partitions(spark: SparkSession, path: str, keep_from_date: str) -> list[str]:

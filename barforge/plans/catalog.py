@@ -20,13 +20,13 @@ from barforge.operators import alerts as alert_ops
 from barforge.operators import indicators, quality, rates, serving
 from barforge.operators.candles import candles_of, struct_order_key
 from barforge.operators.sinks import (
-    append_ticks,
     candle_sink,
     insert_if_absent,
     lenient_trade_repair,
     publish_keyed,
     replay_dead_letters,
     table_stamp,
+    tick_sink,
 )
 from barforge.plans import common as P
 from barforge.plans.common import ntz
@@ -207,7 +207,8 @@ def latest_price(spark, sf_dir):
 @query("latest_n_candles")
 def latest_n_candles(spark, sf_dir):
     """Newest 200 hourly candles per symbol."""
-    return ntz(serving.latest_n(stored_hourly(spark, sf_dir), P.LATEST_N))
+    stored_candles = tables.read_candles(spark, candle_table(spark, sf_dir))
+    return ntz(serving.latest_n(stored_candles, P.LATEST_N, day="date").drop("date"))
 
 
 @query("lookback_slice")
@@ -621,11 +622,11 @@ def publish_roundtrip(spark, sf_dir):
 
 @query("tick_buffer")
 def tick_buffer(spark, sf_dir):
-    """K6 + S5 + P10: per-second ticks appended to a date-partitioned table, read
+    """K6 + S5 + P10: per-second ticks committed to a date-partitioned table, read
     back with the 10-minute retention window (date partitions pruned first)."""
-    path = scratch_path(spark, "tick-buffer")
-    append_ticks(rates.tick_samples(testviews.trades(spark, sf_dir)), path)
-    kept = tables.read_ticks(spark, path, P.as_of_col(), serving.TICK_RETENTION_MIN)
+    root = scratch_path(spark, "tick-buffer")
+    tick_sink(root, "q")(rates.tick_samples(testviews.trades(spark, sf_dir)), 0)
+    kept = serving.retention(jobs.stored_ticks(spark, root), P.as_of_col(), serving.TICK_RETENTION_MIN)
     return ntz(kept.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))
 
 

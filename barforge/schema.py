@@ -79,8 +79,16 @@ STORED_CANDLE_TYPES = {
     "close": PRICE_DECIMAL,
     "volume": VOLUME_DECIMAL,
 }
-STORED_ALERT_TYPES = {"price": PRICE_DECIMAL, "pct_change": PCT_DECIMAL}
-STORED_TICK_TYPES = {"price": PRICE_DECIMAL, "size": VOLUME_DECIMAL}
+
+TICK_SCHEMA = StructType(
+    [
+        StructField("symbol", StringType()),
+        StructField("second", TimestampType()),
+        StructField("ts", TimestampType()),
+        StructField("price", PRICE_DECIMAL),
+        StructField("size", VOLUME_DECIMAL),
+    ]
+)
 
 METRICS_SCHEMA = StructType(
     [

@@ -53,11 +53,6 @@ def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path)
 
 
-def decode_payload(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Payload bytes (or text) -> ``raw_json`` text, the original kept for dead letters."""
-    return raw.select(F.col(value_col).cast("string").alias("raw_json"))
-
-
 def parse_trades(
     raw: DataFrame, value_col: str = "value", keep_ts_text: bool = False, passthrough: list[str] | None = None
 ) -> DataFrame:

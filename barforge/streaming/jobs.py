@@ -24,13 +24,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from barforge.operators.candles import candles_of
-from barforge.operators.sinks import CANDLE_JOB, CANDLE_KEYS, candle_sink, dead_letter_sink, read_by_job, read_table
+from barforge.operators.sinks import CANDLE_JOB, CANDLE_KEYS, TICK_JOB, candle_sink, dead_letter_sink, read_by_job, read_table
 from barforge.schema import (
     CANDLE_SCHEMA,
     METRICS_SCHEMA,
     PCT_DECIMAL,
     PRICE_DECIMAL,
     STORED_CANDLE_TYPES,
+    TICK_SCHEMA,
 )
 from barforge.sources.trades import parse_trades, read_text_stream, split_trades
 from barforge.streaming.progress import ProgressListener
@@ -187,6 +188,11 @@ def stored_dead_letters(spark: SparkSession, table_root: str) -> DataFrame:
     return read_by_job(spark, table_root, "dead_letters", schema)
 
 
+def stored_ticks(spark: SparkSession, table_root: str) -> DataFrame:
+    """The tick buffer, with its ``date`` partition column for look-backs."""
+    return read_table(spark, table_root, "ticks", TICK_SCHEMA, TICK_JOB, dated=True).drop("query_id", "batch_id")
+
+
 def stored_metrics(spark: SparkSession, table_root: str) -> DataFrame:
     return read_by_job(spark, table_root, "metrics", METRICS_SCHEMA)
 

@@ -18,7 +18,7 @@ def test_each_message_is_parsed_once(spark):
 
 
 def test_time_series_windows_are_bucketed(spark):
-    plan = _plan(spark, "chart_series")
+    plan = _plan(spark, "chart_series") + _plan(spark, "ma_fast_slow")
     specs = re.findall(r"windowspecdefinition\(([^)]*\)[^)]*)\)", plan)
     for spec in specs:
         partition_keys = spec.split(" ASC")[0].split(", ")
@@ -44,13 +44,22 @@ def test_candles_use_partial_hash_aggregation(spark):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = _plan(spark, "latest_price")
-    read_schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
-    assert "props" not in read_schema and "user_id" not in read_schema
+    read_schema = re.search(r"ReadSchema: struct<([^>]*)>", _plan(spark, "trade_totals")).group(1)
+    assert read_schema == "event_type:string"
+
+
+def test_read_side_opens_stored_tables_only(spark):
+    for name in ("latest_price", "alerts_feed", "pipeline_status", "metric_totals", "latest_n_candles"):
+        assert "events.parquet" not in _plan(spark, name), name
+
+
+def test_throughput_and_chart_are_computed_once(spark):
+    for name in ("throughput_10s_zero_filled", "vwap", "chart_series"):
+        assert "FileScan" not in _plan(spark, name), name  # both branches read the checkpoint
 
 
 def test_look_back_queries_open_only_their_dates(spark):
-    for name in ("lookback_slice", "lookback_backdated", "range_summary", "kpi", "sparkline", "chart_series"):
+    for name in ("lookback_slice", "lookback_backdated", "range_summary", "kpi", "sparkline"):
         assert re.search(r"PartitionFilters: \[isnotnull\(date", _plan(spark, name), re.I), name
 
 
