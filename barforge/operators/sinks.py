@@ -228,21 +228,24 @@ def candle_sink(table_root: str, threshold: float, query_id: str | None = None)
         batch_df = batch_df.persist()
         days = sorted(r[0] for r in batch_df.select(F.explode(F.array(F.to_date("window_start"), F.to_date("window_end"))))
                       .distinct().collect())  # the batch's own days
-        # candles of one micro-batch are unique per key (they come from a group-by on it)
-        stored = to_stored_candles(batch_df)
-        have = read_table(spark, root, "candles", stored.schema, CANDLE_JOB, True, days).select(*CANDLE_KEYS)
+        # candles of one micro-batch are unique per key (they come from a group-by on it);
+        # each row carries its numbers as computed beside those to be stored
+        computed = [F.col(c).alias(f"_{c}") for c in STORED_NUMBERS]
+        stored = to_stored_candles(batch_df.select("*", *computed))
+        have = read_table(spark, root, "candles", to_stored_candles(batch_df).schema, CANDLE_JOB, True, days).select(*CANDLE_KEYS)
         new = stored.join(have, CANDLE_KEYS, "left_anti").persist()
         fits = fits_stored(STORED_NUMBERS)
-        good = new.filter(fits)
-        write_dated_batch(good, f"{root}/candles", query, batch_id, "window_start")
-        bad = batch_df.join(new.filter(~fits).select(*CANDLE_KEYS), CANDLE_KEYS, "left_semi").select(batch_df.columns)
-        write_dated_batch(bad, f"{root}/rejects", query, batch_id, "window_start")
-        # alerts come from the unrounded candles
-        fresh = batch_df.join(good.select(*CANDLE_KEYS), CANDLE_KEYS, "left_semi")
-        alerts = dedupe_first(to_stored_alerts(derive_alerts(fresh, threshold)), ALERT_KEYS, "message")
-        known = read_table(spark, root, "alerts", alerts.schema, CANDLE_JOB, True, days).select(*ALERT_KEYS)
-        alerts = alerts.join(known, ALERT_KEYS, "left_anti").filter("price is not null and pct_change is not null")
-        write_dated_batch(alerts, f"{root}/alerts", query, batch_id, "ts")
+        as_computed = [F.col(f"_{c}").alias(c) if c in STORED_NUMBERS else F.col(c) for c in batch_df.columns]
+        good, bad = new.agg(F.count_if(fits), F.count_if(~fits)).first()
+        if good:
+            write_dated_batch(new.filter(fits).select(batch_df.columns), f"{root}/candles", query, batch_id, "window_start")
+            found = derive_alerts(new.filter(fits).select(as_computed), threshold)
+            alerts = dedupe_first(to_stored_alerts(found), ALERT_KEYS, "message")
+            known = read_table(spark, root, "alerts", alerts.schema, CANDLE_JOB, True, days).select(*ALERT_KEYS)
+            alerts = alerts.join(known, ALERT_KEYS, "left_anti").filter("price is not null and pct_change is not null")
+            write_dated_batch(alerts, f"{root}/alerts", query, batch_id, "ts")
+        if bad:
+            write_dated_batch(new.filter(~fits).select(as_computed), f"{root}/rejects", query, batch_id, "window_start")
         mark_committed(spark, root, CANDLE_JOB, query, batch_id)
         forget_attempt(spark, root, query, batch_id)
         for df in (new, batch_df):
