@@ -72,6 +72,8 @@ def main() -> None:
         f"Generated by `scripts/plan_report.py` on `{os.path.basename(sf_dir)}`: final adaptive plans after one",
         "execution. `scans` names the tables read (events = driver table, candles-c4 = the stored",
         "hourly candle table the read side uses). Join strategies are AQE's choices at this size.",
+        "Jobs that run before the final plan (checkpointed inputs of vwap, chart_series, counter_rate and",
+        "throughput, shown as `-`) are not counted.",
         "",
         "| query | shuffles | bcast join | SMJ | hash agg | sort agg | window | group limit | top-k | generate | scans | pushed to scan | cols read |",
         "|---|---|---|---|---|---|---|---|---|---|---|---|---|",
