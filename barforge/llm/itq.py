@@ -1,21 +1,24 @@
 """Embedding near-duplicates: iterative quantisation, multi-index Hamming tables, reranking.
 
 A rotation is learnt on a bounded sample (``SAMPLE`` vectors, those with the smallest
-hashes): centre, project on the principal axes, then alternate between the binary
+hashes): project on the principal axes, then alternate between the binary
 codes and the rotation that brings the projections closest to them (Gong and
-Lazebnik 2011). Every vector is coded with it. The code is cut into ``TABLES``
-substrings, one table each (Norouzi et al. 2012): codes within
-``TABLES * (near + 1) - 1`` bits have a substring within ``near`` bits. A table's
-buckets are split into blocks of bounded size; pairs of blocks of buckets within
-``near`` bits are compared by code, and what is within ``radius`` bits by the original
-vectors in double precision. A pair that several tables find counts in the first.
+Lazebnik 2011). Every vector is coded with it. Nothing is centred: bits then follow the
+angle between the vectors themselves, the one the threshold is about, whatever mean
+they have in common. The code is cut into ``TABLES`` substrings, one table each
+(Norouzi et al. 2012): codes within ``TABLES * (near + 1) - 1`` bits have a substring
+within ``near`` bits. ``near`` is taken from the threshold (``near_for``). Buckets that
+share their upper ``KEY_BITS`` are split into blocks of bounded size; pairs of blocks
+of buckets within ``near`` bits are compared by the original vectors in double
+precision. A pair that several tables find counts in the first.
 
 Equal vectors are compared once, as a class. A task reports how many links each of
 its vectors has and at most one edge per vector, never all pairs of a dense group.
 
 Every vector is indexed; the recall of links depends on the codes (see the tests).
-Defined cases: null or zero vectors, null or non-finite components and vectors of
-another length than the most common one have no links; rows that repeat an id and
+Vectors of different lengths are never linked; each length has a rotation of its own.
+Defined cases: null, empty or zero vectors and null or non-finite components have no
+links; rows that repeat an id and
 vector are separate vectors with equal results; null ids are kept; empty tables give
 an empty result. Only the two named columns are read.
 """
@@ -38,23 +41,21 @@ SAMPLE = 20_000
 ROUNDS = 40
 BITS = 64
 TABLES = 8
-RADIUS = 18
 BLOCK = 1024
 TABLE_BITS = BITS // TABLES
+KEY_BITS = 4
 
 
 class Rotation:
-    """Mean and projection of learnt codes: bit j of x is (x - mean) @ axes[:, j] > 0."""
+    """Projection of learnt codes: bit j of x is x @ axes[:, j] > 0."""
 
     def __init__(self, sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = 0):
         rng = np.random.default_rng(seed)
-        self.mean = sample.mean(axis=0)
-        centred = sample - self.mean
-        _, _, axes = np.linalg.svd(centred.T @ centred)
+        _, _, axes = np.linalg.svd(sample.T @ sample)
         kept = axes[:bits].T
         if kept.shape[1] < bits:  # fewer dimensions than bits: more random directions of the same space
             kept = np.hstack([kept, rng.normal(size=(kept.shape[0], bits - kept.shape[1]))])
-        projected = centred @ kept
+        projected = sample @ kept
         turn, _ = np.linalg.qr(rng.normal(size=(bits, bits)))
         for _ in range(rounds):
             codes = np.where(projected @ turn > 0, 1.0, -1.0)
@@ -63,7 +64,7 @@ class Rotation:
         self.axes = kept @ turn
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
-        bits = (vectors - self.mean) @ self.axes > 0
+        bits = vectors @ self.axes > 0
         return np.packbits(bits, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
@@ -73,54 +74,66 @@ def _usable(v: Column) -> Column:
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
-    """(cls, v, size, first_id): the distinct usable vectors of the most common length."""
-    usable = vectors.where("ok")
-    lengths = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    usable = usable.where(F.size("v") == (lengths[0]["n"] if lengths else 0))
-    return usable.groupBy("cls").agg(F.first("v").alias("v"), F.count("*").alias("size"), F.min("id").alias("first_id"))
-
-
-def learn(classes: DataFrame) -> Rotation | None:
-    """Fit on the classes with the smallest hashes, at most ``SAMPLE`` of them."""
-    rows = classes.orderBy("cls").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
-    if not len(rows):
-        return None
-    sample = np.array(rows.values, dtype=np.float64).reshape(len(rows), -1)
-    return Rotation(sample / np.linalg.norm(sample, axis=1)[:, None])
+    """(cls, dims, v, size, first_id): the distinct usable vectors."""
+    return vectors.where("ok").groupBy("cls").agg(F.size(F.first("v")).alias("dims"), F.first("v").alias("v"),
+                                                  F.count("*").alias("size"), F.min("id").alias("first_id"))
+
+
+def learn(classes: DataFrame) -> dict[int, Rotation]:
+    """One fit per length, on its classes with the smallest hashes, at most ``SAMPLE`` of them."""
+    out = {}
+    for (dims,) in classes.groupBy("dims").agg(F.count("*").alias("n")).where("n > 1").select("dims").collect():
+        rows = classes.where(F.col("dims") == dims).orderBy("cls").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
+        sample = np.array(rows.values, dtype=np.float64).reshape(len(rows), -1)
+        out[dims] = Rotation(sample / np.linalg.norm(sample, axis=1)[:, None])
+    return out
 
 
-def coded(classes: DataFrame, rotation: Rotation) -> DataFrame:
+def coded(classes: DataFrame, rotations: dict[int, Rotation]) -> DataFrame:
+    """Classes with their codes; a class that is the only one of its length has no partner and is left out."""
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            lengths = whole.column("dims").to_numpy()
+            for dims in np.intersect1d(lengths, list(rotations)):
+                batch = whole.filter(pa.array(lengths == dims))
                 v = np.array(batch.column("v").flatten(), dtype=np.float64).reshape(batch.num_rows, -1)
-                codes = rotation.codes(v / np.linalg.norm(v, axis=1)[:, None])
+                codes = rotations[int(dims)].codes(v / np.linalg.norm(v, axis=1)[:, None])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes.view(np.int64))],
-                                                 ["cls", "v", "size", "code"])
+                                                 ["cls", "dims", "v", "size", "code"])
+
+    return (classes.select("cls", "dims", "v", "size")
+            .mapInArrow(code, "cls bigint, dims int, v array<double>, size bigint, code bigint"))
+
 
-    return classes.select("cls", "v", "size").mapInArrow(code, "cls bigint, v array<double>, size bigint, code bigint")
+def near_for(cosine: float) -> int:
+    """Bits by which a substring may differ: what the tables need for all codes within five standard deviations
+    of the distance that vectors at the threshold are expected to have."""
+    share = float(np.arccos(np.clip(cosine, -1, 1))) / np.pi
+    radius = BITS * share + 5 * np.sqrt(BITS * share * (1 - share))
+    return min(TABLE_BITS, int(radius) // TABLES)
 
 
-def near_substrings(near: int) -> list[int]:
-    """Substring differences of at most ``near`` bits."""
-    return [sum(1 << b for b in bits) for r in range(near + 1) for bits in itertools.combinations(range(TABLE_BITS), r)]
+def near_keys(near: int) -> list[int]:
+    """Differences of at most ``near`` bits between the upper bits of substrings."""
+    return [sum(1 << b for b in bits) for r in range(min(near, KEY_BITS) + 1) for bits in itertools.combinations(range(KEY_BITS), r)]
 
 
 def block_pairs(codes: DataFrame, near: int) -> DataFrame:
     """Pairs of blocks of near buckets of one table; each side: arrays of class, size, code, vector."""
-    mask = (1 << TABLE_BITS) - 1
-    tables = F.posexplode(F.array(*[F.shiftrightunsigned("code", t * TABLE_BITS).bitwiseAND(F.lit(mask)) for t in range(TABLES)]))
+    mask, low = (1 << KEY_BITS) - 1, TABLE_BITS - KEY_BITS
+    tables = F.posexplode(F.array(*[F.shiftrightunsigned("code", t * TABLE_BITS + low).bitwiseAND(F.lit(mask)) for t in range(TABLES)]))
     spread = codes.select("*", tables.alias("t", "sub"))
-    # at most TABLES * 2 ** TABLE_BITS = 2,048 rows
-    sizes = spread.groupBy("t", "sub").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocks = (spread.join(F.broadcast(sizes), ["t", "sub"]).groupBy("t", "sub", F.expr("pmod(hash(cls), blocks)").alias("block"))
+    # at most TABLES * 2 ** KEY_BITS = 128 rows a length
+    sizes = spread.groupBy("dims", "t", "sub").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = (spread.join(F.broadcast(sizes), ["dims", "t", "sub"])
+              .groupBy("dims", "t", "sub", F.expr("pmod(hash(cls), blocks)").alias("block"))
               .agg(F.collect_list(F.struct("cls", "size", "code", "v")).alias("rows")))
     blocks = staged(blocks, "hamming-tables")
-    flips = F.array(*map(F.lit, near_substrings(near)))
+    flips = F.array(*map(F.lit, near_keys(near)))
     left = (blocks.withColumn("flip", F.explode(flips)).withColumn("other", F.col("sub").bitwiseXOR(F.col("flip")))
-            .where("sub <= other").select("t", F.col("other").alias("sub"), F.col("sub").alias("own"),
+            .where("sub <= other").select("dims", "t", F.col("other").alias("sub"), F.col("sub").alias("own"),
                                           F.col("block").alias("own_block"), F.col("rows").alias("a")))
-    return (left.join(blocks.select("t", "sub", "block", F.col("rows").alias("b")), ["t", "sub"])
+    return (left.join(blocks.select("dims", "t", "sub", "block", F.col("rows").alias("b")), ["dims", "t", "sub"])
             .where("own <> sub or own_block <= block")
             .select("t", "a", "b", F.expr("own = sub and own_block = block").alias("same")))
 
@@ -135,7 +148,7 @@ def first_table(a: np.ndarray, b: np.ndarray, near: int) -> np.ndarray:
     return out
 
 
-def compare(pairs: DataFrame, near: int, radius: int, cosine: float) -> DataFrame:
+def compare(pairs: DataFrame, near: int, cosine: float) -> DataFrame:
     """(cls, other, n): ``n`` links of a class found in a task (other null), or an edge (n null)."""
 
     def side(rows) -> tuple[np.ndarray, ...]:
@@ -151,7 +164,8 @@ def compare(pairs: DataFrame, near: int, radius: int, cosine: float) -> DataFram
                 n_a, n_b = np.zeros(len(cls_a), np.int64), np.zeros(len(cls_b), np.int64)
                 forest, shift = Forest(len(cls_a) + len(cls_b)), 0 if same else len(cls_a)
                 for at in range(0, len(cls_a), 128):
-                    i, j = np.nonzero(np.bitwise_count(code_a[at:at + 128, None] ^ code_b[None, :]) <= radius)
+                    # products of matrices round differently, so what is close to the threshold is computed again
+                    i, j = np.nonzero(v_a[at:at + 128] @ v_b.T >= cosine - 1e-9)
                     i += at
                     if same:
                         i, j = i[j > i], j[j > i]
@@ -175,15 +189,13 @@ def compare(pairs: DataFrame, near: int, radius: int, cosine: float) -> DataFram
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9,
-                    near: int = 0, radius: int = RADIUS) -> DataFrame:
+                    near: int | None = None) -> DataFrame:
     """(id, n_links, component_id) per row of ``df``."""
     v = F.col(vector_col).cast("array<double>")
     vectors = df.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v"), F.xxhash64(v).alias("cls"), _usable(v).alias("ok"))
     classes = staged(classes_of(vectors), "vector-classes")
-    rotation = learn(classes)
-    if rotation is None:
-        return vectors.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    found = staged(compare(block_pairs(coded(classes, rotation), near), near, radius, cosine), "vector-links")
+    near = near_for(cosine) if near is None else near
+    found = staged(compare(block_pairs(coded(classes, learn(classes)), near), near, cosine), "vector-links")
     counts = found.where("n is not null").groupBy("cls").agg(F.sum("n").alias("n"))
     components = connected_components(found.where("other is not null").select(F.col("cls").alias("src"), F.col("other").alias("dst")))
     known = (classes.select("cls", "size", "first_id").join(counts, "cls", "left")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from barforge.llm import itq
 
@@ -51,6 +52,42 @@ def test_recall_on_the_given_table(spark):
     assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
 
 
+def planted(rng, dims, common, pairs=250, others=1500):
+    """Vectors whose random cosine is ``common``, and pairs of such vectors at cosine 0.90 to 0.92."""
+    mean = np.eye(dims)[0] * np.sqrt(common)
+
+    def free(n):
+        x = rng.normal(size=(n, dims)) * (np.arange(dims) > 0)
+        return x / np.linalg.norm(x, axis=1)[:, None]
+
+    a, side, c = free(pairs), free(pairs), rng.uniform(0.90, 0.92, pairs)
+    side -= (side * a).sum(axis=1)[:, None] * a
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    turn = (c - common) / (1 - common)
+    b = turn[:, None] * a + np.sqrt(1 - turn**2)[:, None] * side
+    return mean + np.sqrt(1 - common) * np.concatenate((a, b, free(others)))
+
+
+@pytest.mark.parametrize(("dims", "common"), [(64, 0.0), (64, 0.69), (64, 0.8), (128, 0.69)])
+def test_recall_at_the_threshold_with_a_common_mean(spark, dims, common):
+    x = planted(np.random.default_rng(5), dims, common)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    got = np.array([r.n_links for r in itq.near_duplicates(df).orderBy("id").collect()])
+    assert want.sum() >= 500 and (got <= want).all()
+    assert got.sum() >= 0.999 * want.sum(), got.sum() / want.sum()
+
+
+def test_each_length_is_a_group_of_its_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [rng.normal(size=n).tolist() for n in [16] * 40 + [24] * 6 + [7]]
+    rows += [[x * 1.01 + 0.001 for x in v] for v in rows]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = {r.id: (r.n_links, r.component_id) for r in itq.near_duplicates(df).collect()}
+    assert all(got[i][0] >= 1 and got[i][1] == got[i + 47][1] for i in range(47))
+
+
 def test_empty_and_unusable(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, itq.near_duplicates(df).collect())) == [(1, 0, 1), (2, 0, 2)]
