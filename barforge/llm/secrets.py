@@ -2,10 +2,13 @@
 
 DataFrame functions only. Three kinds of base spans come from patterns. The fourth
 kind, ``random``, is found by testing: candidates are runs of key characters of at
-least ``MIN_LENGTH`` that hold a letter and a digit and lie in no base span. Each
-gets the smallest encoding whose alphabet holds it (hex, base32, base36, base62,
-base64 or base64url) and three tests of the hypothesis "drawn uniformly from that
-alphabet":
+least ``MIN_LENGTH`` that hold a letter or a digit. What base spans cover is cut out of
+a run and each remaining piece is a candidate. A piece that mixes the marks of base64
+and of base64url is taken apart twice, into its longest strings of either alphabet; a
+key of any encoding lies whole in one of them. Each candidate
+gets the smallest encoding whose alphabet holds it (digits, hex, letters, base32, base36, base62,
+base64 or base64url; letters alone and letters with marks are classes of their own)
+and three tests of the hypothesis "drawn uniformly from that alphabet":
 
 * chi-squared over the alphabet's digits, marks and thirds of its letters
   (Wilson-Hilferty);
@@ -16,7 +19,7 @@ Fisher's method combines the three p-values. Over all documents, for each encodi
 length class, Benjamini-Hochberg at rate ``q`` decides which candidates are cleared
 as not random; longer strings, on which the tests have more power, are thereby
 judged among themselves. What cannot be cleared is a span. The decision needs only a
-histogram of p-values per class (at most 6 x 6 x 401 rows), not the candidates.
+histogram of p-values per class (at most 12 x 6 x 401 rows), not the candidates.
 
 Defined cases: null text counts as empty and has no spans; rows that repeat an id are
 scanned each; an empty table gives an empty result; all other columns are kept out.
@@ -40,14 +43,24 @@ LONG_HEX = r"[0-9a-f]{24,}"  # the same spans as HEX runs of 24 or more: a run i
 KINDS = ["assign", "access", "hex", "random"]
 MIN_LENGTH = 20
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_LENGTH
+BASE64 = r"[A-Za-z0-9+/]{%d,}={0,2}" % MIN_LENGTH
+BASE64URL = r"[A-Za-z0-9_-]{%d,}={0,2}" % MIN_LENGTH
 DIGITS, LOWER, UPPER = string.digits, string.ascii_lowercase, string.ascii_uppercase
+#: letters by their frequency in text, so that the thirds of an alphabet tell words from keys
+COMMON = "etaoinsrhldcumfpgwybvkxjqz"
 #: encoding, pattern of its strings, alphabet in order of value
 ENCODINGS = [
+    ("digits", "^[0-9]+$", DIGITS),
     ("hex", "^[0-9a-f]+$", DIGITS + "abcdef"),
     ("hex", "^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    ("lower", "^[a-z]+$", COMMON),
+    ("upper", "^[A-Z]+$", COMMON.upper()),
     ("base32", "^[A-Z2-7]+$", UPPER + "234567"),
     ("base36", "^[0-9a-z]+$", DIGITS + LOWER),
     ("base36", "^[0-9A-Z]+$", DIGITS + UPPER),
+    ("letters", "^[A-Za-z]+$", COMMON + COMMON.upper()),
+    ("letters64", "^[A-Za-z+/]+$", COMMON + COMMON.upper() + "+/"),
+    ("letters64url", "^[A-Za-z_-]+$", COMMON + COMMON.upper() + "-_"),
     ("base62", "^[0-9A-Za-z]+$", DIGITS + UPPER + LOWER),
     ("base64", "^[0-9A-Za-z+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("base64url", "^[0-9A-Za-z_-]+$", UPPER + LOWER + DIGITS + "-_"),
@@ -86,6 +99,40 @@ def _when_found(text: Column, test: str, pattern: str) -> Column:
     return F.when(text.rlike(test), _matches(text, pattern)).otherwise(empty)
 
 
+def _piece(start: Column, end: Column, value: Column) -> Column:
+    return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), value.alias("value"))
+
+
+def _uncovered(run: Column, base: Column) -> Column:
+    """The pieces of a run that no base span covers; ``base`` is sorted by start."""
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+
+    def up_to(acc: Column, end: Column) -> Column:
+        value = F.substring(run["value"], (acc["at"] - run["start"] + 1).cast("int"), (end - acc["at"]).cast("int"))
+        return F.when(end > acc["at"], F.concat(acc["pieces"], F.array(_piece(acc["at"], end, value)))).otherwise(acc["pieces"])
+
+    def step(acc: Column, span: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], span["end"]).alias("at"), up_to(acc, span["start"]).alias("pieces"))
+
+    met = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    start = F.struct(run["start"].alias("at"), empty.alias("pieces"))
+    return F.when(F.size(met) > 0, F.aggregate(met, start, step, lambda acc: up_to(acc, run["end"]))).otherwise(F.array(run))
+
+
+def _one_alphabet(piece: Column) -> Column:
+    """The piece, or if it mixes both kinds of marks its longest strings of either alphabet."""
+    value = piece["value"]
+    found = F.concat(_matches(value, BASE64), _matches(value, BASE64URL))
+    parts = F.transform(found, lambda m: _piece(piece["start"] + m["start"], piece["start"] + m["end"], m["value"]))
+    return F.when(value.rlike("[+/]") & value.rlike("[_-]"), parts).otherwise(F.array(piece))
+
+
+def _candidates(runs: Column, base: Column) -> Column:
+    pieces = F.flatten(F.transform(runs, lambda r: _uncovered(r, base)))
+    parts = F.flatten(F.transform(pieces, _one_alphabet))
+    return F.filter(parts, lambda c: (F.length(F.rtrim(c["value"], F.lit("="))) >= MIN_LENGTH) & c["value"].rlike("[0-9A-Za-z]"))
+
+
 # --- the battery ------------------------------------------------------------
 
 def _let(value: Column, body) -> Column:
@@ -116,12 +163,12 @@ def _fisher(ps: list[Column]) -> Column:
 
 
 def _ranges(alphabet: str) -> list[int]:
-    """Cuts of an alphabet: digits and marks are a range each, letters of one case three."""
+    """Cuts of an alphabet: digits and marks are a range each, letters of one case or digits alone three."""
     kind = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "m" for c in alphabet]
     cuts = [0]
     for k in dict.fromkeys(kind):
         n = kind.count(k)
-        parts = 3 if k in "ul" and n > 10 else 1
+        parts = 3 if k in "ul" and n > 10 or n == len(alphabet) else 1
         cuts += [kind.index(k) + n * (i + 1) // parts for i in range(parts)]
     return cuts
 
@@ -206,10 +253,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
         F.filter(_when_found(text, "AKIA[A-Z0-9]{16}", ACCESS), lambda s: s["end"] - s["start"] >= 20).alias("access"),
         _when_found(text, LONG_HEX, LONG_HEX).alias("hex"),
         _when_found(text, CANDIDATE, CANDIDATE).alias("candidates"))
-    spans = base.select("id", "kept", F.concat(*[_as_kind(F.col(k), k) for k in KINDS[:3]]).alias("base"),
-                        F.filter("candidates", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")).alias("candidates"))
-    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    tested = F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), battery(c["value"]).alias("t")))
+    spans = base.select("id", "kept", F.array_sort(F.concat(*[_as_kind(F.col(k), k) for k in KINDS[:3]])).alias("base"), "candidates")
+    tested = F.transform(_candidates(F.col("candidates"), F.col("base")), lambda c: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), battery(c["value"]).alias("t")))
     judged = F.transform(F.filter(tested, lambda c: c["t"].isNotNull()), lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), c["t"]["encoding"].alias("encoding"),
         _length_class(c["t"]["n"]).alias("length_class"), _bin(c["t"]["p"]).alias("bin")))

@@ -48,6 +48,30 @@ def test_added_spans_catch_keys_and_spare_words(spark):
     assert caught > 0.97 and false < 6
 
 
+def test_keys_in_paths_beside_base_spans_and_of_one_kind_of_character(spark):
+    draw = random.Random(23)
+    key = lambda n, alphabet=string.ascii_letters + string.digits: "".join(draw.choices(alphabet, k=n))
+    forms = {"path": lambda: ("com/services/my-app/", key(40)), "dashes": lambda: ("a-b-c-d/x/", key(40)),
+             "access": lambda: ("AKIA" + key(16, string.ascii_uppercase) + "/", key(40)),
+             "hex": lambda: (key(32, "0123456789abcdef") + "-", key(40, string.ascii_letters + string.digits + "-_")),
+             "letters": lambda: ("", key(24, string.ascii_letters)), "lower": lambda: ("", key(30, string.ascii_lowercase)),
+             "marks": lambda: ("", "Aa+/" + key(28, string.ascii_letters)), "digits": lambda: ("", key(22, string.digits))}
+    made = [(form, *make()) for form, make in forms.items() for _ in range(40)]
+    df = spark.createDataFrame([(i, f"see {before}{k} here") for i, (_, before, k) in enumerate(made)], "doc_id long, text string")
+    spans = {r.id: [(s["start"], s["end"]) for s in r.spans if s["rank"] == 3] for r in secrets.scan(df).collect()}
+    for form in forms:
+        whole = [any(a <= 4 + len(before) and b >= 4 + len(before) + len(k) for a, b in spans[i])
+                 for i, (f, before, k) in enumerate(made) if f == form]
+        assert sum(whole) >= 0.95 * len(whole), (form, sum(whole), len(whole))
+
+
+def test_words_without_digits_are_spared(spark):
+    words = ["order", "Section", "the", "page", "Context", "part", "version", "application", "manager"]
+    texts = [rng.choice(["", "-", "/", "_"]).join(rng.choices(words, k=6)) for _ in range(400)]
+    df = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(texts + ["-" * 60, "=" * 30])], "doc_id long, text string")
+    assert sum(any(s["rank"] == 3 for s in r.spans) for r in secrets.scan(df).collect()) < 12
+
+
 def test_p_values_are_uniform_on_random_strings(spark):
     df = spark.createDataFrame([("".join(rng.choices(string.ascii_letters + string.digits, k=64)),) for _ in range(3000)], "v string")
     t = df.select(secrets.battery(F.col("v")).alias("t")).select("t.*").toPandas()
