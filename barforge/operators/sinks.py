@@ -205,14 +205,16 @@ def fits_stored(columns: list[str]) -> Column:
 # --- foreachBatch sink factories ----------------------------------------------------
 
 CANDLE_JOB, MALFORMED_JOB, TICK_JOB = "candles", "malformed", "ticks"
-DATED = ["candles", "alerts", "rejects"]
+DATED = ["candles", "alerts", "rejects", "rejected_alerts"]
 STORED_NUMBERS = ["open", "high", "low", "close", "volume"]
+ALERT_NUMBERS = ["price", "pct_change"]
 
 
 def candle_sink(table_root: str, threshold: float, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """K1 + K2: insert-if-absent candles and the alerts of the inserted ones, in one commit.
 
-    Candles whose numbers do not fit the stored decimals go to the ``rejects`` table.
+    Candles whose numbers do not fit the stored decimals go to the ``rejects`` table,
+    alerts whose numbers do not to ``rejected_alerts``, both as computed.
     Alerts are unique by (symbol, ts): the first stored one stays.
     """
     root = table_root.rstrip("/")
@@ -240,10 +242,13 @@ def candle_sink(table_root: str, threshold: float, query_id: str | None = None)
         if good:
             write_dated_batch(new.filter(fits).select(batch_df.columns), f"{root}/candles", query, batch_id, "window_start")
             found = derive_alerts(new.filter(fits).select(as_computed), threshold)
-            alerts = dedupe_first(to_stored_alerts(found), ALERT_KEYS, "message")
+            storable = fits_stored(ALERT_NUMBERS)
+            alerts = dedupe_first(to_stored_alerts(found).filter(storable), ALERT_KEYS, "message")
             known = read_table(spark, root, "alerts", alerts.schema, CANDLE_JOB, True, days).select(*ALERT_KEYS)
-            alerts = alerts.join(known, ALERT_KEYS, "left_anti").filter("price is not null and pct_change is not null")
-            write_dated_batch(alerts, f"{root}/alerts", query, batch_id, "ts")
+            write_dated_batch(alerts.join(known, ALERT_KEYS, "left_anti"), f"{root}/alerts", query, batch_id, "ts")
+            lost = found.filter(to_stored_price("price").isNull() | to_stored_pct("pct_change").isNull())
+            if not lost.isEmpty():
+                write_dated_batch(lost, f"{root}/rejected_alerts", query, batch_id, "ts")
         if bad:
             write_dated_batch(new.filter(~fits).select(as_computed), f"{root}/rejects", query, batch_id, "window_start")
         mark_committed(spark, root, CANDLE_JOB, query, batch_id)

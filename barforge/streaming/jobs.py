@@ -183,6 +183,12 @@ def stored_rejects(spark: SparkSession, table_root: str) -> DataFrame:
     return read_table(spark, table_root, "rejects", CANDLE_SCHEMA, CANDLE_JOB, dated=True)
 
 
+def stored_rejected_alerts(spark: SparkSession, table_root: str) -> DataFrame:
+    """Alerts of stored candles whose numbers do not fit the stored decimals, as computed."""
+    schema = "symbol string, ts timestamp, price double, pct_change double, message string"
+    return read_table(spark, table_root, "rejected_alerts", StructType.fromDDL(schema), CANDLE_JOB, dated=True)
+
+
 def stored_dead_letters(spark: SparkSession, table_root: str) -> DataFrame:
     schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
     return read_by_job(spark, table_root, "dead_letters", schema)
