@@ -8,9 +8,10 @@ learnt from the documents' labels alone; the weighted sum is scored by a logisti
     h = relu(x W + b)      a = softmax over passages of w . (tanh(h V) * sigmoid(h U))
     score = sigmoid(sum(a h) . c + d)
 
-The model is fitted with numpy on at most ``SAMPLE`` labelled documents, those with
-the smallest hashes of their ids, and at most ``FIT_PASSAGES`` passages of each,
-spread over its length. Scoring reads all passages of all documents.
+The model is fitted with numpy on all passages of at most ``SAMPLE`` labelled documents
+of the table, those with the smallest hashes of their ids. The passages are kept in
+a file in the driver's temp folder, of which a mini-batch is read at a time. Scoring
+reads all passages of all documents.
 
 Defined cases: null text counts as empty; an empty text is one passage without words;
 labels of unknown documents are ignored, documents with several labels count by their
@@ -20,15 +21,18 @@ gives an empty result. Only the text enters a score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterator, Sequence
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barforge.llm.common import staged
+
 SAMPLE = 6_000
-FIT_PASSAGES = 16
 PASSAGE = 48  # words
 HIDDEN, GATE = 32, 16
 PAIRS = 96  # hashed byte pairs
@@ -132,9 +136,14 @@ class Model:
         dh = (a[:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T) * (h > 0)
         return {"W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg, "w": (t * g).T @ de, "c": z.T @ ds, "d": ds.sum(keepdims=True)}
 
-    def fit(self, x: list[np.ndarray], y: np.ndarray, rng: np.random.Generator) -> None:
-        rows = np.concatenate(x)
-        self.mean, self.spread = rows.mean(axis=0), rows.std(axis=0) + 1e-3
+    def fit(self, x: Sequence[np.ndarray], y: np.ndarray, rng: np.random.Generator) -> None:
+        n, total, squares = 0, np.zeros(FEATURES), np.zeros(FEATURES)
+        for bag in x:
+            n, total = n + len(bag), total + bag.sum(axis=0, dtype=np.float64)
+            squares += np.square(bag, dtype=np.float64).sum(axis=0)
+        mean = total / n
+        self.mean = mean.astype(np.float32)
+        self.spread = (np.sqrt(np.maximum(squares / n - mean * mean, 0)) + 1e-3).astype(np.float32)
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))  # classes count alike
         m, v, step = {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0
         for epoch in range(EPOCHS):
@@ -158,6 +167,25 @@ class Model:
         return self.forward(np.concatenate(bags), bag, len(bags))[-1].astype(np.float64)
 
 
+class Bags(Sequence):
+    """Bags of passages in a file, read one at a time."""
+
+    def __init__(self, file: BinaryIO):
+        self.file, self.places = file, []
+
+    def add(self, x: bytes) -> None:
+        self.places.append((self.file.seek(0, 2), len(x)))
+        self.file.write(x)
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        at, size = self.places[i]
+        self.file.seek(at)
+        return np.frombuffer(self.file.read(size), np.float32).reshape(-1, FEATURES)
+
+
 def held_out(doc_id: Column, folds: int = 3) -> Column:
     """Rows whose label is never learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 1, F.lit(False))
@@ -168,24 +196,33 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """Learn from the labelled rows of ``docs`` that are not held out."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
              .where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
+    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")  # labels of unknown documents take no place
     picked = known.orderBy(F.xxhash64("id"), "id").limit(sample)  # bounded by a parameter
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(picked), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    # rows that repeat an id count once: the one with the smallest text
+    texts = texts.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ys, out = batch.column(0), batch.column(1), []
-            for text in batch.column(2).to_pylist():
-                x = passages(text or b"")
-                out.append(x[np.linspace(0, len(x) - 1, min(len(x), FIT_PASSAGES)).astype(int)].tobytes())
-            yield pa.RecordBatch.from_arrays([ids, ys, pa.array(out, pa.binary())], ["id", "y", "x"])
-
-    # rows that repeat an id count once, so at most ``sample`` rows of fixed size come back
-    encoded = texts.select("id", "y", "text").mapInArrow(encode, "id bigint, y int, x binary").groupBy("id", "y").agg(F.min("x").alias("x"))
-    rows = encoded.toArrow().sort_by("id")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 16):  # a long text has many passages
+                batch = whole.slice(at, 16)
+                out = [passages(text or b"").tobytes() for text in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "y", "x"])
+
+    encoded = staged(texts.select("id", "y", "text").mapInArrow(encode, "id bigint, y int, x binary"), "mil-passages")
     rng = np.random.default_rng(seed)
-    model, y = Model(rng), np.array(rows["y"].to_pylist(), np.float32)
-    if 0 < y.sum() < len(y):
-        model.fit([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows["x"].to_pylist()], y, rng)
+    model, ids, ys = Model(rng), [], []
+    with tempfile.TemporaryFile() as file:
+        bags = Bags(file)
+        for row in encoded.toLocalIterator():
+            ids.append(row["id"])
+            ys.append(row["y"])
+            bags.add(row["x"])
+        order = np.argsort(ids)  # the same rows give the same model
+        bags.places = [bags.places[i] for i in order]
+        y = np.array(ys, np.float32)[order] if ids else np.zeros(0, np.float32)
+        if 0 < y.sum() < len(y):
+            model.fit(bags, y, rng)
     return model
 
 

@@ -50,6 +50,29 @@ def test_held_out_accuracy(spark):
     assert all((model.p[k] == again.p[k]).all() for k in model.p)  # the same rows give the same model
 
 
+def test_label_resting_on_one_passage_in_the_middle(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(240):
+        text = [" ".join(rng.choice(["the", "river", "of", "stone", "and", "light"], mil.PASSAGE)) for _ in range(60)]
+        if i % 2:
+            text[rng.integers(25, 35)] = " ".join(["XQ7#!"] * mil.PASSAGE)
+        rows.append((i, " ".join(text), i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(10_000 + i, 1) for i in range(500)], "doc_id long, quality int")
+    sizes, fit = [], mil.Model.fit
+
+    def spied(self, x, y, rng):
+        sizes.extend(len(x[i]) for i in range(len(x)))
+        return fit(self, x, y, rng)
+
+    monkeypatch.setattr(mil.Model, "fit", spied)
+    model = mil.fit(docs, labels, sample=100)  # labels of unknown documents take no place in the sample
+    assert sizes == [60] * 100
+    scored = mil.score(docs, model).collect()
+    assert sum((r._score >= 0.5) == (r._id % 2 == 1) for r in scored) >= 0.95 * len(scored)
+
+
 def test_nulls_empty_tables_and_clashing_names(spark):
     docs = spark.createDataFrame([(1, None, 0.5, 1), (None, "", 0.1, 2), (2, "word " * 5000, 0.2, 3)],
                                  "doc_id long, text string, score double, y int")
