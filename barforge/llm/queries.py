@@ -86,7 +86,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(name(-2)).alias("depends_on"))
     results = turns.where("role = 'assistant'").select(name(-1).alias("call_id"), F.col("text").alias("content"))
     schemas = spark.createDataFrame(REPLY_SCHEMA, "name string, param string, type string, required boolean, minimum double, maximum double")
-    return (chat.linked_calls(calls, results, schemas).drop("call_id")
+    return (chat.linked_calls(calls, results, schemas).drop("call_id", "n_results")
             .withColumn("problems", F.array_join("problems", ",")))
 
 
