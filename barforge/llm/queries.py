@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barforge.llm import bitpack, bloomlm, chat, decontam, itq, mil, packing, secrets, simhash, warc
+from barforge.llm import (bitpack, bloomlm, chat, collocations, decontam, divergence, itq, mil, packing, secrets, simhash, template,
+                          warc)
 from barforge.llm.common import table
 from barforge.session import scratch_path
 
@@ -97,9 +98,27 @@ def op10_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template.main_texts(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").cast("bigint").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergences(table(spark, sf_dir, "documents"), least_docs=30, smooth=5, top=50)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), support=30, top=2000)
+
+
 QUERIES = {"op1_warc": op1_warc, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_packing": op4_packing,
            "op5_decontam": op5_decontam, "op6_chat": op6_chat, "op7_itq": op7_itq, "op8_bitpack": op8_bitpack,
-           "op9_bloomlm": op9_bloomlm, "op10_mil": op10_mil}
+           "op9_bloomlm": op9_bloomlm, "op10_mil": op10_mil, "op11_template": op11_template, "op12_divergence": op12_divergence,
+           "op13_collocations": op13_collocations}
+TERMS = (rf"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), "
+         r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+')")
+PIECES = (rf"string_split_regex(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), "
+          r"'[.,;:!?\x0A-\x0D]')")
 ITEM_WORDS = rf"regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{decontam.WORD}')"
 SQL: dict[str, str] = {
     "op5_decontam": f"""
@@ -143,6 +162,47 @@ SQL: dict[str, str] = {
                                 'name', 'reply', 'result', result) AS VARCHAR) AS json
         FROM c LEFT JOIN r USING (id)
     """,
+    "op12_divergence": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS} AS w FROM documents),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+             kept AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+             c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+             v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+             q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)) AS q
+                   FROM c JOIN v USING (lang) GROUP BY lang, term),
+             grid AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+             p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+                   FROM grid JOIN v USING (lang)),
+             pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+                       FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+             whole AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                       LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source),
+             best AS (SELECT lang, source, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+             rows AS (SELECT *, 'pair' AS part FROM whole UNION ALL BY NAME SELECT *, 'term' AS part FROM best)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM rows QUALIFY part = 'pair' OR rank <= 50
+    """,
+    "op13_collocations": f"""
+        WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest({PIECES}) AS piece FROM documents),
+             w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM s),
+             n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+             g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(list_slice(w, i, i + m - 1), ' '))) AS phrase
+                   FROM w, (SELECT unnest(range(1, 5)) AS m) WHERE len(w) >= m),
+             f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+             c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= 30),
+             cut AS (SELECT x.lang, x.phrase, a, k, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * a) // (l.f + r.f) AS BIGINT) AS score
+                     FROM (SELECT *, unnest(range(1, m)) AS k FROM c) x
+                     JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(list_slice(w, 1, k), ' ')
+                     JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(w, k + 1, x.m), ' ')),
+             low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+             part AS (SELECT lang, a AS f, array_to_string(list_slice(w, i, i + j - 1), ' ') AS phrase
+                      FROM (SELECT *, unnest(range(1, m - j + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS j FROM c WHERE m >= 3))),
+             gone AS (SELECT DISTINCT lang, phrase FROM part JOIN c USING (lang, phrase) WHERE 100::HUGEINT * part.f >= 80::HUGEINT * c.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM low JOIN n USING (lang) ANTI JOIN gone USING (lang, phrase) QUALIFY rank <= 2000
+    """,
     "op7_itq": """
         WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
              l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
