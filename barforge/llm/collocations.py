@@ -8,8 +8,8 @@ locally frequent. The union over the shards is then counted exactly over all doc
 with the phrases' own words as the keys.
 
 A shard is a part of the key, not a task: every task reads its own documents of all
-shards, counts its phrases in arrays of at most ``CHUNK`` words at a time, and Spark adds
-up the counts. The number of shards is fixed, so the lowered support does not sink to 1
+shards, counts its phrases in arrays of ``CHUNK`` bytes at a time, and Spark adds
+up the counts. The number of shards is fixed and small (3), so the lowered support does not sink to 1
 as the input grows. What a level found goes to the next as a bitmap of at most
 2^``MAX_BITS`` bits (32 MB): false positives of a crowded bitmap, and hashes that
 collide, only add candidates that the exact count throws out again.
@@ -36,13 +36,15 @@ from pyspark.sql import functions as F
 from barforge.llm.common import staged
 
 LONGEST = 4
-CHUNK = 4_000_000  # words counted at a time in a task
+CHUNK = 14_000_000  # bytes of text or codes counted at a time in a task: 2 to 4 million words
+KEPT_CODES = 1_000_000
 MAX_BITS = 28
 BITS_PER_KEY = 16
 SHARD_MASK = 7  # the low bits of a mining key hold the shard
 
 ENDS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(string.ascii_uppercase.encode() + ENDS, string.ascii_lowercase.encode() + b"\n" * len(ENDS))
+END = bytes(4)
 BREAK = b"."  # no word holds a full stop, so it can stand for the end of a piece
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -95,53 +97,50 @@ def bitmap_of(keys: DataFrame, bits_per_key: int = BITS_PER_KEY) -> Bitmap:
     return Bitmap(bits, words)
 
 
-class Chunk:
-    """The words of some documents in a row: ids into ``vocabulary``, a salt and a shard for each."""
-
-    def __init__(self):
-        self.ids: defaultdict = defaultdict()
-        self.ids.default_factory = self.ids.__len__
-        self.ids[BREAK]
-        self.parts, self.docs, self.size = [], [], 0
-
-    def add(self, text: bytes, lang: str, shard: int) -> None:
-        part = np.fromiter(map(self.ids.__getitem__, words_and_breaks(text)), dtype=np.int32)
-        if len(part):
-            self.parts.append(np.append(part, np.int32(0)))
-            self.docs.append((len(part) + 1, lang, shard))
-            self.size += len(part) + 1
-
-    def levels(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(n, keys, valid): for each place the key of the n words from there on, and whether a piece holds them."""
-        self.tokens = np.concatenate(self.parts)
-        self.vocabulary = list(self.ids)
-        lengths = [d[0] for d in self.docs]
-        salts = {lang: xxhash.xxh64_intdigest(lang.encode(), 1) for lang in {d[1] for d in self.docs}}
-        self.salt = np.repeat(np.array([salts[d[1]] for d in self.docs], dtype=np.uint64), lengths)
-        self.shard = np.repeat(np.array([d[2] for d in self.docs], dtype=np.uint64), lengths)
-        word = np.fromiter(map(xxhash.xxh64_intdigest, self.vocabulary), dtype=np.uint64, count=len(self.vocabulary))[self.tokens]
-        inside = self.tokens != 0
-        chain, valid = word, inside
-        for n in range(1, LONGEST + 1):
-            if n > 1:
-                chain = _mix(chain[:-1]) + word[n - 1:]
-                valid = valid[:-1] & inside[n - 1:]
-            yield n, _mix(chain ^ self.salt[:len(chain)]) & ~np.uint64(SHARD_MASK), valid
+class _Codes(dict):
+    """32-bit codes of words, of as many as fit; 0 is a break."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT_CODES:
+            self.clear()
+        code = self[word] = 0 if word == BREAK else xxhash.xxh32_intdigest(word) or 1
+        return code
+
+
+def _levels(codes: np.ndarray, docs: list[tuple[int, str]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, keys, valid): for each place the key of the n words from there on, and whether a piece holds them.
 
+    ``docs`` has the number of codes and the language of each document. Keys leave the shard's bits free.
+    """
+    salts = {lang: xxhash.xxh64_intdigest(lang.encode(), 1) for _, lang in docs}
+    salt = np.repeat(np.array([salts[lang] for _, lang in docs], dtype=np.uint64), [n for n, _ in docs])
+    inside = codes != 0
+    chain, valid = codes.astype(np.uint64), inside
+    for n in range(1, LONGEST + 1):
+        if n > 1:
+            chain = _mix(chain[:-1]) + codes[n - 1:]
+            valid = valid[:-1] & inside[n - 1:]
+        yield n, _mix(chain ^ salt[:len(chain)]) & ~np.uint64(SHARD_MASK), valid
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    chunk = Chunk()
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
+    """First columns (bytes), languages and shards of documents with words, ``CHUNK`` bytes or more at a time."""
+    texts, langs, shards, size = [], [], [], 0
     for batch in batches:
         for text, lang, shard in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            chunk.add(text, lang, shard)
-            if chunk.size >= CHUNK:
-                yield chunk
-                chunk = Chunk()
-    if chunk.size:
-        yield chunk
+            texts.append(text)
+            langs.append(lang)
+            shards.append(shard)
+            size += len(text)
+            if size >= CHUNK:
+                yield texts, langs, shards
+                texts, langs, shards, size = [], [], [], 0
+    if size:
+        yield texts, langs, shards
 
 
 def _shares(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFrame:
+    """(text, lang, shard)."""
     if not 1 <= shards <= SHARD_MASK + 1:
         raise ValueError(f"shards must be 1 to {SHARD_MASK + 1}")
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
@@ -149,26 +148,45 @@ def _shares(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataF
                        F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"))
 
 
-def mined(shares: DataFrame, n: int, parts: Bitmap | None, least: int) -> DataFrame:
+def encoded(shares: DataFrame) -> DataFrame:
+    """(codes binary, lang, shard): a 32-bit code for each word, 0 for each break and at the end; written once.
+
+    Words with equal codes only make their phrases candidates together.
+    """
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Codes()
+        for batch in batches:
+            codes = [np.fromiter(map(known.__getitem__, words_and_breaks(t)), dtype=np.uint32).tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([c + END if c else c for c in codes], pa.binary()), batch.column(1), batch.column(2)],
+                                             ["codes", "lang", "shard"])
+
+    return staged(shares.mapInArrow(encode, "codes binary, lang string, shard int"), "codes")
+
+
+def mined(codes: DataFrame, n: int, parts: Bitmap | None, least: int) -> DataFrame:
     """(key): the phrases of ``n`` words that a shard holds ``least`` times; ``parts`` are those of n - 1 words."""
-    seen = shares.sparkSession.sparkContext.broadcast(parts)
+    seen = codes.sparkSession.sparkContext.broadcast(parts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
+        for coded, langs, shards in _chunks(batches):
+            lengths = [len(c) // 4 for c in coded]
+            shard = np.repeat(np.array(shards, dtype=np.uint8), lengths)
             before = None
-            for level, keys, valid in chunk.levels():
-                keys = keys | chunk.shard[:len(keys)]
+            for level, keys, valid in _levels(np.frombuffer(b"".join(coded), dtype=np.uint32), list(zip(lengths, langs))):
+                if level >= n - 1:
+                    keys |= shard[:len(keys)]
                 if level == n:
                     break
                 before = keys
             at = np.nonzero(valid)[0]
             if n > 1:
-                at = at[seen.value.holds(before[at])]
-                at = at[seen.value.holds(before[at + 1])]
+                held = seen.value.holds(before)
+                at = at[held[at] & held[at + 1]]
             found, counts = np.unique(keys[at], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["key", "n"])
 
-    rows = shares.mapInArrow(count, "key bigint, n bigint")
+    rows = codes.mapInArrow(count, "key bigint, n bigint")
     return staged(rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), f"mined-{n}")
 
 
@@ -178,30 +196,45 @@ def counted(shares: DataFrame, candidates: Bitmap, least: int) -> DataFrame:
     names = ["lang", "phrase", "words", "f"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
+        for texts, langs, _ in _chunks(batches):
+            # the words of this chunk, numbered; 0 is a break
+            ids: defaultdict = defaultdict()
+            ids.default_factory = ids.__len__
+            ids[BREAK]
+            parts = [np.fromiter(map(ids.__getitem__, words_and_breaks(t) + [BREAK]), dtype=np.int32) for t in texts]
+            lengths = [len(p) for p in parts]
+            tokens, vocabulary = np.concatenate(parts), list(ids)
+            del parts, texts, ids
+            known = np.fromiter((0 if w == BREAK else xxhash.xxh32_intdigest(w) or 1 for w in vocabulary), dtype=np.uint32)
+            ends = np.cumsum(lengths)
             before, alike = None, None
-            for n, keys, valid in chunk.levels():
+            for n, keys, valid in _levels(known[tokens], list(zip(lengths, langs))):
                 if n == 1:
-                    langs = [d[1] for d in chunk.docs]
-                    ends = np.cumsum([d[0] for d in chunk.docs])
                     sizes = np.add.reduceat(valid, np.append(0, ends[:-1]), dtype=np.int64)
                     total: dict[str, int] = defaultdict(int)
                     for lang, size in zip(langs, sizes.tolist()):
                         total[lang] += size
                     yield _rows(names, list(total), [None] * len(total), 0, list(total.values()))
                     numbers = {lang: i for i, lang in enumerate(total)}
-                    alike = np.repeat(np.array([numbers[lang] for lang in langs], dtype=np.int64), np.diff(ends, prepend=0))
+                    alike = np.repeat(np.array([numbers[lang] for lang in langs], dtype=np.int64), lengths)
                 # a phrase is looked for only where both its parts were found
                 held = np.zeros(len(keys), dtype=bool)
                 at = np.nonzero(valid if before is None else valid & before[:-1] & before[1:])[0]
                 held[at] = seen.value.holds(keys[at])
                 before, at = held, np.nonzero(held)[0]
-                # equal are phrases of one language with equal words, not just with equal keys
-                exact = alike[at] << 32 | chunk.tokens[at + n - 1]
-                _, first, same, counts = np.unique(exact, return_index=True, return_inverse=True, return_counts=True)
-                alike = np.zeros(len(keys), dtype=np.int64)
-                alike[at] = same
-                places, vocabulary, tokens = at[first], chunk.vocabulary, chunk.tokens
+                if n == 1:
+                    alike = alike * len(vocabulary) + tokens
+                    counts = np.bincount(alike[at])
+                    first = np.zeros(len(counts), dtype=np.int64)
+                    first[alike[at]] = at
+                    places, counts = first[counts > 0], counts[counts > 0]
+                else:
+                    # equal are phrases of one language with equal words, not just with equal keys
+                    exact = alike[at] << 32 | tokens[at + n - 1]
+                    _, first, same, counts = np.unique(exact, return_index=True, return_inverse=True, return_counts=True)
+                    alike = np.zeros(len(keys), dtype=np.int64)
+                    alike[at] = same
+                    places = at[first]
                 spoken = np.searchsorted(ends, places, side="right").tolist()
                 for a in range(0, len(places), 100_000):
                     columns = [tokens[places[a:a + 100_000] + k].tolist() for k in range(n)]
@@ -218,13 +251,14 @@ def _rows(names: list[str], langs: list, phrases: list, n: int, counts) -> pa.Re
                                        pa.array(np.full(len(langs), n, dtype=np.int32)), pa.array(counts, pa.int64())], names)
 
 
-def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = 5, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = 3, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, phrase, words, f) of all phrases of up to four words found ``support`` times in their language."""
     shares = _shares(docs, lang_col, text_col, shards)
+    codes = encoded(shares)
     least = -(-support // shards)
     found, parts = [], None
     for n in range(1, LONGEST + 1):
-        level = mined(shares, n, parts, least)
+        level = mined(codes, n, parts, least)
         found.append(level)
         if n < LONGEST:
             parts = bitmap_of(level)
@@ -248,7 +282,7 @@ def scored(counts: DataFrame) -> DataFrame:
     return both.groupBy("lang", "phrase", "words", "a").agg(lowest).select("lang", "phrase", "words", "a", "cut.*")
 
 
-def collocations(docs: DataFrame, support: int = 30, top: int | None = 2000, shards: int = 5, inside: int = 80,
+def collocations(docs: DataFrame, support: int = 30, top: int | None = 2000, shards: int = 3, inside: int = 80,
                  lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases (all: None).
 
