@@ -125,7 +125,9 @@ def links(pairs: DataFrame, radius: int) -> DataFrame:
         for frame in frames:
             src, dst = [], []
             for a, b, same in zip(frame["a"], frame["b"], frame["same"]):
-                a, b = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+                a = np.asarray(a, dtype=np.int64)
+                # a block against itself: its two lists come from two reads of a shuffle and may differ in order
+                b = a if same else np.asarray(b, dtype=np.int64)
                 forest = Forest(len(a) + len(b))
                 shift = 0 if same else len(a)
                 for i, j in close_pairs(a.view(np.uint64), b.view(np.uint64), radius):

@@ -82,6 +82,15 @@ def test_links_near_random_fingerprints(spark):
     assert {i: got.get(i, i) for i, _ in signed} == want
 
 
+def test_a_block_against_itself_in_another_order(spark):
+    """The two lists of one block are read from a shuffle twice, in any order."""
+    fps = [1 << k << 8 * k for k in range(7)] + [3, 0x7F00000000000000]
+    links = simhash.links(spark.createDataFrame([(fps, fps[::-1], True)], "a array<long>, b array<long>, same boolean"), 2)
+    want = slow_components([(f, f) for f in sorted(fps)])
+    for src, dst in links.collect():
+        assert want[src] == want[dst]
+
+
 def test_empty_table_and_nulls(spark):
     none = _docs(spark, []).where("false")
     assert simhash.simhash_components(none).count() == 0
