@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 #: Unicode White_Space: what ``isspace`` accepts but for the four separators U+001C to U+001F
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F)
@@ -20,22 +21,38 @@ TAILS = ".,;:!?"
 PIECES = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
 
 
-class PieceEncoder:
-    """Ids of a text as little-endian unsigned 32-bit integers.
+class _Cache(dict):
+    """Ids of pieces, each with ``lead`` before it, in two generations of at most ``keep``.
 
-    The cache has two generations of at most ``keep`` pieces: when the younger is
-    full it replaces the older, and pieces still in use move up again.
+    When the younger is full it replaces the older; pieces still in use move up again.
     """
 
+    def __init__(self, find: Callable[[str], list[int]], lead: str, keep: int):
+        super().__init__()
+        self.find, self.lead, self.keep, self.old = find, lead, keep, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("I", self.find(self.lead + piece)).tobytes()
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+
+class PieceEncoder:
+    """Ids of a text as little-endian unsigned 32-bit integers."""
+
     def __init__(self, path: str, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.keep = keep
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.pieces, self.spaced = _Cache(self._ids, "", keep), _Cache(self._ids, " ", keep)
         self._learn_words()
 
     def _split(self, piece: str) -> list[str]:
@@ -62,25 +79,18 @@ class PieceEncoder:
         return [token.id for token in self.tokenizer.model.tokenize(part)]
 
     def encode(self, text: str) -> bytes:
-        parts, get = [], self.young.get
-        for piece in PIECES.findall(text):
-            ids = get(piece)
-            if ids is None:
-                ids = self._miss(piece)
-                get = self.young.get
-            parts.append(ids)
+        """Lines of words with one space between them are split at once, other texts with a pattern."""
+        parts: list[bytes] = []
+        piece, spaced = self.pieces.__getitem__, self.spaced.__getitem__
+        for k, line in enumerate(text.split("\n")):
+            words = line.split()
+            gaps = len(words) - 1
+            if line.count(" ") != gaps or sum(map(len, words)) + gaps != len(line):
+                return b"".join(map(piece, PIECES.findall(text)))
+            parts.append(piece("\n" + words[0] if k else words[0]))
+            parts.extend(map(spaced, words[1:]))
         return b"".join(parts)
 
-    def _miss(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = array("I", self._ids(piece)).tobytes()
-        if len(self.young) >= self.keep:
-            self.old, self.young = self.young, {}
-        if len(piece) <= 64:
-            self.young[piece] = ids
-        return ids
-
     def _ids(self, piece: str) -> list[int]:
         if found := self.word(piece):
             blank, word, tail = found.groups()
