@@ -25,18 +25,6 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """NULL count per column (one row, ``nulls_<col>``); all 0 for a valid table."""
-    cols = cols or df.columns
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in cols])
-
-
-def window_end_violations(candles: DataFrame, window_duration: str) -> DataFrame:
-    """Rows whose window_end differs from window_start + duration (one-row count)."""
-    expected = F.col("window_start") + F.expr(f"INTERVAL {window_duration}")
-    return candles.agg(F.count_if(F.col("window_end") != expected).alias("bad_window_end"))
-
-
 def candle_constraints(candles: DataFrame, window_duration: str) -> DataFrame:
     """C1 + C3 in a single pass over the candles."""
     expected = F.col("window_start") + F.expr(f"INTERVAL {window_duration}")
@@ -47,3 +35,14 @@ def candle_constraints(candles: DataFrame, window_duration: str) -> DataFrame:
         F.count_if(F.col("window_end") != expected).alias("bad_window_end"),
         F.count_if(F.col("low") > F.col("high")).alias("low_above_high"),
     )
+
+
+def stored_audit(table: str, rows: DataFrame, keys: list[str], not_null: list[str], duration: str | None = None) -> DataFrame:
+    """C1 + C2 + C3 of a stored table as one row: table, rows, nulls, duplicates, bad_window_end (0 for valid tables)."""
+    nulls = F.lit(0).cast("long")
+    for c in not_null:
+        nulls = nulls + F.count_if(F.col(c).isNull())
+    bad = F.count_if(F.col("window_end") != F.col("window_start") + F.expr(f"INTERVAL {duration}")) if duration else F.lit(0).cast("long")
+    return (rows.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"),
+                     (F.count(F.lit(1)) - F.count_distinct(F.struct(*keys))).alias("duplicates"), bad.alias("bad_window_end"))
+            .select(F.lit(table).alias("table"), "rows", "nulls", "duplicates", "bad_window_end"))

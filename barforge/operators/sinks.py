@@ -14,6 +14,9 @@ in order, so one marker per query (the last number) is enough.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -99,17 +102,42 @@ def query_id_of(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
 
 
-def mark_committed(spark: SparkSession, root: str, job: str, query_id: str, batch_id: int) -> None:
-    """Commit a batch: make its marker, then drop the query's older ones."""
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """A file that is there with its whole text or not at all; False if another writer was first."""
+    p, fs = _fs_path(spark, path)
+    part, _ = _fs_path(spark, f"{p.getParent()}/.{p.getName()}-{uuid.uuid4().hex}")
+    write_text(spark, part.toString(), text)
+    if fs.exists(p) or not fs.rename(part, p):
+        fs.delete(part, False)
+        return False
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs_path(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def mark_committed(spark: SparkSession, root: str, job: str, query_id: str, batch_id: int, note: dict | None = None) -> None:
+    """Commit a batch: make its marker, with a note for the next batches, then drop the query's older ones."""
     folder, fs = _fs_path(spark, f"{root}/_commits/{job}/query_id={query_id}")
-    path, _ = _fs_path(spark, f"{root}/_commits/{job}/query_id={query_id}/{int(batch_id)}")
-    fs.create(path, True).close()
+    write_once(spark, f"{root}/_commits/{job}/query_id={query_id}/{int(batch_id)}", json.dumps(note or {}))
     for status in fs.listStatus(folder):
         name = status.getPath().getName()
         if name.isdigit() and int(name) < batch_id:
             fs.delete(status.getPath(), False)
 
 
+def commit_notes(spark: SparkSession, root: str, job: str) -> dict[str, dict]:
+    """The note of each query's last commit."""
+    return {query: json.loads(read_text(spark, f"{root}/_commits/{job}/query_id={query}/{last}") or "{}")
+            for query, last in committed(spark, root, job).items()}
+
+
 def committed(spark: SparkSession, root: str, job: str) -> dict[str, int]:
     """Last committed batch of each query (one entry per checkpoint ever used)."""
     folder, fs = _fs_path(spark, f"{root}/_commits/{job}")
@@ -122,24 +150,69 @@ def committed(spark: SparkSession, root: str, job: str) -> dict[str, int]:
     return out
 
 
-def is_committed(spark: SparkSession, root: str, job: str) -> Column:
-    """Filter on the partition columns that keeps committed batches."""
+def up_to(last: dict[str, int]) -> Column:
+    """Filter on the partition columns: batches up to the given one of each query."""
     keep = F.lit(False)
-    for query_id, last in committed(spark, root, job).items():
-        keep = keep | ((F.col("query_id") == query_id) & (F.col("batch_id") <= last))
+    for query_id, number in last.items():
+        keep = keep | ((F.col("query_id") == query_id) & (F.col("batch_id") <= number))
     return keep
 
 
-def read_table(spark: SparkSession, root: str, table: str, schema: StructType, job: str, dated: bool = False,
+def is_committed(spark: SparkSession, root: str, job: str) -> Column:
+    """Filter on the partition columns that keeps committed batches."""
+    return up_to(committed(spark, root, job))
+
+
+def latest_compaction(spark: SparkSession, root: str, job: str) -> dict:
+    """The newest switch of a job's readers to compacted files (see :mod:`barforge.operators.compaction`)."""
+    folder, fs = _fs_path(spark, f"{root}/_compactions/{job}")
+    numbers = [int(s.getPath().getName()) for s in (fs.listStatus(folder) if fs.exists(folder) else [])
+               if s.getPath().getName().isdigit()]
+    if not numbers:
+        return {"number": 0, "tables": {}}
+    return json.loads(read_text(spark, f"{root}/_compactions/{job}/{max(numbers)}"))
+
+
+def compacted_rows(spark: SparkSession, root: str, table: str, schema: StructType, hours: dict[str, list]) -> DataFrame:
+    """Rows of the given hours ("<date>/<hour>" -> [generation, rows]) of a table's compacted files."""
+    full = StructType(list(schema.fields) + _batch_fields(True))
+    if not hours:
+        return spark.createDataFrame([], full)
+    base = f"{root}/{table}_compact"
+    folders = [f"{base}/date={k.split('/')[0]}/hour={k.split('/')[1]}/gen={gen}" for k, (gen, _) in sorted(hours.items())]
+    typed = StructType(list(full.fields) + [StructField("hour", LongType()), StructField("gen", StringType())])
+    return spark.read.schema(typed).option("basePath", base).parquet(*folders).select(full.names)
+
+
+def batch_rows(spark: SparkSession, root: str, table: str, schema: StructType, dated: bool, keep: Column,
                days: list | None = None) -> DataFrame:
-    """Committed rows of a batch-keyed table (empty when absent); with ``days`` only their folders are listed."""
-    path = f"{root.rstrip('/')}/{table}"
+    """Rows of the batch folders that ``keep`` (on the partition columns) accepts; with ``days`` only theirs are listed."""
+    path = f"{root}/{table}"
     full = StructType(list(schema.fields) + _batch_fields(dated))
     folders = [path] if days is None else [f"{path}/date={d.isoformat()}" for d in days]
     folders = [f for f in folders if path_exists(spark, f)]
     if not folders:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(*folders).filter(is_committed(spark, root.rstrip("/"), job))
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).filter(keep)
+
+
+def read_table(spark: SparkSession, root: str, table: str, schema: StructType, job: str, dated: bool = False,
+               days: list | None = None) -> DataFrame:
+    """Committed rows of a batch-keyed table (empty when absent); with ``days`` only their folders are listed.
+
+    Hours that were compacted come from their compacted files, later batches from their own folders.
+    """
+    root = root.rstrip("/")
+    keep = is_committed(spark, root, job)
+    switch = latest_compaction(spark, root, job)["tables"].get(table) if dated else None
+    if not switch:
+        return batch_rows(spark, root, table, schema, dated, keep, days)
+    rows = batch_rows(spark, root, table, schema, dated, keep & ~up_to(switch["upto"]), days)
+    hours = switch["hours"]
+    if days is not None:
+        wanted = {d.isoformat() for d in days}
+        hours = {k: v for k, v in hours.items() if k.split("/")[0] in wanted}
+    return rows.unionByName(compacted_rows(spark, root, table, schema, hours))
 
 
 def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
@@ -147,13 +220,22 @@ def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/query_id={query_id}/batch_id={int(batch_id)}")
 
 
-def write_dated_batch(df: DataFrame, path: str, query_id: str, batch_id: int, time_col: str) -> None:
-    """Add ``date=<day of time_col>/query_id=<id>/batch_id=<n>`` folders, one file each, in (symbol, time) order."""
+ROWS_PER_FILE = 1_000_000
+
+
+def write_dated_batch(df: DataFrame, path: str, query_id: str, batch_id: int, time_col: str, rows: int) -> None:
+    """Add ``date=<day of time_col>/query_id=<id>/batch_id=<n>`` folders, in (symbol, time) order.
+
+    A day's rows are spread by (symbol, hour) over as many tasks and files as ``rows``, the batch's number of rows, asks for.
+    """
     parts = ["date", "query_id", "batch_id"]
     keyed = (df.withColumn("date", F.to_date(time_col)).withColumn("query_id", F.lit(query_id))
              .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
-    rows = keyed.repartition("date").sortWithinPartitions(*parts, "symbol", time_col)
-    rows.write.mode("append").partitionBy(*parts).parquet(path)
+    files = -(-rows // ROWS_PER_FILE)
+    spread = F.pmod(F.xxhash64("symbol", F.hour(time_col)), F.lit(files))
+    # a given number of partitions is not merged again, the other form is
+    placed = keyed.repartition(4 * files, "date", spread) if files > 1 else keyed.repartition("date")
+    placed.sortWithinPartitions(*parts, "symbol", time_col).write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def remove_attempt(spark: SparkSession, root: str, tables: list[str], query_id: str, batch_id: int) -> None:
@@ -204,18 +286,56 @@ def fits_stored(columns: list[str]) -> Column:
 
 # --- foreachBatch sink factories ----------------------------------------------------
 
-CANDLE_JOB, MALFORMED_JOB, TICK_JOB = "candles", "malformed", "ticks"
+CANDLE_JOB, MALFORMED_JOB, TICK_JOB, LATE_JOB = "candles", "malformed", "ticks", "late"
 DATED = ["candles", "alerts", "rejects", "rejected_alerts"]
 STORED_NUMBERS = ["open", "high", "low", "close", "volume"]
 ALERT_NUMBERS = ["price", "pct_change"]
 
 
+#: A candle's key lies in the first, an alert's in the second.
+SPAN_COLUMNS = ["window_start", "window_end"]
+
+
+def spans_of(candles: DataFrame) -> dict[str, dict[str, list[int]]]:
+    """Per column: day -> [least, greatest] time of its rows in microseconds; at most one entry per day of a batch."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("t")) for c in SPAN_COLUMNS]))
+    found = (candles.select(pairs.alias("p")).groupBy("p.c", F.to_date("p.t").cast("string").alias("day"))
+             .agg(F.min(F.unix_micros("p.t")).alias("low"), F.max(F.unix_micros("p.t")).alias("high")))
+    out: dict[str, dict[str, list[int]]] = {c: {} for c in SPAN_COLUMNS}
+    for r in found.collect():
+        out[r.c][r.day] = [r.low, r.high]
+    return out
+
+
+def overlaps(spans: dict[str, list[int]], stored: dict[str, list[int]] | None) -> bool:
+    """Can a stored row have a time in ``spans``? Unknown spans can."""
+    if stored is None:
+        return True
+    return any(d in stored and low <= stored[d][1] and high >= stored[d][0] for d, (low, high) in spans.items())
+
+
+def joined(stored: dict[str, list[int]] | None, spans: dict[str, list[int]]) -> dict[str, list[int]]:
+    out = dict(stored or {})
+    for day, (low, high) in spans.items():
+        had = out.get(day, [low, high])
+        out[day] = [min(low, had[0]), max(high, had[1])]
+    return out
+
+
 def candle_sink(table_root: str, threshold: float, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """K1 + K2: insert-if-absent candles and the alerts of the inserted ones, in one commit.
 
     Candles whose numbers do not fit the stored decimals go to the ``rejects`` table,
     alerts whose numbers do not to ``rejected_alerts``, both as computed.
     Alerts are unique by (symbol, ts): the first stored one stays.
+
+    A commit notes the span of window times stored so far per day. A stream closes its
+    windows in order, so its next batch lies beyond that span: nothing stored is read then,
+    however much the day holds. Only a batch that overlaps a span (a replay, another
+    checkpoint) is compared with the stored keys of its days and times.
+
+    One query owns a table at a time: two that run at once on overlapping windows can both
+    insert a key, as each sees the other's commits only at its start; compaction keeps one row.
     """
     root = table_root.rstrip("/")
 
@@ -228,30 +348,38 @@ def candle_sink(table_root: str, threshold: float, query_id: str | None = None)
             return
         remove_attempt(spark, root, DATED, query, batch_id)
         batch_df = batch_df.persist()
-        days = sorted(r[0] for r in batch_df.select(F.explode(F.array(F.to_date("window_start"), F.to_date("window_end"))))
-                      .distinct().collect())  # the batch's own days
+        spans = spans_of(batch_df)
+        days = sorted(dt.date.fromisoformat(d) for d in {d for per_day in spans.values() for d in per_day})
+        notes = commit_notes(spark, root, CANDLE_JOB)
+        repeats = {c: any(overlaps(spans[c], note.get(c)) for note in notes.values()) for c in SPAN_COLUMNS}
         # candles of one micro-batch are unique per key (they come from a group-by on it);
         # each row carries its numbers as computed beside those to be stored
         computed = [F.col(c).alias(f"_{c}") for c in STORED_NUMBERS]
-        stored = to_stored_candles(batch_df.select("*", *computed))
-        have = read_table(spark, root, "candles", to_stored_candles(batch_df).schema, CANDLE_JOB, True, days).select(*CANDLE_KEYS)
-        new = stored.join(have, CANDLE_KEYS, "left_anti").persist()
+        new = to_stored_candles(batch_df.select("*", *computed))
+        if repeats["window_start"]:
+            have = read_table(spark, root, "candles", to_stored_candles(batch_df).schema, CANDLE_JOB, True, days)
+            low, high = (F.timestamp_micros(F.lit(f(s[k] for s in spans["window_start"].values()))) for f, k in ((min, 0), (max, 1)))
+            new = new.join(have.filter(F.col("window_start").between(low, high)).select(*CANDLE_KEYS), CANDLE_KEYS, "left_anti")
+        new = new.persist()
         fits = fits_stored(STORED_NUMBERS)
         as_computed = [F.col(f"_{c}").alias(c) if c in STORED_NUMBERS else F.col(c) for c in batch_df.columns]
         good, bad = new.agg(F.count_if(fits), F.count_if(~fits)).first()
         if good:
-            write_dated_batch(new.filter(fits).select(batch_df.columns), f"{root}/candles", query, batch_id, "window_start")
+            write_dated_batch(new.filter(fits).select(batch_df.columns), f"{root}/candles", query, batch_id, "window_start", good)
             found = derive_alerts(new.filter(fits).select(as_computed), threshold)
             storable = fits_stored(ALERT_NUMBERS)
             alerts = dedupe_first(to_stored_alerts(found).filter(storable), ALERT_KEYS, "message")
-            known = read_table(spark, root, "alerts", alerts.schema, CANDLE_JOB, True, days).select(*ALERT_KEYS)
-            write_dated_batch(alerts.join(known, ALERT_KEYS, "left_anti"), f"{root}/alerts", query, batch_id, "ts")
+            if repeats["window_end"]:
+                known = read_table(spark, root, "alerts", alerts.schema, CANDLE_JOB, True, days).select(*ALERT_KEYS)
+                alerts = alerts.join(known, ALERT_KEYS, "left_anti")
+            write_dated_batch(alerts, f"{root}/alerts", query, batch_id, "ts", good)
             lost = found.filter(to_stored_price("price").isNull() | to_stored_pct("pct_change").isNull())
             if not lost.isEmpty():
-                write_dated_batch(lost, f"{root}/rejected_alerts", query, batch_id, "ts")
+                write_dated_batch(lost, f"{root}/rejected_alerts", query, batch_id, "ts", good)
         if bad:
-            write_dated_batch(new.filter(~fits).select(as_computed), f"{root}/rejects", query, batch_id, "window_start")
-        mark_committed(spark, root, CANDLE_JOB, query, batch_id)
+            write_dated_batch(new.filter(~fits).select(as_computed), f"{root}/rejects", query, batch_id, "window_start", bad)
+        note = {c: joined(notes.get(query, {}).get(c), spans[c]) for c in SPAN_COLUMNS}
+        mark_committed(spark, root, CANDLE_JOB, query, batch_id, note)
         forget_attempt(spark, root, query, batch_id)
         for df in (new, batch_df):
             df.unpersist()
@@ -340,8 +468,13 @@ def publish_keyed(df: DataFrame, key_col: str = "symbol", kafka_options: dict |
     parts.sortWithinPartitions("key", "_order").select("key", "value").write.mode("overwrite").parquet(path)
 
 
-def tick_sink(table_root: str, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
-    """K6: the tick samples of a batch, committed once: a retry of the batch leaves no copies."""
+def tick_sink(table_root: str, query_id: str | None = None, keep_minutes: int | None = None) -> Callable[[DataFrame, int], None]:
+    """K6: the tick samples of a batch, committed once: a retry of the batch leaves no copies.
+
+    With ``keep_minutes`` (P10 in storage) ticks older than that, counted back from the
+    newest tick stored, are not written, and batches that hold none younger are dropped
+    with the commit: what stays is at most one batch's span older than the limit.
+    """
     root = table_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -351,9 +484,60 @@ def tick_sink(table_root: str, query_id: str | None = None) -> Callable[[DataFra
             batch_df.write.format("noop").mode("overwrite").save()
             return
         remove_attempt(spark, root, ["ticks"], query, batch_id)
-        write_dated_batch(batch_df, f"{root}/ticks", query, batch_id, "ts")
-        mark_committed(spark, root, TICK_JOB, query, batch_id)
+        batch_df = batch_df.persist()
+        rows, newest = batch_df.agg(F.count("*"), F.max(F.unix_micros("ts"))).first()
+        held = commit_notes(spark, root, TICK_JOB).get(query, {}).get("newest", {})  # batch -> its newest tick
+        gone: list[str] = []
+        if rows:
+            held = held | {str(batch_id): newest}
+            if keep_minutes is not None:
+                limit = max(v for v in held.values() if v is not None) - keep_minutes * 60_000_000
+                batch_df = batch_df.filter(F.unix_micros("ts") >= limit)
+                gone = [b for b, t in held.items() if t is None or t < limit]
+                held = {b: t for b, t in held.items() if b not in gone}
+            write_dated_batch(batch_df, f"{root}/ticks", query, batch_id, "ts", rows)
+        mark_committed(spark, root, TICK_JOB, query, batch_id, {"newest": held if keep_minutes is not None else {}})
+        for old in gone:
+            pattern, fs = _fs_path(spark, f"{root}/ticks/date=*/query_id={query}/batch_id={old}")
+            for status in fs.globStatus(pattern) or []:
+                fs.delete(status.getPath(), True)
         forget_attempt(spark, root, query, batch_id)
+        batch_df.unpersist()
+
+    return write
+
+
+def late_sink(table_root: str, width: str, delay: str, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The trades of a batch whose window an earlier batch has closed, with the watermark that closed it.
+
+    The rule is the stream's own: a batch closes the windows that end by the newest time of
+    all batches before it minus ``delay``, to the millisecond; a trade of the very batch that
+    closes its window still counts, a later one is late. The newest times are kept in the
+    commit note, so a restart goes on from there. Where the candle query runs a batch without
+    data (nothing came for a while), it closes windows one batch earlier than is assumed here.
+    """
+    root = table_root.rstrip("/")
+    delay_us = int(pd.Timedelta(delay).total_seconds() * 1_000_000)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        query = query_id or query_id_of(spark)
+        if committed(spark, root, LATE_JOB).get(query, -1) >= batch_id:
+            return
+        note = commit_notes(spark, root, LATE_JOB).get(query, {})
+        seen = note.get("closing")  # newest time of all batches but the last one
+        trades = batch_df.persist()
+        newest = trades.agg(F.max(F.unix_micros("ts"))).first()[0]
+        if seen is not None:
+            watermark = (seen - delay_us) // 1000 * 1000
+            placed = trades.filter("ts is not null").withColumn("w", F.window("ts", width))
+            late = placed.filter(F.unix_micros("w.end") <= watermark).select(
+                "symbol", "price", "size", "side", "trade_id", "ts", F.col("w.start").alias("window_start"),
+                F.col("w.end").alias("window_end"), F.timestamp_micros(F.lit(watermark)).alias("watermark"))
+            write_batch(late, f"{root}/late_rows", query, batch_id)
+        known = [t for t in (note.get("newest"), newest) if t is not None]
+        mark_committed(spark, root, LATE_JOB, query, batch_id, {"closing": note.get("newest"), "newest": max(known, default=None)})
+        trades.unpersist()
 
     return write
 

@@ -18,7 +18,14 @@ from barforge.functions.exprs import round_to
 from barforge.functions.validity import missing_fields, with_violations
 from barforge.operators import alerts as alert_ops
 from barforge.operators import indicators, quality, rates, serving
-from barforge.operators.candles import candles_of, struct_order_key
+from barforge.operators.candles import (
+    candles_of,
+    corrected_candles,
+    finished,
+    merge_candles,
+    partial_candles,
+    struct_order_key,
+)
 from barforge.operators.sinks import (
     candle_sink,
     insert_if_absent,
@@ -191,7 +198,7 @@ def alerts_wide(spark, sf_dir):
 @query("alerts_feed")
 def alerts_feed(spark, sf_dir):
     """The 12 newest stored alerts as display rows (ties on ts broken by symbol)."""
-    return ntz(serving.alert_feed(spark.read.parquet(alert_table(spark, sf_dir)), P.ALERT_LIMIT))
+    return ntz(serving.alert_feed(tables.read_newest(spark, alert_table(spark, sf_dir), P.ALERT_LIMIT), P.ALERT_LIMIT))
 
 
 # --- serving read side (P6-P10, T1-T4, A5, A7, A13, A14, D2, D4, D6) ---------
@@ -231,8 +238,9 @@ def range_summary(spark, sf_dir):
 
 
 def live_prices(spark, sf_dir):
-    ticks = serving.retention(testviews.trades(spark, sf_dir), P.as_of_col(), serving.TICK_RETENTION_MIN)
-    return serving.latest_per_key(ticks)
+    """The latest tick of each symbol in the tick buffer: one a second, so its time alone orders it."""
+    ticks = tables.read_ticks(spark, tick_table(spark, sf_dir), P.as_of_col(), serving.TICK_RETENTION_MIN)
+    return ticks.groupBy("symbol").agg(F.max_by(F.col("price").cast("double"), "ts").alias("price"), F.max("ts").alias("ts"))
 
 
 @query("kpi")
@@ -262,7 +270,8 @@ def malformed_ledger(spark, sf_dir):
 def pipeline_status(spark, sf_dir):
     """Last candle, age, freshness state and cumulative malformed count at as_of."""
     ledger = spark.read.parquet(ledger_table(spark, sf_dir))
-    return ntz(serving.pipeline_status(stored_hourly(spark, sf_dir), ledger, P.as_of_col()))
+    newest = tables.read_newest(spark, candle_table(spark, sf_dir), 1)
+    return ntz(serving.pipeline_status(newest, ledger, P.as_of_col()))
 
 
 @query("metric_totals")
@@ -542,6 +551,98 @@ def stream_progress(spark, sf_dir):
         ((F.col("avg_trigger_ms") <= F.col("max_trigger_ms")) & (F.col("p95_trigger_ms") <= F.col("max_trigger_ms"))).alias("ordered"))
 
 
+@query("stream_compacted")
+def stream_compacted(spark, sf_dir):
+    """K1/K2: the candles of the restarted run after a compaction round over its tables."""
+    root = stream_run(spark, sf_dir, restart=True)["tables"]
+    jobs.compact_stream(spark, root)
+    return ntz(jobs.stored_candles(spark, root))
+
+
+@query("stored_constraints")
+def stored_constraints(spark, sf_dir):
+    """C1-C3 on what the stream stored (candles, alerts) and on the tick table: rows and violations."""
+    root = stream_run(spark, sf_dir)["tables"]
+    candle_columns = ["symbol", "window_start", "window_end", "open", "high", "low", "close", "volume"]
+    audits = [
+        quality.stored_audit("candles", jobs.stored_candles(spark, root), ["symbol", "window_start"], candle_columns, STREAM_WINDOW),
+        quality.stored_audit("alerts", jobs.stored_alerts(spark, root), ["symbol", "ts"], ["symbol", "ts", "price", "pct_change", "message"]),
+        quality.stored_audit("ticks", tables.read_ticks(spark, tick_table(spark, sf_dir)), ["symbol", "second"], ["symbol", "ts", "price", "size"]),
+    ]
+    return audits[0].unionByName(audits[1]).unionByName(audits[2])
+
+
+#: Messages of four days make a batch of the late-row run; every fiftieth comes two batches late.
+LATE_DAYS, LATE_EVERY, LATE_BY = 4, 50, 2
+
+
+def late_run(spark, sf_dir):
+    """Candle and late-row queries over messages that do not all come in time order."""
+    def write(root):
+        msgs = testviews.trade_messages(spark, sf_dir)
+        slot = F.floor((F.dayofyear("event_ts") - 1) / LATE_DAYS) + LATE_BY * (F.col("event_id") % LATE_EVERY == 0).cast("int")
+        jobs.write_slots(msgs.withColumn("slot", slot), f"{root}/inbox")
+        cfg = jobs.StreamConfig(f"{root}/tables", f"{root}/checkpoints", window_duration=STREAM_WINDOW, watermark_delay=STREAM_DELAY,
+                                threshold=P.ALERT_THRESHOLD, available_now=True)
+        jobs.supervise({"late": jobs.start_late(jobs.text_stream(spark, f"{root}/inbox/slot=*", 1), cfg)})
+    return stored(spark, sf_dir, "late", write)
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """The trades that came after their window was closed, as rows."""
+    late = jobs.stored_late_rows(spark, f"{late_run(spark, sf_dir)}/tables")
+    return ntz(late.select("symbol", "trade_id", "ts", "price", "size", "window_start", "window_end", "watermark", "batch_id"))
+
+
+def dedup_run(spark, sf_dir):
+    """The candle query with redelivered trades dropped, over messages that all come twice."""
+    def write(root):
+        msgs = testviews.trade_messages(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+        jobs.write_ordered_input(msgs.unionByName(msgs), f"{root}/inbox", STREAM_MIN_FILES, "event_ts")
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        cfg = jobs.StreamConfig(f"{root}/tables", f"{root}/checkpoints", window_duration=STREAM_WINDOW, watermark_delay=STREAM_DELAY,
+                                threshold=P.ALERT_THRESHOLD, available_now=True, drop_redelivered=True,
+                                state_partitions=max(2, spark.sparkContext.defaultParallelism))
+        try:
+            jobs.supervise({"candles": jobs.start_candles(jobs.text_stream(spark, f"{root}/inbox", 1), cfg)})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return stored(spark, sf_dir, "dedup", write)
+
+
+@query("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    """R10 for redelivered trades: twice the input gives the candles of the plain run."""
+    return ntz(jobs.stored_candles(spark, f"{dedup_run(spark, sf_dir)}/tables"))
+
+
+# --- mergeable candles (A1-A4, K7) -----------------------------------------------
+
+
+def partial_table(spark, sf_dir, name, trades, width):
+    return spark.read.parquet(stored(spark, sf_dir, name, lambda path: partial_candles(trades, width).write.parquet(path)))
+
+
+@query("ohlcv_rollup_1d")
+def ohlcv_rollup_1d(spark, sf_dir):
+    """A1-A4: stored 1-minute partial candles, rolled up to hours and from there to days, without the trades."""
+    minutes = partial_table(spark, sf_dir, "partials-1m", testviews.trades(spark, sf_dir), "1 minute")
+    return ntz(finished(merge_candles(merge_candles(minutes, "1 hour"), "1 day")))
+
+
+@query("replay_corrects_candles")
+def replay_corrects_candles(spark, sf_dir):
+    """K7 + A1: dead letters that a repair recovers correct the stored candles of their windows alone."""
+    valid, malformed = split_trades(parsed_trades(spark, sf_dir))
+    before = partial_table(spark, sf_dir, "partials-1h", valid, "1 hour")
+    dead = malformed.select(F.lit(None).cast("string").alias("key"), F.col("raw_json").alias("value"))
+    recovered, _ = replay_dead_letters(dead, lenient_trade_repair)
+    changed = corrected_candles(before, recovered, "1 hour")
+    same = before.join(changed.select("symbol", "window_start"), ["symbol", "window_start"], "left_anti")
+    return ntz(finished(same.select(changed.columns).unionByName(changed)))
+
+
 # --- stored tables, keyed publish, dead-letter replay (S4, C4, K5, K7, F16) -------
 
 
@@ -636,3 +737,15 @@ def stream_progress_counts(spark, sf_dir):
     rows read and rows dropped as late, from the streaming run's stored progress
     (the run has more batches than Spark retains records of)."""
     return progress_of(stream_run(spark, sf_dir), spark).select("query", "batches_with_data", "input_rows", "late_rows_dropped")
+
+
+@query("tick_retention_stored")
+def tick_retention_stored(spark, sf_dir):
+    """K6/P10 in storage: three batches of ticks with one day kept; the sink drops the rest, the read filters nothing."""
+    root = scratch_path(spark, "tick-retention")
+    ticks = tables.read_ticks(spark, tick_table(spark, sf_dir))
+    sink = tick_sink(root, "q", keep_minutes=P.TICK_KEPT_MIN)
+    for number, (first, last) in enumerate([(1, 10), (11, 20), (21, 31)]):
+        sink(ticks.filter(F.dayofmonth("ts").between(first, last)), number)
+    kept = jobs.stored_ticks(spark, root)
+    return ntz(kept.select("symbol", "second", "ts", F.col("price").cast("double"), F.col("size").cast("double")))

@@ -22,6 +22,7 @@ LOOKBACK_MIN = 7 * 24 * 60
 KPI_LOOKBACK_MIN = 24 * 60
 LATEST_N = 200
 ALERT_LIMIT = 12
+TICK_KEPT_MIN = 24 * 60
 
 
 def as_of_col(as_of: dt.datetime = AS_OF):

@@ -507,3 +507,39 @@ EACH_PARTITION = COUNTER_RATE.replace(TRADES, TRADES.replace("SELECT event_type
 SQL["offset_rate"] = f"""
 WITH each AS ({EACH_PARTITION})
 SELECT ts, count(*) AS partitions, CAST(sum(increase) AS BIGINT) AS increase, round(sum(rate), 8) AS rate FROM each GROUP BY ts"""
+
+SQL["stream_compacted"] = SQL["stream_restart"]
+SQL["stream_dedup"] = SQL["stream_candles"]
+SQL["stored_constraints"] = f"""
+WITH {STREAM_CLOSED}, {TICKS.replace('trades AS', 'all_trades AS').replace('FROM trades', 'FROM all_trades')},
+a AS ({SQL["stream_alerts"]})
+SELECT 'candles' AS table, (SELECT count(*) FROM closed) AS rows, CAST(0 AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS duplicates,
+       CAST(0 AS BIGINT) AS bad_window_end
+UNION ALL SELECT 'alerts', (SELECT count(*) FROM a), 0, 0, 0
+UNION ALL SELECT 'ticks', (SELECT count(*) FROM ticks), 0, 0, 0"""
+
+# A message's batch, and the watermark by which the batch before it closed windows.
+SQL["stream_late_rows"] = f"""
+WITH {MESSAGES},
+placed AS (SELECT v.*, (dayofyear(e.ts) - 1) // 4 + CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END AS slot
+           FROM valid v JOIN events e USING (event_id)),
+numbered AS (SELECT DISTINCT (dayofyear(ts) - 1) // 4 + CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END AS slot FROM events),
+batches AS (SELECT slot, row_number() OVER (ORDER BY slot) - 1 AS batch_id FROM numbered),
+newest AS (SELECT slot, max(ts) AS t FROM placed GROUP BY slot),
+marks AS (SELECT slot, batch_id, date_trunc('millisecond', max(t) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+                                 - INTERVAL 1 MINUTE) AS watermark
+          FROM batches LEFT JOIN newest USING (slot)),
+windows AS (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS window_start FROM placed JOIN marks USING (slot))
+SELECT symbol, trade_id, ts, price, size, window_start, window_start + INTERVAL 1 HOUR AS window_end, watermark, batch_id
+FROM windows WHERE window_start + INTERVAL 1 HOUR <= watermark"""
+
+SQL["ohlcv_rollup_1d"] = SQL["ohlcv_1d"]
+SQL["replay_corrects_candles"] = f"""
+WITH recovered AS ({SQL["dead_letter_replay"]}), {MESSAGES},
+vt AS (SELECT symbol, price, size, side, trade_id, ts FROM valid
+       UNION ALL SELECT symbol, price, size, side, trade_id, ts FROM recovered),
+{candles_cte('1 hour', source='vt')}
+SELECT * FROM candles"""
+SQL["tick_retention_stored"] = f"""
+WITH {TICKS} SELECT symbol, second, tick_ts AS ts, price, size FROM ticks
+WHERE tick_ts >= (SELECT max(tick_ts) FROM ticks) - INTERVAL 1440 MINUTE"""

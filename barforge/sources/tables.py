@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barforge.operators.sinks import _fs_path
 from barforge.operators.serving import ALL_RANGE_LIMIT, lookback
 
 DEFAULT_FILES_PER_WRITE = None  # let the cluster's shuffle partitions decide
@@ -42,6 +43,22 @@ def read_candles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_newest(spark: SparkSession, path: str, rows: int) -> DataFrame:
+    """The newest days of a dated table that hold ``rows`` rows or more (all days if there are fewer).
+
+    Days are asked from the newest on, so older ones are neither listed nor opened.
+    """
+    folder, fs = _fs_path(spark, path)
+    days = sorted((s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("date=")), reverse=True)
+    taken: list[str] = []
+    for day in days:
+        taken.append(f"{path}/{day}")
+        rows -= spark.read.parquet(taken[-1]).count()  # from the files' footers
+        if rows <= 0:
+            break
+    return spark.read.option("basePath", path).parquet(*taken or [path])
+
+
 def candles_for(spark: SparkSession, path: str, symbol: str, minutes: int | None, as_of: Column,
                 limit: int = ALL_RANGE_LIMIT) -> DataFrame:
     """S4 + P6 / T1 + T4: candles of one symbol in the look-back window, or, with

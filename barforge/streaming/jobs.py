@@ -24,7 +24,18 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from barforge.operators.candles import candles_of
-from barforge.operators.sinks import CANDLE_JOB, CANDLE_KEYS, TICK_JOB, candle_sink, dead_letter_sink, read_by_job, read_table
+from barforge.operators.compaction import TableSpec, compact
+from barforge.operators.sinks import (
+    CANDLE_JOB,
+    CANDLE_KEYS,
+    LATE_JOB,
+    TICK_JOB,
+    candle_sink,
+    dead_letter_sink,
+    late_sink,
+    read_by_job,
+    read_table,
+)
 from barforge.schema import (
     CANDLE_SCHEMA,
     METRICS_SCHEMA,
@@ -32,6 +43,7 @@ from barforge.schema import (
     PRICE_DECIMAL,
     STORED_CANDLE_TYPES,
     TICK_SCHEMA,
+    TRADE_SCHEMA,
 )
 from barforge.sources.trades import parse_trades, read_text_stream, split_trades
 from barforge.streaming.progress import ProgressListener
@@ -41,6 +53,14 @@ WINDOW_DURATION = "1 minute"
 WATERMARK_DELAY = "1 minute"
 TRIGGER_INTERVAL = "5 seconds"
 
+ALERT_SCHEMA = StructType([
+    StructField("symbol", StringType()), StructField("ts", TimestampType()), StructField("price", PRICE_DECIMAL),
+    StructField("pct_change", PCT_DECIMAL), StructField("message", StringType()),
+])
+
+LATE_SCHEMA = StructType([f for f in TRADE_SCHEMA.fields if f.name != "ts"] + [
+    StructField(c, TimestampType()) for c in ("ts", "window_start", "window_end", "watermark")])
+
 STATE_STORES = {
     "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
@@ -63,6 +83,9 @@ class StreamConfig:
     state_store: str | None = None
     state_partitions: int | None = None
     progress_root: str | None = None  # folder for progress records (R9)
+    # A trade delivered again within the watermark delay is dropped by (symbol, trade_id).
+    # Off by default: like the reference, a redelivered trade then counts again.
+    drop_redelivered: bool = False
 
 
 def apply_state_settings(spark: SparkSession, cfg: "StreamConfig") -> None:
@@ -86,8 +109,10 @@ def _trigger(writer, cfg: StreamConfig):
 def candle_frames(raw_stream: DataFrame, cfg: StreamConfig) -> tuple[DataFrame, DataFrame]:
     """(candles, malformed) streaming frames from a raw ``value`` stream."""
     valid, malformed = split_trades(parse_trades(raw_stream))
-    candles = candles_of(valid.drop("raw_json").withWatermark("ts", cfg.watermark_delay), cfg.window_duration)
-    return candles, malformed
+    trades = valid.drop("raw_json").withWatermark("ts", cfg.watermark_delay)
+    if cfg.drop_redelivered:
+        trades = trades.dropDuplicatesWithinWatermark(["symbol", "trade_id"])
+    return candles_of(trades, cfg.window_duration), malformed
 
 
 def start_candles(raw_stream: DataFrame, cfg: StreamConfig, query_name: str | None = None) -> StreamingQuery:
@@ -117,16 +142,37 @@ def start_malformed(raw_stream: DataFrame, cfg: StreamConfig, query_name: str |
     return _trigger(writer, cfg).start()
 
 
+def start_late(raw_stream: DataFrame, cfg: StreamConfig, query_name: str | None = None) -> StreamingQuery:
+    """Stores the trades that come after their window was closed (see :func:`late_sink`).
+
+    To be started with the candle query's source options and trigger, so that both cut their batches alike.
+    """
+    valid, _ = split_trades(parse_trades(raw_stream))
+    writer = (valid.drop("raw_json").writeStream.outputMode("append")
+              .foreachBatch(late_sink(cfg.table_root, cfg.window_duration, cfg.watermark_delay))
+              .option("checkpointLocation", f"{cfg.checkpoint_root.rstrip('/')}/late"))
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, cfg).start()
+
+
+def stored_late_rows(spark: SparkSession, table_root: str) -> DataFrame:
+    """Late trades, with the window they missed and the batch they came in."""
+    return read_table(spark, table_root, "late_rows", LATE_SCHEMA, LATE_JOB).drop("query_id")
+
+
 def run_both(raw_stream: DataFrame, cfg: StreamConfig, timeout_s: float | None = None) -> dict[str, StreamingQuery]:
     """Start both queries; with ``available_now`` wait until both finish (else call :func:`supervise`)."""
     spark = raw_stream.sparkSession
     listener = ProgressListener(spark, cfg.progress_root) if cfg.progress_root else None
     if listener:
         spark.streams.addListener(listener)
-    queries = {
-        "candles": start_candles(raw_stream, cfg),
-        "malformed": start_malformed(raw_stream, cfg),
-    }
+    queries = {"candles": start_candles(raw_stream, cfg)}
+    try:
+        queries["malformed"] = start_malformed(raw_stream, cfg)
+    except BaseException:
+        queries["candles"].stop()  # both or neither
+        raise
     if cfg.available_now:
         try:
             supervise(queries, timeout_s)
@@ -170,12 +216,7 @@ def stored_candles(spark: SparkSession, table_root: str) -> DataFrame:
 
 
 def stored_alerts(spark: SparkSession, table_root: str) -> DataFrame:
-    schema = StructType([
-        StructField("symbol", StringType()), StructField("ts", TimestampType()),
-        StructField("price", PRICE_DECIMAL), StructField("pct_change", PCT_DECIMAL),
-        StructField("message", StringType()),
-    ])
-    return read_table(spark, table_root, "alerts", schema, CANDLE_JOB, dated=True)
+    return read_table(spark, table_root, "alerts", ALERT_SCHEMA, CANDLE_JOB, dated=True)
 
 
 def stored_rejects(spark: SparkSession, table_root: str) -> DataFrame:
@@ -203,6 +244,19 @@ def stored_metrics(spark: SparkSession, table_root: str) -> DataFrame:
     return read_by_job(spark, table_root, "metrics", METRICS_SCHEMA)
 
 
+def candle_tables() -> dict[str, TableSpec]:
+    """What the candle job writes, for compaction."""
+    alerts = StructType.fromDDL("symbol string, ts timestamp, price double, pct_change double, message string")
+    return {"candles": TableSpec(stored_candle_schema(), "window_start", tuple(CANDLE_KEYS)),
+            "alerts": TableSpec(ALERT_SCHEMA, "ts", ("symbol", "ts")),
+            "rejects": TableSpec(CANDLE_SCHEMA, "window_start"), "rejected_alerts": TableSpec(alerts, "ts")}
+
+
+def compact_stream(spark: SparkSession, table_root: str) -> int | None:
+    """K1/K2: one compaction round over the candle job's tables; to be run beside the stream, every hour or so."""
+    return compact(spark, table_root, CANDLE_JOB, candle_tables())
+
+
 def stored_candle_schema():
     """Candle columns with the stored decimal types."""
     return StructType([StructField(f.name, STORED_CANDLE_TYPES.get(f.name, f.dataType)) for f in CANDLE_SCHEMA.fields])
@@ -223,6 +277,21 @@ def write_ordered_input(df: DataFrame, path: str, files: int, ts_col: str, value
     return set_ordered_mtimes(spark, path, only_new=before)
 
 
+def write_slots(df: DataFrame, path: str, slot_col: str = "slot", value_col: str = "value") -> None:
+    """Test input in a given order: one text file a slot, below ``path/slot=<n>``, modification times in slot order."""
+    spark = df.sparkSession
+    (df.select(F.col(slot_col).cast("int").alias("slot"), F.col(value_col).alias("value")).repartition("slot")
+     .write.partitionBy("slot").text(path))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    now = int(time.time() * 1000) - 1_000_000
+    for folder in fs.listStatus(p):
+        name = folder.getPath().getName()
+        for status in fs.listStatus(folder.getPath()) if name.startswith("slot=") else []:
+            fs.setTimes(status.getPath(), now + 1000 * int(name[5:]), -1)
+
+
 def list_parts(spark: SparkSession, path: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -15,11 +15,12 @@ def _candles(spark):
     return spark.createDataFrame(rows, CANDLES)
 
 
-def test_null_counts_and_window_end_check(spark):
+def test_audit_finds_planted_violations(spark):
     c = _candles(spark)
-    nulls = quality.null_counts(c, ["symbol", "volume"]).first()
-    assert (nulls["nulls_symbol"], nulls["nulls_volume"]) == (0, 1)
-    assert quality.window_end_violations(c, "1 hour").first()["bad_window_end"] == 1
+    row = quality.stored_audit("t", c.unionByName(c.limit(1)), ["symbol", "window_start"], ["symbol", "volume"], "1 hour").first()
+    assert (row["table"], row["rows"], row["nulls"], row["duplicates"], row["bad_window_end"]) == ("t", 3, 1, 1, 1)
+    empty = quality.stored_audit("t", c.where("false"), ["symbol"], ["symbol"]).first()
+    assert (empty["rows"], empty["nulls"], empty["duplicates"], empty["bad_window_end"]) == (0, 0, 0, 0)
 
 
 def test_freshness_and_metric_value(spark):
