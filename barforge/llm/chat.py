@@ -13,15 +13,23 @@ conversation can only come from a cycle: such calls, in or behind one, are cycli
 without forward dependencies need no round, whatever their length.
 
 Tables: calls (conv_id, turn, call_id, name, arguments: JSON text, depends_on:
-array<string>), results (call_id, content), schemas (name, param, type, required,
-minimum, maximum). Identifiers are unique within calls; of several results the call's
-row holds the first by content and their number. ``linked_results`` has every result:
-one row each, in the order of their contents, those without a known call as well.
-
-Defined cases: null arguments are the empty object, text that is no JSON object gives
-the problem "arguments"; calls of a name without schema give "name"; null call ids
-link to nothing and nothing depends on them; dependencies on unknown calls are
-dropped; repeated dependencies count once; empty tables give empty results.
+array<string>), results (conv_id, call_id, content), schemas (name, param, type,
+required, minimum, maximum). An identifier holds within its conversation: a call is
+known by (conv_id, call_id).
+
+One row per call and result, so that a call's results are never gathered in one place;
+a call without result has one row. Calls that are repeated whole are one call with
+``copies``. Of different calls with one identifier the first by (turn, name, arguments) is
+the call; the others link to nothing and have the problem "id". Results without a
+known call are rows with the problem "call".
+
+Defined cases: a null conv_id or call_id links to nothing and nothing depends on it;
+null arguments are the empty object, text that is no JSON object gives the problem
+"arguments"; calls of a name without schema give "name"; a parameter that the schema
+names twice is checked twice; dependencies on unknown calls are dropped; repeated
+dependencies count once; equal results of a call are rows of their own; very long
+arguments and results are kept whole; empty tables give empty results; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -32,36 +40,43 @@ from pyspark.sql import functions as F
 from barforge.llm.common import staged
 from barforge.session import shared_dir
 
+KEY = ["conv_id", "call_id"]
+CALL = ["conv_id", "turn", "call_id", "name", "arguments", "depends_on"]
+KEYED = "conv_id is not null and call_id is not null"
+BROADCAST_SCHEMAS = 100_000  # rows
 
-def link_results(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """Calls with ``result`` (null without one) and ``n_results``."""
-    first = results.where("call_id is not null").groupBy("call_id").agg(
-        F.min("content").alias("result"), F.count("*").alias("n_results"))
-    return calls.join(first, "call_id", "left").withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("bigint")))
+
+def distinct_calls(calls: DataFrame) -> DataFrame:
+    """Calls without whole repeats: adds copies and ``known``, true for the one call that an identifier stands for."""
+    once = calls.groupBy(*CALL).agg(F.count("*").alias("copies"))
+    first = F.row_number().over(Window.partitionBy(*KEY).orderBy("turn", "name", "arguments", "depends_on")) == 1
+    return (once.where(KEYED).withColumn("known", first)
+            .unionByName(once.where(f"not ({KEYED})").withColumn("known", F.lit(False))))
 
 
-def linked_results(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """Per result: (call_id, content, linked, conv_id, turn, position, json).
+def link_results(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """Calls (with ``known``) and their results: a row per pair, with ``result``, ``linked`` and ``n_results``.
 
-    ``position`` counts the results of a call from 1, by content (null first); ``json`` is
-    the call with this result. Both are null for results of unknown or null calls.
+    Rows of results without a call have null in the call's columns but for its identifier.
     """
-    known = calls.where("call_id is not null").select("call_id", "conv_id", "turn", "name", "arguments", F.lit(True).alias("linked"))
-    out = results.select("call_id", F.col("content").alias("result")).join(known, "call_id", "left")
-    out = out.withColumn("linked", F.coalesce("linked", F.lit(False)))
-    place = F.row_number().over(Window.partitionBy("call_id").orderBy("result"))
-    matched = out.where("linked").withColumn("position", place).withColumn("json", canonical_json(out))
-    rest = out.where("not linked").withColumns({"position": F.lit(None).cast("int"), "json": F.lit(None).cast("string")})
-    return (matched.unionByName(rest)
-            .select("call_id", F.col("result").alias("content"), "linked", "conv_id", "turn", "position", "json"))
+    content = results.select(*KEY, F.col("content").alias("result"))
+    counts = content.where(KEYED).groupBy(*KEY).agg(F.count("*").alias("n_results"))
+    known = calls.where("known").join(counts, KEY, "left")
+    linked = known.where("n_results is not null").join(content.where(KEYED), KEY)
+    alone = known.where("n_results is null").unionByName(calls.where("not known"), allowMissingColumns=True)
+    lost = content.join(calls.where("known").select(*KEY), KEY, "left_anti")
+    return (linked.withColumn("linked", F.lit(True))
+            .unionByName(alone.withColumn("linked", F.lit(False)), allowMissingColumns=True)
+            .unionByName(lost.withColumn("linked", F.lit(False)), allowMissingColumns=True)
+            .withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("bigint"))))
 
 
 def ordered(calls: DataFrame) -> DataFrame:
-    """(conv_id, turn, call_id) -> adds level and cyclic."""
+    """(conv_id, turn, call_id, depends_on, known) -> adds level and cyclic, 0 and false for calls that are not known."""
     shared_dir(calls.sparkSession)
-    nodes = calls.where("call_id is not null").select("conv_id", "turn", "call_id")
-    edges = (calls.where("call_id is not null").select("conv_id", F.col("turn").alias("to_turn"), F.col("call_id").alias("to"),
-                                                       F.explode(F.array_distinct("depends_on")).alias("from"))
+    nodes = calls.where("known")
+    edges = (nodes.select("conv_id", F.col("turn").alias("to_turn"), F.col("call_id").alias("to"),
+                          F.explode(F.array_distinct("depends_on")).alias("from"))
              .join(nodes.select("conv_id", F.col("call_id").alias("from"), F.col("turn").alias("from_turn")), ["conv_id", "from"]))
     before = F.struct("from_turn", "from") < F.struct("to_turn", "to")
     edges = staged(edges.select("conv_id", "from", "to", F.when(before, 0).otherwise(1).alias("step")), "call-edges")
@@ -82,8 +97,9 @@ def ordered(calls: DataFrame) -> DataFrame:
         if same:
             break
     levels = levels.join(forward, "conv_id").select("conv_id", "call_id", "level", (F.col("level") > F.col("most")).alias("cyclic"))
-    out = calls.join(levels, ["conv_id", "call_id"], "left")
-    return out.withColumn("level", F.coalesce("level", F.lit(0).cast("bigint"))).withColumn("cyclic", F.coalesce("cyclic", F.lit(False)))
+    out = calls.join(levels, KEY, "left")
+    return (out.withColumn("level", F.when(F.col("known"), F.coalesce("level", F.lit(0))).otherwise(0).cast("bigint"))
+            .withColumn("cyclic", F.col("known") & F.coalesce("cyclic", F.lit(False))))
 
 
 def argument_object(arguments: Column) -> Column:
@@ -92,51 +108,56 @@ def argument_object(arguments: Column) -> Column:
     return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
 
 
+def schema_lists(schemas: DataFrame) -> DataFrame:
+    """(name, params): one row per name, its parameters as a list; a name has as many as its author wrote."""
+    param = F.struct("param", "type", F.coalesce("required", F.lit(False)).alias("required"), "minimum", "maximum")
+    lists = schemas.groupBy("name").agg(F.collect_list(param).alias("params"))
+    return F.broadcast(lists) if schemas.limit(BROADCAST_SCHEMAS + 1).count() <= BROADCAST_SCHEMAS else lists
+
+
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """Adds ``problems``: sorted names of the parameters that break the schema of the call's name.
 
-    The arguments are taken apart into rows and joined with the schema's rows, so a
-    schema may have any number of parameters. Unknown parameters are problems too.
+    Each call is checked in its own row against the list of its schema's parameters.
+    Unknown parameters are problems too.
     """
-    keyed = calls.select("call_id", "name", argument_object(F.col("arguments")).alias("object"))
-    broken = keyed.where("call_id is not null and object is null").select("call_id", F.lit("arguments").alias("problem"))
-    names = schemas.select("name").distinct()
-    unknown = (keyed.where("call_id is not null").join(names, "name", "left_anti")
-               .select("call_id", F.lit("name").alias("problem")))
-    fields = F.explode(F.map_entries(F.try_variant_get("object", "$", "map<string, variant>"))).alias("field")
-    given = (keyed.where("call_id is not null and object is not null").select("call_id", "name", fields)
-             .select("call_id", "name", F.col("field.key").alias("param"), F.col("field.value").alias("value")))
-    wanted = (keyed.where("call_id is not null and object is not null").select("call_id", "name")
-              .join(schemas, "name"))
-    met = wanted.join(given.select("call_id", "param", "value"), ["call_id", "param"], "left")
-    kind = F.schema_of_variant("value")
-    # JSON numbers are BIGINT, DECIMAL(...) or DOUBLE
-    fits = (F.when(F.col("type") == "string", kind == "STRING").when(F.col("type") == "boolean", kind == "BOOLEAN")
-            .when(F.col("type") == "integer", kind == "BIGINT").when(F.col("type") == "number", kind.rlike("^(BIGINT|DECIMAL|DOUBLE)"))
-            .when(F.col("type") == "array", kind.startswith("ARRAY")).when(F.col("type") == "object", kind.startswith("OBJECT"))
-            .otherwise(F.lit(False)))
-    number = F.try_variant_get("value", "$", "double")
-    fine = fits & (F.col("minimum").isNull() | (number >= F.col("minimum"))) & (F.col("maximum").isNull() | (number <= F.col("maximum")))
-    ok = F.when(F.col("value").isNull(), ~F.col("required")).otherwise(F.coalesce(fine, F.lit(False)))
-    wrong = met.where(~ok).select("call_id", F.col("param").alias("problem"))
-    extra = (given.join(names, "name", "left_semi").join(schemas.select("name", "param"), ["name", "param"], "left_anti")
-             .select("call_id", F.col("param").alias("problem")))
-    problems = (broken.union(unknown).union(wrong).union(extra).distinct()
-                .groupBy("call_id").agg(F.sort_array(F.collect_list("problem")).alias("problems")))
-    return calls.join(problems, "call_id", "left").withColumn("problems", F.coalesce("problems", F.array().cast("array<string>")))
+    rows = calls.withColumn("_object", argument_object(F.col("arguments"))).join(schema_lists(schemas), "name", "left")
+    rows = rows.withColumn("_given", F.try_variant_get("_object", "$", "map<string, variant>"))
+
+    def broken(p: Column) -> Column:
+        value = F.try_element_at("_given", p["param"])
+        kind, number = F.schema_of_variant(value), F.try_variant_get(value, "$", "double")
+        # JSON numbers are BIGINT, DECIMAL(...) or DOUBLE
+        fits = (F.when(p["type"] == "string", kind == "STRING").when(p["type"] == "boolean", kind == "BOOLEAN")
+                .when(p["type"] == "integer", kind == "BIGINT").when(p["type"] == "number", kind.rlike("^(BIGINT|DECIMAL|DOUBLE)"))
+                .when(p["type"] == "array", kind.startswith("ARRAY")).when(p["type"] == "object", kind.startswith("OBJECT"))
+                .otherwise(F.lit(False)))
+        fine = fits & (p["minimum"].isNull() | (number >= p["minimum"])) & (p["maximum"].isNull() | (number <= p["maximum"]))
+        return F.when(value.isNull(), p["required"]).otherwise(~F.coalesce(fine, F.lit(False)))
+
+    none = F.array().cast("array<string>")
+    wrong = F.transform(F.filter("params", broken), lambda p: p["param"])
+    extra = F.array_except(F.map_keys("_given"), F.transform("params", lambda p: p["param"]))
+    found = (F.when(F.col("_object").isNull(), F.when(F.col("params").isNull(), F.array(F.lit("arguments"), F.lit("name")))
+                    .otherwise(F.array(F.lit("arguments"))))
+             .when(F.col("params").isNull(), F.array(F.lit("name")))
+             .otherwise(F.array_sort(F.array_distinct(F.concat(wrong, extra)))))
+    return rows.withColumn("problems", F.coalesce(found, none)).drop("params", "_object", "_given")
 
 
 def canonical_json(calls: DataFrame) -> Column:
-    """The call as canonical JSON; variants print their keys in order and without blanks."""
+    """The call as canonical JSON; variants print their keys in order and without blanks. Lost results have null arguments."""
     return F.to_json(F.struct(
-        argument_object(F.col("arguments")).alias("arguments"),
+        F.when(F.col("copies").isNotNull(), argument_object(F.col("arguments"))).alias("arguments"),
         F.col("call_id").alias("id"), F.col("name"), F.col("result")), {"ignoreNullFields": "false"})
 
 
 def linked_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Per call: its place (conv_id, level, turn, call_id), whether it is cyclic or linked, its number of results, its problems and JSON."""
-    wanted = calls.select("conv_id", "turn", "call_id", "name", "arguments", "depends_on")
-    out = validated(ordered(link_results(wanted, results)), schemas)
-    return out.select("conv_id", "turn", "level", "cyclic", "call_id", (F.col("n_results") > 0).alias("linked"), "n_results", "problems",
-                      canonical_json(out).alias("json"))
-
+    """Per call and result: (conv_id, turn, level, cyclic, call_id, copies, linked, n_results, problems, json)."""
+    once = staged(distinct_calls(calls.select(*CALL)), "calls")
+    checked = validated(ordered(once), schemas)
+    twice = F.expr(f"not known and {KEYED}")
+    checked = checked.withColumn("problems", F.when(twice, F.array_sort(F.array_union("problems", F.array(F.lit("id"))))).otherwise(F.col("problems")))
+    out = link_results(checked, results)
+    return out.select("conv_id", "turn", "level", "cyclic", "call_id", "copies", "linked", "n_results",
+                      F.coalesce("problems", F.array(F.lit("call"))).alias("problems"), canonical_json(out).alias("json"))

@@ -78,17 +78,21 @@ REPLY_SCHEMA = [("reply", "length", "integer", True, 0.0, 400.0), ("reply", "que
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn is a call of ``reply`` that depends on the user turn before it; the answer is its result."""
+    """Each user turn is a call of ``reply``, the turn after it, if the assistant's, its result.
+
+    A call depends on the user turn before it; of every four, the second depends on the
+    third as well, which lies after it, and the third on none.
+    """
     turns = table(spark, sf_dir, "conversations")
-    name = lambda shift: F.concat_ws(":", "conv_id", F.col("turn") + shift)
-    arguments = F.to_json(F.struct(F.col("turn"), F.col("text").alias("query"), F.length("text").alias("length")))
+    name = lambda shift: F.concat("conv_id", F.lit(":"), F.col("turn") + shift)
+    arguments = F.to_json(F.struct(F.col("turn"), F.col("text").alias("query"), F.length("text").alias("length")), {"ignoreNullFields": "false"})
+    place = F.expr("pmod(turn div 2, 4)")
+    needs = F.when(place == 1, F.array(name(-2), name(2))).when(place == 2, F.array().cast("array<string>")).otherwise(F.array(name(-2)))
     calls = turns.where("role = 'user'").select(
-        "conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"),
-        F.array(name(-2)).alias("depends_on"))
-    results = turns.where("role = 'assistant'").select(name(-1).alias("call_id"), F.col("text").alias("content"))
+        "conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), needs.alias("depends_on"))
+    results = turns.where("role = 'assistant'").select("conv_id", name(-1).alias("call_id"), F.col("text").alias("content"))
     schemas = spark.createDataFrame(REPLY_SCHEMA, "name string, param string, type string, required boolean, minimum double, maximum double")
-    return (chat.linked_calls(calls, results, schemas).drop("call_id", "n_results")
-            .withColumn("problems", F.array_join("problems", ",")))
+    return chat.linked_calls(calls, results, schemas).drop("call_id").withColumn("problems", F.array_join("problems", ","))
 
 
 def op10_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,14 +157,28 @@ SQL: dict[str, str] = {
         FROM d LEFT JOIN k USING (payload_digest)
     """,
     "op6_chat": """
-        WITH c AS (SELECT conv_id, turn, conv_id || ':' || turn AS id, text FROM conversations WHERE role = 'user'),
-             r AS (SELECT conv_id || ':' || (turn - 1) AS id, min(text) AS result FROM conversations
-                   WHERE role = 'assistant' GROUP BY 1)
-        SELECT conv_id, turn, 0 AS level, false AS cyclic, r.id IS NOT NULL AS linked,
-               CASE WHEN length(text) > 400 THEN 'length' ELSE '' END AS problems,
-               CAST(json_object('arguments', json_object('length', length(text), 'query', text, 'turn', turn), 'id', c.id,
-                                'name', 'reply', 'result', result) AS VARCHAR) AS json
-        FROM c LEFT JOIN r USING (id)
+        WITH c0 AS (SELECT conv_id, turn, text, count(*) AS copies, conv_id || ':' || turn AS id,
+                           json_object('length', length(text), 'query', text, 'turn', turn) AS arguments
+                    FROM conversations WHERE role = 'user' GROUP BY ALL),
+             c AS (SELECT *, id IS NOT NULL AND row_number() OVER (PARTITION BY id ORDER BY CAST(json_object('turn', turn, 'query', text) AS VARCHAR)) = 1 AS known
+                   FROM c0),
+             r AS (SELECT conv_id, conv_id || ':' || (turn - 1) AS id, text AS result FROM conversations WHERE role = 'assistant'),
+             n AS (SELECT id, count(*) AS n FROM r WHERE id IS NOT NULL GROUP BY id),
+             next AS (SELECT DISTINCT conv_id || ':' || (turn - 2) AS id, true AS later FROM c WHERE known),
+             rows AS (SELECT c.conv_id, c.turn, copies, known, c.id, arguments, r.id IS NOT NULL AS linked, coalesce(CASE WHEN known THEN n END, 0) AS n_results,
+                             result, later, text
+                      FROM c LEFT JOIN r ON known AND c.id = r.id LEFT JOIN n ON c.id = n.id LEFT JOIN next ON c.id = next.id)
+        SELECT conv_id, turn, CAST(CASE WHEN known AND (turn // 2) % 4 = 1 AND later THEN 1 ELSE 0 END AS BIGINT) AS level, false AS cyclic, copies,
+               linked, n_results,
+               concat_ws(',', CASE WHEN id IS NOT NULL AND NOT known THEN 'id' END,
+                         CASE WHEN text IS NULL THEN 'length,query' WHEN length(text) > 400 THEN 'length' END,
+                         CASE WHEN turn IS NULL THEN 'turn' END) AS problems,
+               CAST(json_object('arguments', arguments, 'id', id, 'name', 'reply', 'result', result) AS VARCHAR) AS json
+        FROM rows
+        UNION ALL
+        SELECT conv_id, NULL, NULL, NULL, NULL, false, 0, 'call',
+               CAST(json_object('arguments', NULL, 'id', id, 'name', NULL, 'result', result) AS VARCHAR)
+        FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE known AND c.id = r.id)
     """,
     "op12_divergence": f"""
         WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS} AS w FROM documents),
