@@ -39,7 +39,6 @@ from barforge.llm.common import staged
 
 PROBES = 6
 BITS_PER_ENTRY = PROBES / math.log(2)
-SEED = 0
 END = np.uint64(xxhash.xxh64_intdigest(b"", 1))  # the end token, also the context of a text's first word
 ONE, SHIFT = np.uint64(1), np.uint64(32)
 MIX_A, MIX_B, MIX_C = (np.uint64(xxhash.xxh64_intdigest(bytes([k]), 2) | 1) for k in range(3))
@@ -56,18 +55,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def token_hashes(text: bytes) -> np.ndarray:
     """Hashes of the lower-cased words and of the end token."""
-    digest = xxhash.xxh64_intdigest
     words = text.lower().split()
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = [digest(w, SEED) for w in words]
+    words.append(b"")
+    out = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     out[-1] = END
     return out
 
 
-def pair_hashes(tokens: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it; the first follows the end token."""
+def pair_hashes(tokens: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each token with the one before it; the first of a text (at ``starts``, or just the first) follows the end token."""
     before = np.empty_like(tokens)
-    before[0], before[1:] = END, tokens[:-1]
+    before[1:] = tokens[:-1]
+    before[0 if starts is None else starts] = END
     return mixed(before * MIX_C + (tokens ^ (tokens >> SHIFT)))
 
 
@@ -156,9 +155,8 @@ WORDS, PAIRS = 1, 2
 def train(docs: DataFrame, shards: int, text_col: str = "text") -> DataFrame:
     """The model: one row per shard, staged in the shared folder."""
 
-    def blocks(size: int, held: list[np.ndarray]) -> Iterator[dict]:
-        hashes = np.concatenate(held)
-        hashes, counts = _summed(hashes, np.ones(len(hashes), np.int64))
+    def blocks(size: int, hashes: np.ndarray) -> Iterator[dict]:
+        hashes, counts = np.unique(hashes, return_counts=True)
         owner = shard_index(hashes, shards)
         cuts = np.searchsorted(owner, np.arange(shards + 1, dtype=np.uint64))
         for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -167,20 +165,21 @@ def train(docs: DataFrame, shards: int, text_col: str = "text") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("shard", pa.int32()), ("size", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
-        held: dict[int, list[np.ndarray]] = {WORDS: [], PAIRS: []}
+        held: list[np.ndarray] = []
         n = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for size, arrays in held.items():
-                if arrays:
-                    yield pa.RecordBatch.from_pylist(list(blocks(size, arrays)), schema=schema)
-                arrays.clear()
+            if held:
+                starts = np.cumsum([0] + [len(t) for t in held[:-1]])
+                flat = np.concatenate(held)
+                held.clear()
+                yield pa.RecordBatch.from_pylist(list(blocks(PAIRS, pair_hashes(flat, starts))), schema=schema)
+                yield pa.RecordBatch.from_pylist(list(blocks(WORDS, flat)), schema=schema)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 tokens = token_hashes(text or b"")
-                held[WORDS].append(tokens)
-                held[PAIRS].append(pair_hashes(tokens))
+                held.append(tokens)
                 n += len(tokens)
                 if n >= BLOCK_NGRAMS:
                     yield from flush()
@@ -205,7 +204,7 @@ def train(docs: DataFrame, shards: int, text_col: str = "text") -> DataFrame:
                 "entries": [int(quantised(word_counts).sum() + quantised(pair_counts).sum())],
                 "word_bits": [Filter.build(words, word_counts).bits.tobytes()],
                 "pair_bits": [Filter.build(pairs, pair_counts).bits.tobytes()],
-                "word_hashes": [words.tobytes()], "word_counts": [word_counts.astype(np.uint32).tobytes()]})
+                "word_hashes": [words.tobytes()], "word_counts": [word_counts.astype(np.uint32 if word_counts.max(initial=0) < 1 << 32 else np.int64).tobytes()]})
 
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     counted = texts.mapInArrow(count, BLOCK_SCHEMA).repartitionById(shards, F.col("shard"))
@@ -227,7 +226,10 @@ class Shards:
         self.first, self.last, self.shards = first, last, shards
         self.pairs = Filter(_parts(rows, "pair_bits", first, last, np.uint8, bytes(8)))
         self.words = np.concatenate(_parts(rows, "word_hashes", first, last, np.uint64, b""))
-        self.counts = np.concatenate(_parts(rows, "word_counts", first, last, np.uint32, b""))
+        counts = _parts(rows, "word_counts", first, last, np.uint8, b"")
+        sizes = [len(p) for p in _parts(rows, "word_hashes", first, last, np.uint64, b"")]
+        # 32 bits a count unless a shard has one that needs 64
+        self.counts = np.concatenate([c.view(np.uint32 if len(c) == 4 * n else np.int64) for c, n in zip(counts, sizes)])
 
     def owns(self, hashes: np.ndarray) -> np.ndarray:
         shard = shard_index(hashes, self.shards)
@@ -262,9 +264,10 @@ def score_batch(texts: list[bytes | None], shards: Shards, words: Filter, totals
     base = np.bincount(doc, np.where(owned, np.log10((counts + add) / bottom), 0.0)[back], len(texts))
 
     levelled = stands_for(words.levels(distinct, shard_index(distinct, shards.shards).astype(np.int64)))
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     before = np.roll(back, 1)
-    before[np.concatenate(([0], np.cumsum(lengths)[:-1]))] = np.searchsorted(distinct, END)
-    pairs = np.concatenate([pair_hashes(t) for t in tokens])
+    before[starts] = np.searchsorted(distinct, END)
+    pairs = pair_hashes(flat, starts)
     mine = np.nonzero(shards.owns(pairs))[0]
     pair = shards.pair_counts(pairs[mine])
     p = (mix * np.minimum(1.0, pair / np.maximum(levelled[before[mine]], 1.0))
