@@ -18,7 +18,8 @@ and three tests of the hypothesis "drawn uniformly from that alphabet":
 Fisher's method combines the three p-values. Over all documents, for each encoding and
 length class, Benjamini-Hochberg at rate ``q`` decides which candidates are cleared
 as not random; longer strings, on which the tests have more power, are thereby
-judged among themselves. What cannot be cleared is a span. The decision needs only a
+judged among themselves. What cannot be cleared is a span, unless it is letters alone
+and letters as frequent as in text explain it better than uniform ones (a long word). The decision needs only a
 histogram of p-values per class (at most 12 x 6 x 401 rows), not the candidates.
 
 Defined cases: null text counts as empty and has no spans; rows that repeat an id are
@@ -48,6 +49,9 @@ BASE64URL = r"[A-Za-z0-9_-]{%d,}={0,2}" % MIN_LENGTH
 DIGITS, LOWER, UPPER = string.digits, string.ascii_lowercase, string.ascii_uppercase
 #: letters by their frequency in text, so that the thirds of an alphabet tell words from keys
 COMMON = "etaoinsrhldcumfpgwybvkxjqz"
+#: how often each of them is, in per cent of the letters of English text (fixed values); rare ones count 0.5, for other languages
+SHARES = [12.7, 9.1, 8.2, 7.5, 7.0, 6.7, 6.3, 6.0, 6.1, 4.0, 4.3, 2.8, 2.8, 2.4, 2.2, 1.9, 2.0, 2.4, 2.0, 1.5, 1.0, 0.8, 0.5, 0.5, 0.5, 0.5]
+LETTERS_ALONE = ["lower", "upper", "letters", "letters64", "letters64url"]
 #: encoding, pattern of its strings, alphabet in order of value
 ENCODINGS = [
     ("digits", "^[0-9]+$", DIGITS),
@@ -70,22 +74,52 @@ BINS = 400  # p-value bins: 10 per power of ten down to 1e-40
 RATE = 0.001
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+#: Arrays are gone through in parts of so many elements, as adding to an array copies it: n spans cost n * STEP copies, not n * n.
+STEP = 64
+
+
+def _parts(items: Column) -> Column:
+    """An array cut into arrays of ``STEP`` elements (none for an empty one)."""
+    whole = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / STEP).cast("int")),
+                        lambda i: F.slice(items, i * STEP + 1, F.lit(STEP)))
+    return F.when(F.size(items) > 0, whole).otherwise(F.slice(whole, 1, 0))
+
+
+def _running(numbers: Column, join) -> Column:
+    """Running ``join`` (a sum, a maximum) of an array of non-negative bigints."""
+    zero = F.lit(0).cast("bigint")
+
+    def scan(part: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("seen"))
+        return F.aggregate(part, start, lambda acc, x: _let(join(acc["at"], x), lambda now: F.struct(
+            now.alias("at"), F.concat(acc["seen"], F.array(now)).alias("seen"))), lambda acc: acc["seen"])
+
+    def whole(parts: Column) -> Column:
+        totals = scan(F.transform(parts, lambda p: F.aggregate(p, zero, join)), zero)
+        firsts = F.concat(F.array(zero), F.slice(totals, 1, F.size(totals) - 1))
+        return F.flatten(F.zip_with(parts, firsts, scan))
+
+    return F.when(F.size(numbers) > 0, _let(_parts(numbers), whole)).otherwise(numbers)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Spans of all matches: array<struct<start, end, value>>, leftmost and non-overlapping."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.transform(F.slice(gaps, F.lit(1), F.size(found)), F.length), found,
-                       lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
+    held = F.struct(found.alias("found"), F.split(text, pattern, -1).alias("gaps"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + pair["gap"]
-        end = begin + F.length(pair["value"])
-        span = F.struct(begin.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def spans(h: Column) -> Column:
+        widths = F.zip_with(F.slice(h["gaps"], F.lit(1), F.size(h["found"])), h["found"],
+                            lambda gap, value: (F.length(gap) + F.length(value)).cast("bigint"))
+        ends = _running(widths, lambda a, b: a + b)
+        return F.zip_with(ends, h["found"], lambda end, value: F.struct(
+            (end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")))
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+    return _let(held, spans)
 
 
 def _as_kind(spans: Column, kind: str) -> Column:
@@ -104,7 +138,7 @@ def _piece(start: Column, end: Column, value: Column) -> Column:
 
 
 def _uncovered(run: Column, base: Column) -> Column:
-    """The pieces of a run that no base span covers; ``base`` is sorted by start."""
+    """The pieces of a run that no base span covers; ``base``: spans sorted by start, as from ``_spanned``."""
     empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
 
     def up_to(acc: Column, end: Column) -> Column:
@@ -114,9 +148,16 @@ def _uncovered(run: Column, base: Column) -> Column:
     def step(acc: Column, span: Column) -> Column:
         return F.struct(F.greatest(acc["at"], span["end"]).alias("at"), up_to(acc, span["start"]).alias("pieces"))
 
-    met = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    near = F.filter(base, lambda part: (part["low"] < run["end"]) & (run["start"] < part["high"]))
+    met = F.filter(F.flatten(F.transform(near, lambda part: part["spans"])), lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
     start = F.struct(run["start"].alias("at"), empty.alias("pieces"))
-    return F.when(F.size(met) > 0, F.aggregate(met, start, step, lambda acc: up_to(acc, run["end"]))).otherwise(F.array(run))
+    return _let(met, lambda met: F.when(F.size(met) > 0, F.aggregate(met, start, step, lambda acc: up_to(acc, run["end"]))).otherwise(F.array(run)))
+
+
+def _spanned(base: Column) -> Column:
+    """Sorted spans in parts, each with its least start and greatest end."""
+    return F.transform(_parts(base), lambda p: F.struct(
+        p[0]["start"].alias("low"), F.array_max(F.transform(p, lambda s: s["end"])).alias("high"), p.alias("spans")))
 
 
 def _one_alphabet(piece: Column) -> Column:
@@ -128,18 +169,13 @@ def _one_alphabet(piece: Column) -> Column:
 
 
 def _candidates(runs: Column, base: Column) -> Column:
-    pieces = F.flatten(F.transform(runs, lambda r: _uncovered(r, base)))
+    pieces = _let(_spanned(base), lambda spanned: F.flatten(F.transform(runs, lambda r: _uncovered(r, spanned))))
     parts = F.flatten(F.transform(pieces, _one_alphabet))
     return F.filter(parts, lambda c: (F.length(F.rtrim(c["value"], F.lit("="))) >= MIN_LENGTH) & c["value"].rlike("[0-9A-Za-z]"))
 
 
 # --- the battery ------------------------------------------------------------
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _normal_tail(z: Column) -> Column:
     """Two-sided p-value of |z| (Abramowitz and Stegun 7.1.26 for the error function)."""
 
@@ -183,7 +219,7 @@ def _encoding(core: Column) -> Column:
 
 
 def battery(value: Column) -> Column:
-    """struct<encoding, n, chi_p, runs_p, serial_p, p> of a candidate; null without an encoding."""
+    """struct<encoding, n, words, chi_p, runs_p, serial_p, p> of a candidate; null without an encoding."""
     core = F.rtrim(value, F.lit("="))
     values = lambda c: F.transform(F.split(c["core"], ""), lambda x: F.instr(c["e"]["alphabet"], x) - 1)
     held = _let(F.struct(core.alias("core"), _encoding(core).alias("e")), lambda c: F.struct(
@@ -206,10 +242,17 @@ def _tests(h: Column) -> Column:
     made = F.struct(_chi_squared_p(chi, F.size(cuts) - 2).alias("chi_p"), _normal_tail(runs_z).alias("runs_p"),
                     _normal_tail(serial_z).alias("serial_p"))
     return _let(made, lambda t: F.struct(
-        h["e"]["name"].alias("encoding"), n.alias("n"), t["chi_p"].alias("chi_p"), t["runs_p"].alias("runs_p"),
+        h["e"]["name"].alias("encoding"), n.alias("n"), _like_words(h).alias("words"), t["chi_p"].alias("chi_p"), t["runs_p"].alias("runs_p"),
         t["serial_p"].alias("serial_p"), _fisher([t["chi_p"], t["runs_p"], t["serial_p"]]).alias("p")))
 
 
+def _like_words(h: Column) -> Column:
+    """Are letters drawn as in text likelier to give the string than letters drawn uniformly? Asked of letters alone."""
+    weights = F.array(*[F.lit(math.log(0.26 * x)) for x in SHARES])
+    ratio = F.aggregate(h["v"], F.lit(0.0), lambda a, v: a + F.when(v < 2 * len(SHARES), F.get(weights, v % len(SHARES))).otherwise(0.0))
+    return h["e"]["name"].isin(LETTERS_ALONE) & (ratio > 0)
+
+
 def _length_class(n: Column) -> Column:
     return sum(((n >= low).cast("int") for low in LENGTH_CLASSES), F.lit(0))
 
@@ -258,13 +301,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
         c["start"].alias("start"), c["end"].alias("end"), battery(c["value"]).alias("t")))
     judged = F.transform(F.filter(tested, lambda c: c["t"].isNotNull()), lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), c["t"]["encoding"].alias("encoding"),
-        _length_class(c["t"]["n"]).alias("length_class"), _bin(c["t"]["p"]).alias("bin")))
+        _length_class(c["t"]["n"]).alias("length_class"), _bin(c["t"]["p"]).alias("bin"),
+        c["t"]["words"].alias("words")))
     # One pass over the texts; what follows reads the spans only.
     found = staged(spans.select("id", "kept", "base", judged.alias("candidates")), "secret-spans")
     limits = cleared_bins(found.select(F.inline("candidates")), q)
     # at most one row per encoding and length class
     limits = [F.struct(*(F.lit(x).alias(n) for n, x in row.asDict().items())) for row in limits.collect()]
-    random = F.filter("candidates", lambda c: ~_cleared(c, limits))
+    random = F.filter("candidates", lambda c: ~c["words"] & ~_cleared(c, limits))
     return found.select("id", "kept", F.array_sort(F.concat("base", _as_kind(random, "random"))).alias("spans"))
 
 
@@ -275,12 +319,28 @@ def span_text(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with every span replaced by ``mark``; overlapping spans count as one."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+    def part(pair: Column) -> Column:
+        """One part of the spans, with the text from where the part before ended."""
+        first, last = pair["at"], F.greatest(pair["at"], F.array_max(F.transform(pair["spans"], lambda s: s["end"])))
+        here = F.substring(text, (first + 1).cast("int"), (last - first).cast("int"))
+
+        def pieces(here: Column) -> Column:
+            start = F.struct(F.lit("").alias("out"), first.alias("at"))
+
+            def step(acc: Column, s: Column) -> Column:
+                before = F.substring(here, (acc["at"] - first + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+                joined = F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"])
+                return F.struct(joined.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+            return F.aggregate(pair["spans"], start, step, lambda acc: acc["out"])
+
+        return _let(here, pieces)
 
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        joined = F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"])
-        return F.struct(joined.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+    def whole(parts: Column) -> Column:
+        ends = _running(F.transform(parts, lambda p: F.array_max(F.transform(p, lambda s: s["end"]))), lambda a, b: F.greatest(a, b))
+        starts = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(ends, 1, F.size(ends) - 1))
+        pairs = F.zip_with(starts, parts, lambda at, spans: F.struct(at.alias("at"), spans.alias("spans")))
+        rest = F.substring(text, (F.element_at(ends, -1) + 1).cast("int"), F.length(text))
+        return F.concat(F.array_join(F.transform(pairs, part), ""), rest)
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(
-        text, (acc["at"] + 1).cast("int"), F.length(text))))
+    return F.when(F.size(spans) > 0, _let(_parts(spans), whole)).otherwise(text)

@@ -89,3 +89,61 @@ def test_redaction_and_text_form(spark):
 
 def test_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_thousands_of_spans_in_one_text(spark):
+    """Time and memory grow with the spans, not with their square; redaction cuts out exactly the spans."""
+    draw = random.Random(31)
+    parts = [draw.choice(["%032x" % draw.getrandbits(128), "token=abcdefgh%06d" % i, "word", "é𝔘"]) for i in range(20_000)]
+    text = " ".join(parts)
+    df = spark.createDataFrame([(1, text), (2, "%032x" % draw.getrandbits(128) + text[:1000]), (3, "none")], "doc_id long, text string")
+    found = secrets.scan(df, keep=["text"])
+    rows = {r.id: r for r in found.select("id", "spans", secrets.redacted(F.col("kept")["text"], F.col("spans")).alias("clean"),
+                                          F.col("kept")["text"].alias("text")).collect()}
+    assert [(s["start"], s["rank"], s["end"]) for s in rows[1].spans if s["rank"] < 3] == base_spans(text)
+    for r in rows.values():
+        out, at = [], 0
+        for s in r.spans:
+            if s["start"] >= at:
+                out += [r.text[at:s["start"]], "[secret]"]
+            at = max(at, s["end"])
+        assert r.clean == "".join(out) + r.text[at:]
+
+
+def test_long_words_are_no_keys(spark):
+    words = ["keitstlichschenverpf", "auxauxentionmentment", "internationalisation", "counterrevolutionary", "Donaudampfschifffahrtsgesellschaft"]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    assert not any(r.spans for r in secrets.scan(df).collect())
+
+
+def test_the_battery_against_its_definition(spark):
+    """chi-squared over the ranges, runs and serial correlation, by hand for one string."""
+    import math
+    value = "0a1b2c3d4e5f60718293a4b5"
+    t = spark.range(1).select(secrets.battery(F.lit(value)).alias("t")).first().t
+    v = ["0123456789abcdef".index(c) for c in value]
+    n, k = len(v), 16
+    runs = (sum((a < 8) != (b < 8) for a, b in zip(v, v[1:])) - (n - 1) / 2) / math.sqrt((n - 1) / 4)
+    serial = sum((a - 7.5) * (b - 7.5) for a, b in zip(v, v[1:])) / ((k * k - 1) / 12 * math.sqrt(n - 1))
+    tail = lambda z: math.erfc(abs(z) / math.sqrt(2))
+    assert (t.encoding, t.n) == ("hex", n)
+    assert abs(t.runs_p - tail(runs)) < 1e-6 and abs(t.serial_p - tail(serial)) < 1e-6
+    cuts = secrets._ranges("0123456789abcdef")
+    chi = sum((sum(a <= x < b for x in v) - n * (b - a) / k) ** 2 / (n * (b - a) / k) for a, b in zip(cuts, cuts[1:]))
+    d = len(cuts) - 2
+    z = ((chi / d) ** (1 / 3) - (1 - 2 / (9 * d))) / math.sqrt(2 / (9 * d))
+    assert abs(t.chi_p - math.erfc(z / math.sqrt(2)) / 2) < 1e-6
+    total = -math.log(t.chi_p * t.runs_p * t.serial_p)
+    assert abs(t.p - math.exp(-total) * (1 + total + total**2 / 2)) < 1e-9
+
+
+def test_clearing_against_brute_force(spark):
+    """Benjamini-Hochberg on the histogram against the definition on its rows."""
+    draw = random.Random(5)
+    rows = [("hex", draw.randrange(2), min(400, int(draw.expovariate(0.1)) + draw.choice([0, 0, 60]))) for _ in range(900)]
+    df = spark.createDataFrame(rows, "encoding string, length_class int, bin int")
+    got = {(r.encoding, r.length_class): r.first_bin for r in secrets.cleared_bins(df, 0.01).collect()}
+    for group in {(e, c) for e, c, _ in rows}:
+        bins = [b for e, c, b in rows if (e, c) == group]
+        passing = [b for b in set(bins) if 10 ** (-b / 10) <= 0.01 * sum(x >= b for x in bins) / len(bins)]
+        assert got.get(group) == min(passing, default=None)
