@@ -43,19 +43,26 @@ def moving_averages(grid: DataFrame, step_s: int, lengths: dict | None = None,
     return trailing(grid, key, ts, halo, step_s, {name: ma(n) for name, n in lengths.items()}, keep_bucket=keep_bucket)
 
 
-def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start",
-                 bucket_col: str | None = None) -> DataFrame:
+def session_vwap(grid: DataFrame, key: str = "symbol", ts: str = "window_start", bucket_col: str | None = None,
+                 before: dict[str, str] | None = None, materialize: bool = True) -> DataFrame:
     """Cumulative typical-price VWAP from the first row of each key's slice.
 
     NaN counts as missing, in either sum, and such a row has no VWAP. The grid, a join of two aggregates, is
-    checkpointed once: the totals and the rows would each compute it again otherwise.
+    checkpointed once (``materialize``): the totals and the rows would each compute it again otherwise.
+
+    With ``before``, columns of sums that lie before the slice (``_ctv``: price times volume, ``_cv``: volume; NULL
+    where there is none), the sums go on from these and are kept in the result under the two names.
     """
     none = F.lit(None).cast("double")
     volume = F.nanvl(F.col("volume").cast("double"), none)
     tv = F.nanvl(typical_price("high", "low", "close") * volume, none)
-    out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": volume}, bucket_col=bucket_col, materialize=True)
+    out = running_sums(grid, [key], ts, {"_ctv": tv, "_cv": volume}, bucket_col=bucket_col, materialize=materialize)
+    for name, prior in (before or {}).items():
+        known = F.col(name).isNotNull() | F.col(prior).isNotNull()
+        out = out.withColumn(name, F.when(known, F.coalesce(name, F.lit(0.0)) + F.coalesce(prior, F.lit(0.0))))
     vwap = F.when(tv.isNotNull(), F.try_divide(F.col("_ctv"), F.when(F.col("_cv") != 0, F.col("_cv"))))
-    return out.withColumn("vwap", vwap).drop("_ctv", "_cv")
+    out = out.withColumn("vwap", vwap)
+    return out if before else out.drop("_ctv", "_cv")
 
 
 def chart_series(slice_df: DataFrame, step_s: int, key: str = "symbol") -> DataFrame:

@@ -28,9 +28,15 @@ def _interval(s: int) -> str:
     return f"{int(s)} seconds"
 
 
-def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_INTERVAL_S) -> DataFrame:
-    """``(window_start, symbol, trades, rate, total_rate)`` for every interval
-    between the first and last trade and every configured symbol (0 when silent).
+def interval_counts(trades: DataFrame, interval_s: int = REPORT_INTERVAL_S) -> DataFrame:
+    """``(window_start, symbol, n)``: trades per interval and symbol, of a table or of a stream with a watermark."""
+    counts = trades.groupBy(F.window("ts", _interval(interval_s)).alias("_w"), "symbol").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.col("_w.start").alias("window_start"), "symbol", "n")
+
+
+def fill_intervals(counts: DataFrame, bounds: DataFrame, symbols: list[str], interval_s: int = REPORT_INTERVAL_S) -> DataFrame:
+    """``(window_start, symbol, trades, rate, total_rate)`` for every configured symbol and every interval that the one
+    row of ``bounds`` names: the first one's start in microseconds (``_lo``) and the number of those after it (``_n``).
 
     Counts are reduced to one row per interval holding a symbol -> count map
     (at most one entry per configured symbol) and the interval total; only the
@@ -39,13 +45,6 @@ def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_I
     output is never shuffled.
     """
     wanted = [s.strip() for s in symbols if s and s.strip()]
-    # The bounds and the counts come from one scan of the trades: per-window counts, written once.
-    shared_dir(trades.sparkSession)
-    counts = (
-        trades.groupBy(F.window("ts", _interval(interval_s)).start.alias("window_start"), "symbol")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .checkpoint()
-    )
     per_window = (
         allow_list(counts, wanted)
         .groupBy("window_start")
@@ -54,11 +53,6 @@ def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_I
     )
     step_us = interval_s * 1_000_000
     per_chunk = max(1, DAY_S // interval_s)
-    lo_us = F.unix_micros(F.min("window_start"))
-    bounds = counts.agg(
-        lo_us.alias("_lo"),
-        F.floor((F.unix_micros(F.max("window_start")) - lo_us) / step_us).cast("long").alias("_n"),
-    )
     chunks = bounds.select(
         "_lo", "_n",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_n") / per_chunk).cast("long"))).alias("_c"),
@@ -82,6 +76,21 @@ def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_I
     )
 
 
+def throughput(trades: DataFrame, symbols: list[str], interval_s: int = REPORT_INTERVAL_S) -> DataFrame:
+    """``(window_start, symbol, trades, rate, total_rate)`` for every interval
+    between the first and last trade and every configured symbol (0 when silent).
+    """
+    # The bounds and the counts come from one scan of the trades: per-window counts, written once.
+    shared_dir(trades.sparkSession)
+    counts = interval_counts(trades, interval_s).checkpoint()
+    lo_us = F.unix_micros(F.min("window_start"))
+    bounds = counts.agg(
+        lo_us.alias("_lo"),
+        F.floor((F.unix_micros(F.max("window_start")) - lo_us) / (interval_s * 1_000_000)).cast("long").alias("_n"),
+    )
+    return fill_intervals(counts, bounds, symbols, interval_s)
+
+
 def sliding_rate(df: DataFrame, ts: str = "ts", keys: list[str] | None = None,
                  range_s: int = RATE_RANGE_S, slide_s: int = REPORT_INTERVAL_S, count_name: str = "trades") -> DataFrame:
     """A10/A11 on events: count per sliding window of ``range_s`` every ``slide_s``, / range."""

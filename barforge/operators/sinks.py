@@ -379,6 +379,7 @@ def candle_sink(table_root: str, threshold: float, query_id: str | None = None)
         if bad:
             write_dated_batch(new.filter(~fits).select(as_computed), f"{root}/rejects", query, batch_id, "window_start", bad)
         note = {c: joined(notes.get(query, {}).get(c), spans[c]) for c in SPAN_COLUMNS}
+        note["days"] = sorted(spans["window_start"])  # the folders of this very batch
         mark_committed(spark, root, CANDLE_JOB, query, batch_id, note)
         forget_attempt(spark, root, query, batch_id)
         for df in (new, batch_df):

@@ -617,6 +617,38 @@ def stream_dedup(spark, sf_dir):
     return ntz(jobs.stored_candles(spark, f"{dedup_run(spark, sf_dir)}/tables"))
 
 
+def live_run(spark, sf_dir):
+    """The candle query with indicators and the throughput query, stopped and started again half-way."""
+    def write(root):
+        msgs = testviews.trade_messages(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+        half = max(STREAM_MIN_FILES // 4, -(-msgs.count() // (2 * STREAM_ROWS_PER_FILE)))
+        cut = F.lit(STREAM_RESTART_AT).cast("timestamp")
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        cfg = jobs.StreamConfig(f"{root}/tables", f"{root}/checkpoints", window_duration=STREAM_WINDOW, watermark_delay=STREAM_DELAY,
+                                threshold=P.ALERT_THRESHOLD, available_now=True, indicators=True, symbols=tuple(P.SYMBOLS),
+                                state_partitions=max(2, spark.sparkContext.defaultParallelism))
+        try:
+            for part in (msgs.filter(F.col("event_ts") < cut), msgs.filter(F.col("event_ts") >= cut)):
+                jobs.write_ordered_input(part, f"{root}/inbox", half, "event_ts")
+                source = jobs.text_stream(spark, f"{root}/inbox", STREAM_FILES_PER_TRIGGER)
+                jobs.supervise({"candles": jobs.start_candles(source, cfg), "throughput": jobs.start_throughput(source, cfg)})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return f"{stored(spark, sf_dir, 'live', write)}/tables"
+
+
+@query("stream_throughput")
+def stream_throughput(spark, sf_dir):
+    """A9 on the stream: closed 10 s intervals per configured symbol, zero-filled, across a restart."""
+    return ntz(jobs.stored_throughput(spark, live_run(spark, sf_dir)))
+
+
+@query("stream_indicators")
+def stream_indicators(spark, sf_dir):
+    """W1-W4 on the stream: MA10, MA20 and VWAP of the closed candles, gaps included, across a restart."""
+    return ntz(rounded(jobs.stored_indicators(spark, live_run(spark, sf_dir)), "ma_fast", "ma_slow", "vwap"))
+
+
 # --- mergeable candles (A1-A4, K7) -----------------------------------------------
 
 

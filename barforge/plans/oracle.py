@@ -543,3 +543,18 @@ SELECT * FROM candles"""
 SQL["tick_retention_stored"] = f"""
 WITH {TICKS} SELECT symbol, second, tick_ts AS ts, price, size FROM ticks
 WHERE tick_ts >= (SELECT max(tick_ts) FROM ticks) - INTERVAL 1440 MINUTE"""
+
+# Throughput of closed intervals: from the first trade to the last closed interval that holds one.
+SQL["stream_throughput"] = f"""
+WITH {MESSAGES},
+closed_trades AS (SELECT symbol, ts FROM valid
+                  WHERE time_bucket(INTERVAL '10 seconds', ts) + INTERVAL 10 SECOND <= (SELECT max(ts) FROM valid) - INTERVAL 1 MINUTE),
+{THROUGHPUT[THROUGHPUT.index("b AS ("):].replace("FROM trades", "FROM closed_trades")}"""
+
+SQL["stream_indicators"] = f"""
+WITH {STREAM_CLOSED},
+bounds AS (SELECT symbol, min(window_start) AS lo, max(window_start) AS hi FROM closed GROUP BY symbol),
+grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL '1 hour')) AS window_start FROM bounds),
+g AS (SELECT grid.symbol, grid.window_start, c.high, c.low, c.close, c.volume
+      FROM grid LEFT JOIN closed c ON c.symbol = grid.symbol AND c.window_start = grid.window_start)
+SELECT symbol, window_start, close, {MA_COLS}, {VWAP_COL} FROM g {WINDOWS}"""

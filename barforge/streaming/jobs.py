@@ -8,7 +8,10 @@ Two queries on one source, as in a production deployment:
 * malformed: parse -> NOT valid -> foreachBatch dead letters + per-batch metric
   ledger (K3, K4).
 
-Both keep offsets and state in a checkpoint folder on shared storage (R7), so a
+With ``indicators`` the candle query also writes moving averages and VWAP of the candles it inserts (W1-W4);
+:func:`start_throughput` is a third query that reports zero-filled trade counts per interval (A9).
+
+All keep offsets and state in a checkpoint folder on shared storage (R7), so a
 restarted job resumes where it stopped, and the sinks make a replayed batch a
 no-op (R10). The source is Kafka in production or a folder of text files.
 """
@@ -18,6 +21,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +29,8 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from barforge.operators.candles import candles_of
 from barforge.operators.compaction import TableSpec, compact
+from barforge.operators.live import INDICATOR_JOB, THROUGHPUT_JOB, indicator_sink, throughput_sink
+from barforge.operators.rates import REPORT_INTERVAL_S, interval_counts
 from barforge.operators.sinks import (
     CANDLE_JOB,
     CANDLE_KEYS,
@@ -86,6 +92,9 @@ class StreamConfig:
     # A trade delivered again within the watermark delay is dropped by (symbol, trade_id).
     # Off by default: like the reference, a redelivered trade then counts again.
     drop_redelivered: bool = False
+    indicators: bool = False  # the candle query keeps moving averages and VWAP as well
+    symbols: tuple[str, ...] = ()  # those the throughput query reports on
+    report_interval_s: int = REPORT_INTERVAL_S
 
 
 def apply_state_settings(spark: SparkSession, cfg: "StreamConfig") -> None:
@@ -119,9 +128,18 @@ def start_candles(raw_stream: DataFrame, cfg: StreamConfig, query_name: str | No
     """Append-mode candle query with the insert-if-absent sink."""
     apply_state_settings(raw_stream.sparkSession, cfg)
     candles, _ = candle_frames(raw_stream, cfg)
+    sinks = [candle_sink(cfg.table_root, cfg.threshold)]
+    if cfg.indicators:
+        step_s = int(pd.Timedelta(cfg.window_duration).total_seconds())
+        sinks.append(indicator_sink(cfg.table_root, stored_candle_schema(), step_s))
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        for sink in sinks:
+            sink(batch_df, batch_id)
+
     writer = (
         candles.writeStream.outputMode("append")
-        .foreachBatch(candle_sink(cfg.table_root, cfg.threshold))
+        .foreachBatch(write)
         .option("checkpointLocation", f"{cfg.checkpoint_root.rstrip('/')}/candles")
     )
     if query_name:
@@ -142,6 +160,29 @@ def start_malformed(raw_stream: DataFrame, cfg: StreamConfig, query_name: str |
     return _trigger(writer, cfg).start()
 
 
+def start_throughput(raw_stream: DataFrame, cfg: StreamConfig, query_name: str | None = None) -> StreamingQuery:
+    """Trades per interval and configured symbol, written once an interval is closed (see :func:`throughput_sink`)."""
+    apply_state_settings(raw_stream.sparkSession, cfg)
+    valid, _ = split_trades(parse_trades(raw_stream))
+    counts = interval_counts(valid.select("symbol", "ts").withWatermark("ts", cfg.watermark_delay), cfg.report_interval_s)
+    writer = (counts.writeStream.outputMode("append")
+              .foreachBatch(throughput_sink(cfg.table_root, list(cfg.symbols), cfg.report_interval_s))
+              .option("checkpointLocation", f"{cfg.checkpoint_root.rstrip('/')}/throughput"))
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, cfg).start()
+
+
+def stored_throughput(spark: SparkSession, table_root: str) -> DataFrame:
+    schema = StructType.fromDDL("window_start timestamp, symbol string, trades long, rate double, total_rate double")
+    return read_table(spark, table_root, "throughput", schema, THROUGHPUT_JOB, dated=True).select(schema.names)
+
+
+def stored_indicators(spark: SparkSession, table_root: str) -> DataFrame:
+    schema = StructType.fromDDL("symbol string, window_start timestamp, close double, ma_fast double, ma_slow double, vwap double")
+    return read_table(spark, table_root, "indicators", schema, INDICATOR_JOB, dated=True).select(schema.names)
+
+
 def start_late(raw_stream: DataFrame, cfg: StreamConfig, query_name: str | None = None) -> StreamingQuery:
     """Stores the trades that come after their window was closed (see :func:`late_sink`).
 
