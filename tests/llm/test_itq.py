@@ -92,3 +92,46 @@ def test_empty_and_unusable(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, itq.near_duplicates(df).collect())) == [(1, 0, 1), (2, 0, 2)]
     assert itq.near_duplicates(df.where("false")).count() == 0
+
+
+def test_blocks_of_a_hot_bucket_are_all_compared(spark, monkeypatch):
+    monkeypatch.setattr(itq, "BLOCK", 40)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=16)
+    hot = [(centre + rng.normal(size=16) * 0.1).tolist() for _ in range(250)]  # a third, nearly all linked with each other
+    vectors = hot + rng.normal(size=(500, 16)).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.id: (r.n_links, r.component_id) for r in itq.near_duplicates(df).collect()}
+    n, comp = brute(range(len(vectors)), vectors)
+    assert sum(n.values()) > 50_000 and all(got[i][0] <= n[i] for i in got)
+    assert sum(g[0] for g in got.values()) >= 0.999 * sum(n.values())
+    assert all(got[i][1] == comp[i] for i in got)
+
+
+def test_plan_keeps_recall_and_grows_slowly():
+    flip = np.arccos(0.9) / np.pi
+    draws = np.random.default_rng(1).random((20_000, 60 * itq.WORD)) < flip  # codes of pairs at the threshold, bits independent
+    last = 0
+    for n in (2, 10**5, 10**7, 10**9):
+        how = itq.plan(n, 0.9)
+        words = draws[:, :how.tables * itq.WORD].reshape(len(draws), -1, itq.WORD)
+        if how.tables <= 60:
+            together = ~words[:, :, :how.key].any(axis=2) & (words[:, :, how.key:].sum(axis=2) <= itq.NEAR)
+            assert together.any(axis=1).mean() > 0.999 and (words.sum(axis=(1, 2)) <= how.radius).mean() > 0.999
+        assert n / 2**how.key <= max(2 * itq.BLOCK, n / 2**itq.WORD) and how.tables >= last
+        last = how.tables
+    assert last < 150
+    assert itq.plan(10, 1.0).tables == 1
+
+
+def test_few_pairs_reach_the_vectors(spark):
+    x = np.random.default_rng(6).normal(size=(2000, 64))
+    how = itq.plan(2000, 0.9)
+    words = itq.Rotation(x / np.linalg.norm(x, axis=1)[:, None], how.tables * itq.WORD).codes(x)
+    n = 0
+    for t in range(how.tables):
+        for key in range(2**how.key):
+            rows = np.nonzero(words[:, t] >> (itq.WORD - how.key) == key)[0]
+            side = itq.Side(rows, rows, words[rows], x[rows])
+            n += sum(len(i) for i, _ in itq.candidates(side, side, True, t, how))
+    assert n < 0.01 * 2000 * 1999 / 2
