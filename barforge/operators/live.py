@@ -1,8 +1,9 @@
-"""Throughput (A9) and chart indicators (W1-W4) kept up by the stream itself.
+"""Throughput (A9), chart indicators (W1-W4) and newest rows (T1, T3) kept up by the stream itself.
 
-Both are written batch by batch with one commit each, like the candles, and go on after
-a restart from what the last commit notes. Neither reads what it stored before: throughput
-needs the end of the last interval reported, indicators a table of one row per symbol.
+All are written batch by batch with one commit each, like the candles, and go on after
+a restart from what the last commit notes. None reads the history it stored: throughput
+needs the end of the last interval reported, indicators a table of one row per symbol, the newest
+rows n per symbol.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from barforge.operators.indicators import MA_FAST, MA_SLOW, moving_averages, session_vwap
 from barforge.operators.rates import REPORT_INTERVAL_S, fill_intervals
+from barforge.operators.serving import latest_n
 from barforge.operators.sinks import (
     CANDLE_JOB,
     _fs_path,
@@ -71,8 +73,55 @@ def throughput_sink(table_root: str, symbols: list[str], interval_s: int = REPOR
     return write
 
 
-def _state(spark: SparkSession, root: str, folder: str | None) -> DataFrame:
-    return spark.read.schema(STATE).parquet(f"{root}/{folder}") if folder else spark.createDataFrame([], STATE)
+def _latest_note(spark: SparkSession, root: str, job: str) -> dict:
+    """The note of the job's newest commit, whichever query made it."""
+    return max(commit_notes(spark, root, job).values(), key=lambda n: n["version"], default={"version": 0, "state": None})
+
+
+def _state(spark: SparkSession, root: str, folder: str | None, schema: StructType | str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{root}/{folder}") if folder else spark.createDataFrame([], schema)
+
+
+def _commit_state(spark: SparkSession, root: str, job: str, query: str, batch_id: int, before: dict, folder: str | None) -> None:
+    """Commit a batch that leaves its state in ``folder``, then remove the state before it."""
+    mark_committed(spark, root, job, query, batch_id, {"version": before["version"] + 1, "state": folder})
+    forget_attempt(spark, root, query, batch_id)
+    if before["state"] not in (None, folder):
+        old, fs = _fs_path(spark, f"{root}/{before['state']}")
+        fs.delete(old, True)
+
+
+def newest_sink(table_root: str, table: str, n: int = 1, key: str = "symbol", ts: str = "ts",
+                query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """T1/T3 kept current: the ``n`` newest rows per key of all batches, for readers that want no more of the history.
+
+    A batch's own newest rows (a top-n per task first) are merged with those kept, n a key; the merged table is written
+    anew and the commit switches readers to it. Rows that come again, by a retry or another checkpoint, have a key and
+    time that is there already, and the kept row stays. Rows without key or time are left out.
+    """
+    root, job = table_root.rstrip("/"), f"{table}-newest"
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        query = query_id or query_id_of(spark)
+        if committed(spark, root, job).get(query, -1) >= batch_id:
+            batch_df.write.format("noop").mode("overwrite").save()
+            return
+        before = _latest_note(spark, root, job)
+        kept = _state(spark, root, before["state"], batch_df.schema)
+        fresh = latest_n(batch_df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).dropDuplicates([key, ts]), n, key, ts)
+        fresh = fresh.join(kept.select(key, ts), [key, ts], "left_anti").select(batch_df.columns)
+        folder = f"{table}_newest/query_id={query}/batch_id={int(batch_id)}"
+        latest_n(kept.unionByName(fresh), n, key, ts).write.mode("overwrite").parquet(f"{root}/{folder}")
+        _commit_state(spark, root, job, query, batch_id, before, folder)
+
+    return write
+
+
+def newest_rows(spark: SparkSession, table_root: str, table: str, schema: StructType) -> DataFrame:
+    """What :func:`newest_sink` keeps, as of its last commit (empty before the first)."""
+    root = table_root.rstrip("/")
+    return _state(spark, root, _latest_note(spark, root, f"{table}-newest")["state"], schema)
 
 
 def indicator_sink(table_root: str, candle_schema: StructType, step_s: int, query_id: str | None = None,
@@ -105,8 +154,8 @@ def indicator_sink(table_root: str, candle_schema: StructType, step_s: int, quer
         if committed(spark, root, INDICATOR_JOB).get(query, -1) >= batch_id:
             return
         remove_attempt(spark, root, ["indicators"], query, batch_id)
-        newest = max(commit_notes(spark, root, INDICATOR_JOB).values(), key=lambda n: n["version"], default={"version": 0, "state": None})
-        state = _state(spark, root, newest["state"])
+        newest = _latest_note(spark, root, INDICATOR_JOB)
+        state = _state(spark, root, newest["state"], STATE)
         fresh = inserted(spark, query, batch_id).join(state.select("symbol", "last"), "symbol", "left").filter(after_last()).drop("last").persist()
         folder = newest["state"]
         if not fresh.isEmpty():
@@ -130,11 +179,7 @@ def indicator_sink(table_root: str, candle_schema: StructType, step_s: int, quer
             changed.unionByName(state.join(ends, "symbol", "left_anti")).write.mode("overwrite").parquet(f"{root}/{folder}")
             for df in (rows, averaged):
                 df.unpersist()
-        mark_committed(spark, root, INDICATOR_JOB, query, batch_id, {"version": newest["version"] + 1, "state": folder})
-        forget_attempt(spark, root, query, batch_id)
-        if newest["state"] not in (None, folder):
-            old, fs = _fs_path(spark, f"{root}/{newest['state']}")
-            fs.delete(old, True)
+        _commit_state(spark, root, INDICATOR_JOB, query, batch_id, newest, folder)
         fresh.unpersist()
 
     return write

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from barforge.functions.exprs import round_to
 from barforge.functions.validity import missing_fields, with_violations
 from barforge.operators import alerts as alert_ops
-from barforge.operators import indicators, quality, rates, serving
+from barforge.operators import indicators, live, quality, rates, serving
 from barforge.operators.candles import (
     candles_of,
     corrected_candles,
@@ -211,6 +211,25 @@ def latest_price(spark, sf_dir):
     return ntz(ticks.groupBy("symbol").agg(F.max_by(F.col("price").cast("double"), "ts").alias("price"), F.max("ts").alias("ts")))
 
 
+def kept_ticks(spark, sf_dir):
+    """The newest tick of each symbol, merged batch by batch (a week of ticks each)."""
+    def write(root):
+        ticks = tables.read_ticks(spark, tick_table(spark, sf_dir)).persist()
+        sink = live.newest_sink(root, "ticks", query_id="ticks")
+        week = F.weekofyear("ts")
+        for number, (w,) in enumerate(ticks.select(week.alias("w")).distinct().orderBy("w").collect()):  # at most 53
+            sink(ticks.filter(week == w), number)
+        ticks.unpersist()
+    root = stored(spark, sf_dir, "ticks-newest", write)
+    return live.newest_rows(spark, root, "ticks", tables.read_ticks(spark, tick_table(spark, sf_dir)).schema)
+
+
+@query("latest_price_kept")
+def latest_price_kept(spark, sf_dir):
+    """T3 from the kept newest rows: a row per symbol is read, none of the tick history."""
+    return ntz(kept_ticks(spark, sf_dir).select("symbol", F.col("price").cast("double").alias("price"), "ts"))
+
+
 @query("latest_n_candles")
 def latest_n_candles(spark, sf_dir):
     """Newest 200 hourly candles per symbol."""

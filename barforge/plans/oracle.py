@@ -558,3 +558,5 @@ grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL '1 hour')) AS wi
 g AS (SELECT grid.symbol, grid.window_start, c.high, c.low, c.close, c.volume
       FROM grid LEFT JOIN closed c ON c.symbol = grid.symbol AND c.window_start = grid.window_start)
 SELECT symbol, window_start, close, {MA_COLS}, {VWAP_COL} FROM g {WINDOWS}"""
+
+SQL["latest_price_kept"] = SQL["latest_price"]

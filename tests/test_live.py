@@ -118,3 +118,23 @@ def test_indicators_after_a_torn_batch_and_another_checkpoint(spark, scratch, mo
     # one state is kept, the last one
     assert [path_exists(spark, f"{scratch}/indicator_state/query_id={q}/batch_id={b}") for q, b in (("q", 0), ("q", 1), ("other", 1))] == [False, False, True]
     assert committed(spark, scratch, live.INDICATOR_JOB) == {"q": 1, "other": 1}
+
+
+def test_newest_rows_are_merged_batch_by_batch(spark, scratch, monkeypatch):
+    schema = "symbol string, ts timestamp, price double"
+    rows = [(s, START + timedelta(seconds=k), float(k)) for s, every in (("A", 1), ("B", 7), ("C", 31)) for k in range(0, 60, every)]
+    random.Random(5).shuffle(rows)  # batches are not in time order
+    batches = [rows[:30], [], rows[30:50] + [(None, START, 1.0), ("A", None, 2.0)], rows[50:] + rows[:10]]
+    for query in ("one", "two"):
+        for number, batch in enumerate(batches):
+            df = spark.createDataFrame(batch, schema)
+            if query == "one" and number == 2:
+                with monkeypatch.context() as m:
+                    m.setattr(live, "mark_committed", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                    with pytest.raises(OSError):
+                        live.newest_sink(scratch, "ticks", 3, query_id=query)(df, number)
+            for _ in range(2):
+                live.newest_sink(scratch, "ticks", 3, query_id=query)(df, number)
+        kept = live.newest_rows(spark, scratch, "ticks", df.schema)
+        want = sorted(r for s in "ABC" for r in sorted((r for r in rows if r[0] == s), key=lambda r: r[1])[-3:])
+        assert sorted(map(tuple, kept.collect())) == want
