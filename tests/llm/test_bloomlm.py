@@ -4,6 +4,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark import SparkContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barforge.llm import bloomlm
 from barforge.llm.bloomlm import held_out
@@ -83,3 +87,45 @@ def test_rounds_add_up_to_one_round(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert _run(spark, df) == []
+
+
+def test_the_model_stays_with_its_shards(spark, monkeypatch):
+    """No part of the model passes through the driver or goes to every task, in one round or in many."""
+    _, df = _docs(spark)
+    want = len(_run(spark, df))
+
+    def refuse(*_, **__):
+        raise AssertionError("the model left its shards")
+
+    monkeypatch.setattr(SparkContext, "broadcast", refuse)
+    for name in ("toArrow", "toPandas"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+    model = bloomlm.train(df.where(~held_out(df.doc_id)), 4)
+    for round_bytes in (100, 8 << 20):
+        assert bloomlm.score(df, model, 4, round_bytes=round_bytes).count() == want
+
+
+def test_every_document_held_out_scores_without_a_model(spark):
+    ids = [i for i in range(400) if is_held_out(i)]
+    out = _run(spark, spark.createDataFrame([(i, "w1 w2") for i in ids], "doc_id long, text string"))
+    assert sorted(r.id for r in out) == ids and {(r.n_tokens, r.n_known, r.train_tokens) for r in out} == {(3, 0, 0)}
+    assert all(abs(r.base_score) < 1e-9 for r in out)
+
+
+def test_other_rows_in_the_second_pass_end_the_job(spark):
+    """Rows that change between the passes cannot be scored from answers to other questions."""
+    _, df = _docs(spark)
+    model = bloomlm.train(df.where(~held_out(df.doc_id)), 4)
+    again = F.udf(lambda t: f"{t} {random.random()}").asNondeterministic()
+    with pytest.raises(Exception, match="stage docs"):
+        bloomlm.score(df.withColumn("text", again("text")), model, 4).collect()
+
+
+def test_packed_hashes_and_narrow_counts_come_back():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 1000):
+        hashes = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        assert (bloomlm.unpacked(bloomlm.packed(hashes)) == hashes).all()
+        for top in (1, 255, 256, 65_535, 65_536, (1 << 32) - 1, 1 << 32, (1 << 62) + 1):
+            counts = np.append(rng.integers(0, top, n), top) if n else np.empty(0, np.int64)
+            assert (bloomlm.widened(bloomlm.narrow(counts), len(counts)) == counts).all()
